@@ -1,6 +1,6 @@
-"""Sums and means of decimal-valued doubles that do not depend on row order.
+"""Rounding, sums and means of decimal-valued doubles.
 
-A double sum changes in its last digits with the order rows arrive in, which after rounding to cents
+Sums and means do not depend on row order. A double sum changes in its last digits with the order rows arrive in, which after rounding to cents
 shows up as a difference of one cent between two runs. Adding whole units (cents, say) as ``bigint`` is
 exact, stays in generated code, and combines before the shuffle like any other sum.
 
@@ -17,6 +17,24 @@ from pyspark.sql import functions as F
 _WHOLE_LIMIT = float(2**53)
 
 
+# Up to here a value times 100 is off by far less than the margin kept around ties.
+_FAST_LIMIT = 1e8
+_TIE_MARGIN = 1e-3
+
+
+def round_cents(value: Column) -> Column:
+    """The same as ``round(value, 2)``, several times faster on values that are no ties.
+
+    ``round`` on a double goes through its decimal text, so that 1.005 becomes 1.01. Away from a tie the
+    nearest whole number of cents is the answer either way; near one, ``round`` decides.
+    """
+    scaled = value * F.lit(100.0)
+    from_tie = F.abs(scaled - F.floor(scaled) - F.lit(0.5))
+    plain = (F.abs(value) < F.lit(_FAST_LIMIT)) & (from_tie > F.lit(_TIE_MARGIN))
+    # Adding zero turns -0.0 into 0.0, as ``round`` does.
+    return F.when(plain, F.rint(scaled) / F.lit(100.0) + F.lit(0.0)).otherwise(F.round(value, 2))
+
+
 def whole_units(value: Column, places: int) -> Column:
     """``value`` in units of ``10**-places`` as bigint, null where that is not exact."""
     scaled = value * F.lit(float(10**places))

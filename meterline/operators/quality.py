@@ -19,10 +19,15 @@ REJECTED = "REJECTED"
 
 @dataclass(frozen=True)
 class Rule:
-    """A named reason and the predicate that is true for rows to reject."""
+    """A named reason and the predicate that is true for rows to reject.
+
+    ``keeps`` is optional: comparisons that every accepted row meets and that Parquet statistics can
+    answer. It lets a scan for valid rows skip row groups, which a chain of cases cannot.
+    """
 
     reason: str
     rejects: Column
+    keeps: Column | None = None
 
 
 def trip_rules(bounds: QualityBounds = QualityBounds()) -> tuple[Rule, ...]:
@@ -30,13 +35,26 @@ def trip_rules(bounds: QualityBounds = QualityBounds()) -> tuple[Rule, ...]:
     passengers, distance = F.col("passenger_count"), F.col("trip_distance")
     fare, total = F.col("fare_amount"), F.col("total_amount")
     pickup, dropoff = F.col("tpep_pickup_datetime"), F.col("tpep_dropoff_datetime")
+    # A NaN total is accepted, and file statistics may leave NaN out, so totals are not pruned by range.
     return (
-        Rule("invalid_passenger_count", passengers.isNull() | ~passengers.between(bounds.min_passengers, bounds.max_passengers)),
-        Rule("invalid_trip_distance", distance.isNull() | (distance <= bounds.min_distance) | (distance >= bounds.max_distance)),
-        Rule("invalid_fare_amount", fare.isNull() | (fare <= bounds.min_fare) | (fare >= bounds.max_fare)),
-        Rule("invalid_total_amount", total.isNull() | (total <= bounds.min_total)),
-        Rule("null_pickup_datetime", pickup.isNull()),
-        Rule("null_dropoff_datetime", dropoff.isNull()),
+        Rule(
+            "invalid_passenger_count",
+            passengers.isNull() | ~passengers.between(bounds.min_passengers, bounds.max_passengers),
+            keeps=(passengers >= bounds.min_passengers) & (passengers <= bounds.max_passengers),
+        ),
+        Rule(
+            "invalid_trip_distance",
+            distance.isNull() | (distance <= bounds.min_distance) | (distance >= bounds.max_distance),
+            keeps=(distance > bounds.min_distance) & (distance < bounds.max_distance),
+        ),
+        Rule(
+            "invalid_fare_amount",
+            fare.isNull() | (fare <= bounds.min_fare) | (fare >= bounds.max_fare),
+            keeps=(fare > bounds.min_fare) & (fare < bounds.max_fare),
+        ),
+        Rule("invalid_total_amount", total.isNull() | (total <= bounds.min_total), keeps=total.isNotNull()),
+        Rule("null_pickup_datetime", pickup.isNull(), keeps=pickup.isNotNull()),
+        Rule("null_dropoff_datetime", dropoff.isNull(), keeps=dropoff.isNotNull()),
         Rule("dropoff_before_pickup", dropoff <= pickup),
         Rule("pickup_year_too_old", F.year(pickup) < bounds.first_year),
         Rule("pickup_year_future", F.year(pickup) > bounds.last_year),
@@ -58,6 +76,11 @@ def tag_quality(df: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame
     )
 
 
+def prune_rejects(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Leaves out rows that some rule's ``keeps`` shows to be rejected; all valid rows remain."""
+    return df.where(reduce(Column.__and__, [rule.keeps for rule in rules if rule.keeps is not None], F.lit(True)))
+
+
 def valid_rows(tagged: DataFrame) -> DataFrame:
     return tagged.where(F.col(STATUS) == VALID)
 

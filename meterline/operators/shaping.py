@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterline.functions.clock import elapsed_minutes
+from meterline.functions.exact import round_cents
 from meterline.operators.quality import REASON, STATUS
 
 SILVER_TYPES = {
@@ -56,7 +57,7 @@ def add_trip_duration(df: DataFrame) -> DataFrame:
 
 
 def round_money(df: DataFrame) -> DataFrame:
-    return df.withColumns({name: F.round(name, 2) for name in MONEY})
+    return df.withColumns({name: round_cents(F.col(name)) for name in MONEY})
 
 
 def add_processed_time(df: DataFrame) -> DataFrame:

@@ -46,7 +46,8 @@ def to_bronze(raw: DataFrame) -> DataFrame:
 
 
 def to_silver(bronze: DataFrame, bounds: QualityBounds = QualityBounds()) -> DataFrame:
-    tagged = quality.tag_quality(bronze, quality.trip_rules(bounds))
+    rules = quality.trip_rules(bounds)
+    tagged = quality.tag_quality(quality.prune_rejects(bronze, rules), rules)
     return quality.valid_rows(tagged).transform(shaping.shape_trips)
 
 

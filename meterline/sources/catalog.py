@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterline.config import LANDING_PREFIX
 from meterline.operators.summaries import SUMMARIES
 
 
@@ -36,8 +37,9 @@ def register_table(spark: SparkSession, database: str, table: str, path: str) ->
     spark.catalog.refreshTable(name)
 
 
-def register_raw(spark: SparkSession, database: str, path: str) -> None:
-    register_table(spark, database, "raw", path)
+def register_raw(spark: SparkSession, database: str, landing_root: str) -> None:
+    """Names the landed files; partitions are found directly below the table's own folder."""
+    register_table(spark, database, "raw", f"{landing_root.rstrip('/')}/{LANDING_PREFIX.rstrip('/')}")
 
 
 def register_silver(spark: SparkSession, database: str, path: str) -> None:

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meterline.operators.quality import REASON
 
 SILVER_PARTITIONS = ("pickup_year", "pickup_month")
+REJECT_SALTS = 8
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), dynamic: bool = False) -> None:
@@ -40,16 +42,20 @@ def write_reject(df: DataFrame, path: str, always: bool = False) -> bool:
 
     Without rejects nothing is written and an earlier run's rejects stay; ``always`` replaces them.
     Rejects are a minor part of each input file, so every task would add a small file per reason; the
-    rebalance merges those, and splits a reason that holds very many rows.
+    rebalance merges those. Most rejects tend to share one reason, so each reason is spread over a few
+    salts, and adaptive execution splits whatever is still large.
     """
     if not always and df.isEmpty():
         return False
-    write_table(df.hint("rebalance", REASON), path, (REASON,))
+    # A hash of the row, not a random number: a task that runs again must send its rows the same way.
+    salted = df.withColumn("reject_salt", F.pmod(F.xxhash64(*df.columns), F.lit(REJECT_SALTS)))
+    write_table(salted.hint("rebalance", REASON, "reject_salt").drop("reject_salt"), path, (REASON,))
     return True
 
 
 def write_gold_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    write_table(df, path, partition_by)
+    """A summary table. It is small, so rows of a partition are brought together into one file."""
+    write_table(df.hint("rebalance", *partition_by), path, partition_by)
 
 
 def save_query_result(spark: SparkSession, name: str, query: str | DataFrame, folder: str) -> DataFrame:
