@@ -242,7 +242,7 @@ def _storage() -> dict[str, str]:
         ),
         "create_database": over_trips("SELECT 'raw' AS table_name, COUNT(*) AS \"rows\" FROM trips"),
         "add_ingestion_time": over_trips(f"SELECT {_STAMPED} FROM trips GROUP BY payment_type"),
-        "add_source_file": "SELECT 'lineitem.parquet' AS file_name, COUNT(*) AS \"rows\" FROM lineitem",
+        "add_source_file": _MONTHS,
         "bronze": over_trips(f'SELECT {LANDED}, "year" AS source_year FROM trips'),
     }
 

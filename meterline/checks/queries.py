@@ -18,7 +18,7 @@ from meterline.config import REQUIRED_COLUMNS, Layout
 from meterline.operators import alarms, audit, landed_files, lineage, notices, quality, routing, shaping, summaries
 from meterline.plans import analytics, stages
 from meterline.sources import adapters, catalog, control, manifest, sinks, tables
-from meterline.sources.adapters import raw_trips, table
+from meterline.sources.adapters import table
 from meterline.sources.workspace import fresh_folder
 from meterline.streaming.alarms import stream_alarms
 from meterline.streaming.audit import stream_audit as start_audit
@@ -53,12 +53,12 @@ _landings: dict[tuple[str, str], str] = {}
 def landed(spark: SparkSession, sf_dir: str) -> Layout:
     """A lake whose landing folder holds the trips by month; its other layers are still empty.
 
-    The landed files stand in for given input, so a session writes them once; layers are per call.
+    The landed files stand in for the input a user has, so a session writes them once; layers are per call.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _landings:
         root = fresh_folder(spark, "landing")
-        land(raw_trips(spark, sf_dir), root)
+        land(adapters.trips(table(spark, sf_dir, "lineitem")), root)
         _landings[key] = root
     layers = Layout.under(fresh_folder(spark, "lake"))
     return Layout(**{**vars(layers), "raw": _landings[key]})
@@ -69,6 +69,11 @@ def land(trips: DataFrame, root: str, mode: str = "overwrite") -> None:
     writer.parquet(f"{root}/raw/yellow_tripdata")
 
 
+def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All trips, read from their landed files."""
+    return tables.scan_raw(spark, landed(spark, sf_dir).raw)
+
+
 def bronze_lake(spark: SparkSession, sf_dir: str) -> Layout:
     layout = landed(spark, sf_dir)
     stages.bronze_stage(spark, layout)
@@ -145,7 +150,7 @@ def counts_by_table(spark: SparkSession, database: str, names: list[str]) -> Dat
 
 @query("scan_raw")
 def _(spark, sf_dir):
-    return tables.scan_raw(spark, landed(spark, sf_dir).raw).select(LANDED_COLUMNS)
+    return raw_trips(spark, sf_dir).select(LANDED_COLUMNS)
 
 
 @query("scan_bronze")
@@ -160,7 +165,7 @@ def _(spark, sf_dir):
 
 @query("landing_month")
 def _(spark, sf_dir):
-    return tables.landing_month(tables.scan_raw(spark, landed(spark, sf_dir).raw)).select(LANDED_COLUMNS)
+    return tables.landing_month(raw_trips(spark, sf_dir)).select(LANDED_COLUMNS)
 
 
 @query("stream_landing")
@@ -174,12 +179,12 @@ def _(spark, sf_dir):
 
 @query("schema_report")
 def _(spark, sf_dir):
-    return tables.schema_report(tables.scan_raw(spark, landed(spark, sf_dir).raw))
+    return tables.schema_report(raw_trips(spark, sf_dir))
 
 
 @query("row_count")
 def _(spark, sf_dir):
-    return tables.scan_raw(spark, landed(spark, sf_dir).raw).agg(F.count(F.lit(1)).alias("rows"))
+    return raw_trips(spark, sf_dir).agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query("write_bronze")
@@ -282,8 +287,10 @@ def _(spark, sf_dir):
 @query("add_source_file")
 def _(spark, sf_dir):
     sourced = lineage.add_source_file(raw_trips(spark, sf_dir))
-    name = F.substring_index("source_file", "/", -1).alias("file_name")
-    return sourced.groupBy(name).agg(F.count(F.lit(1)).alias("rows"))
+    folder = [
+        F.regexp_extract("source_file", f"/{name}=([0-9]+)/", 1).cast("int").alias(name) for name in ("year", "month")
+    ]
+    return sourced.groupBy(*folder).agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query("bronze")
@@ -578,7 +585,7 @@ def _(spark, sf_dir):
 @query("stream_dq_split")
 def _(spark, sf_dir):
     layout = landed(spark, sf_dir)
-    trips = adapters.trips(table_stream(spark, sf_dir, "lineitem"))
+    trips = landing_stream(spark, layout.raw, raw_trips(spark, sf_dir).schema)
     for writer in quality_split(trips, layout.silver, layout.reject, fresh_folder(spark, "progress")):
         run_available(writer)
     valid = tables.scan_silver(spark, layout.silver).select("PULocationID", F.lit(quality.VALID).alias("outcome"))

@@ -11,7 +11,7 @@ import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.config import RUN_JOB, Layout, QualityBounds
@@ -27,7 +27,7 @@ logger = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class SilverReport:
-    """Row counts of a silver run, taken from the footers of the tables it wrote."""
+    """Row counts of a silver run: accepted rows, and rejected rows by reason."""
 
     valid: int
     rejected: dict[str, int]
@@ -83,16 +83,16 @@ def silver_stage(
     rebalance: bool = False,
     always_write_rejects: bool = False,
 ) -> SilverReport:
-    """Rejects, then silver. Counts come from the written footers, which a re-run task cannot inflate."""
+    """Rejects, then silver, each counted while it is written."""
     bronze = tables.scan_bronze(spark, layout.bronze)
-    wrote_rejects = sinks.write_reject(to_rejects(bronze, bounds), layout.reject, always=always_write_rejects)
-    sinks.write_silver(to_silver(bronze, bounds), layout.silver, rebalance=rebalance)
-
-    rejected: dict[str, int] = {}
-    if wrote_rejects:
-        by_reason = spark.read.parquet(layout.reject).groupBy(quality.REASON).count()
-        rejected = {row[quality.REASON]: row["count"] for row in by_reason.collect()}  # a row per rule
-    report = SilverReport(tables.row_count(tables.scan_silver(spark, layout.silver)), rejected)
+    reasons = [rule.reason for rule in quality.trip_rules(bounds)]
+    written, refused = Observation("silver"), Observation("reject")
+    rejects = to_rejects(bronze, bounds)
+    wrote = sinks.write_reject(rejects, layout.reject, always_write_rejects, observation=refused, reasons=reasons)
+    sinks.write_silver(to_silver(bronze, bounds), layout.silver, rebalance=rebalance, observation=written)
+
+    rejected = {reason: count for reason, count in refused.get.items() if count} if wrote else {}
+    report = SilverReport(written.get.get("rows", 0), rejected)
     logger.info(
         "silver: valid %d, rejected %d, total %d, rejection rate %.2f%%",
         report.valid, sum(rejected.values()), report.total, report.rejection_rate,

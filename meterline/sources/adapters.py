@@ -65,10 +65,6 @@ def trips(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips(table(spark, sf_dir, "lineitem"))
-
-
 def run_events(events: DataFrame) -> DataFrame:
     """Stage events as JSON text in ``body``, with ``event_id`` for their order and ``ts`` for their time."""
     job = F.element_at(F.array(F.lit(BRONZE_JOB), F.lit(SILVER_JOB), F.lit(GOLD_JOB)), (F.col("user_id") % 3 + 1).cast("int"))

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.operators.quality import REASON
 
 SILVER_PARTITIONS = ("pickup_year", "pickup_month")
 REJECT_SALTS = 8
+GOLD_WRITERS = 16
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), dynamic: bool = False) -> None:
@@ -25,37 +26,60 @@ def write_bronze(df: DataFrame, path: str) -> None:
     write_table(df, path)
 
 
-def write_silver(df: DataFrame, path: str, dynamic: bool = False, rebalance: bool = False) -> None:
+def write_silver(
+    df: DataFrame, path: str, dynamic: bool = False, rebalance: bool = False, observation: Observation | None = None
+) -> None:
     """Silver by pickup year and month.
 
     No shuffle by default: files land by month, so a task holds few months and writes few files. Where
     input is not clustered by month, ``rebalance`` brings a month's rows together first; adaptive
     execution then splits a large month over many tasks instead of giving it to one.
+
+    ``observation`` receives the number of ``rows``. It is taken in the tasks that write, where Spark
+    counts a partition once however often it is tried.
     """
     if rebalance:
         df = df.hint("rebalance", *SILVER_PARTITIONS)
+    if observation is not None:
+        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
     write_table(df, path, SILVER_PARTITIONS, dynamic)
 
 
-def write_reject(df: DataFrame, path: str, always: bool = False) -> bool:
+def write_reject(
+    df: DataFrame,
+    path: str,
+    always: bool = False,
+    observation: Observation | None = None,
+    reasons: Sequence[str] = (),
+) -> bool:
     """Rejects by reason; says whether anything was written.
 
     Without rejects nothing is written and an earlier run's rejects stay; ``always`` replaces them.
     Rejects are a minor part of each input file, so every task would add a small file per reason; the
     rebalance merges those. Most rejects tend to share one reason, so each reason is spread over a few
     salts, and adaptive execution splits whatever is still large.
+
+    ``observation`` receives the number of rows for each of ``reasons``, counted as for silver.
     """
     if not always and df.isEmpty():
         return False
     # A hash of the row, not a random number: a task that runs again must send its rows the same way.
     salted = df.withColumn("reject_salt", F.pmod(F.xxhash64(*df.columns), F.lit(REJECT_SALTS)))
-    write_table(salted.hint("rebalance", REASON, "reject_salt").drop("reject_salt"), path, (REASON,))
+    df = salted.hint("rebalance", REASON, "reject_salt").drop("reject_salt")
+    if observation is not None:
+        df = df.observe(observation, *[F.count_if(F.col(REASON) == reason).alias(reason) for reason in reasons])
+    write_table(df, path, (REASON,))
     return True
 
 
 def write_gold_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """A summary table. It is small, so rows of a partition are brought together into one file."""
-    write_table(df.hint("rebalance", *partition_by), path, partition_by)
+    """A summary table, one file per partition.
+
+    A table by month has a bounded number of months, which a fixed number of tasks writes side by side.
+    Other summaries are as long as their key is; adaptive execution sizes their files.
+    """
+    spread = df.repartition(GOLD_WRITERS, *partition_by) if partition_by else df.hint("rebalance")
+    write_table(spread, path, partition_by)
 
 
 def save_query_result(spark: SparkSession, name: str, query: str | DataFrame, folder: str) -> DataFrame:

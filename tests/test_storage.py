@@ -61,6 +61,16 @@ def test_silver_report_counts_what_was_written(spark, sf_dir):
     assert round(report.rejection_rate, 2) == row.rejection_rate_pct
 
 
+def test_silver_report_of_a_run_without_rejects_or_without_rows(spark, tmp_path):
+    layout = stages.Layout.under(str(tmp_path))
+    good = trips(spark, {}, {})
+    good.write.parquet(layout.bronze)
+    assert stages.silver_stage(spark, layout) == stages.SilverReport(2, {})
+    good.where("id < 0").write.mode("overwrite").parquet(layout.bronze)
+    report = stages.silver_stage(spark, layout, always_write_rejects=True)
+    assert (report.total, report.rejection_rate) == (0, 0.0)
+
+
 def test_stages_can_run_again(spark, sf_dir):
     layout = queries.gold_lake(spark, sf_dir)
     first = {one.name: spark.read.parquet(layout.gold_table(one.name)).drop("gold_processed_at").collect() for one in summaries.SUMMARIES}
