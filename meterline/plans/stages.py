@@ -55,9 +55,22 @@ def to_rejects(bronze: DataFrame, bounds: QualityBounds = QualityBounds()) -> Da
     return quality.rejected_rows(quality.tag_quality(bronze, quality.trip_rules(bounds)))
 
 
-def to_gold(silver: DataFrame) -> dict[str, DataFrame]:
-    """Each summary as a frame of its own, for questions that need only one."""
-    return {summary.name: summaries.summarise(silver, summary) for summary in summaries.SUMMARIES}
+class GoldFrames(dict):
+    """Summaries by name, each planned when it is first asked for."""
+
+    def __init__(self, silver: DataFrame) -> None:
+        super().__init__()
+        self._silver = silver
+
+    def __missing__(self, name: str) -> DataFrame:
+        summary = next(one for one in summaries.SUMMARIES if one.name == name)
+        self[name] = summaries.summarise(self._silver, summary)
+        return self[name]
+
+
+def to_gold(silver: DataFrame) -> GoldFrames:
+    """Each summary as a frame of its own, for questions that need only some of them."""
+    return GoldFrames(silver)
 
 
 def bronze_stage(spark: SparkSession, layout: Layout) -> None:
