@@ -15,7 +15,15 @@ from pyspark.sql import functions as F
 from meterline.config import LANDING_PREFIX, LANDING_SUFFIX, MIN_FILE_BYTES, REQUIRED_COLUMNS
 from meterline.functions.clock import iso_now
 from meterline.functions.events import ARRIVAL_EVENT
-from meterline.functions.text import quoted_list
+from meterline.functions.text import fill, quoted_list
+
+# The wording of findings.
+BAD_EXTENSION = "Invalid extension — expected {expected}, got: {key}"
+BAD_PREFIX = "Invalid S3 prefix — expected {expected}, got: {key}"
+TOO_SMALL = "File too small — {size} bytes (min: {smallest})"
+UNREADABLE = "Column validation failed: {error}"
+EMPTY = "File is empty — no records found"
+MISSING = "Missing columns: {names}"
 
 
 def explode_arrivals(events: DataFrame, body: str = "body") -> DataFrame:
@@ -32,17 +40,15 @@ def explode_arrivals(events: DataFrame, body: str = "body") -> DataFrame:
 
 
 def extension_error(key: Column, suffix: str = LANDING_SUFFIX) -> Column:
-    message = F.concat(F.lit(f"Invalid extension — expected {suffix}, got: "), key)
-    return F.when(~key.endswith(suffix), message)
+    return F.when(~key.endswith(suffix), fill(BAD_EXTENSION, expected=F.lit(suffix), key=key))
 
 
 def prefix_error(key: Column, prefix: str = LANDING_PREFIX) -> Column:
-    message = F.concat(F.lit(f"Invalid S3 prefix — expected {prefix}, got: "), key)
-    return F.when(~key.startswith(prefix), message)
+    return F.when(~key.startswith(prefix), fill(BAD_PREFIX, expected=F.lit(prefix), key=key))
 
 
 def size_error(size: Column, smallest: int = MIN_FILE_BYTES) -> Column:
-    message = F.concat(F.lit("File too small — "), size.cast("string"), F.lit(f" bytes (min: {smallest})"))
+    message = fill(TOO_SMALL, size=size.cast("string"), smallest=F.lit(str(smallest)))
     return F.when(size < smallest, message)
 
 
@@ -54,9 +60,9 @@ def missing_columns(actual: Column, required: Sequence[str] = REQUIRED_COLUMNS)
 def columns_error(actual: Column, n_rows: Column, read_error: Column, required: Sequence[str] = REQUIRED_COLUMNS) -> Column:
     missing = missing_columns(actual, required)
     return (
-        F.when(read_error.isNotNull(), F.concat(F.lit("Column validation failed: "), read_error))
-        .when(F.coalesce(n_rows, F.lit(0)) == 0, F.lit("File is empty — no records found"))
-        .when(F.size(missing) > 0, F.concat(F.lit("Missing columns: "), quoted_list(missing)))
+        F.when(read_error.isNotNull(), fill(UNREADABLE, error=read_error))
+        .when(F.coalesce(n_rows, F.lit(0)) == 0, F.lit(EMPTY))
+        .when(F.size(missing) > 0, fill(MISSING, names=quoted_list(missing)))
     )
 
 

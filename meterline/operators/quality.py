@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from meterline.config import QualityBounds
 
+# Column names, the two states, and (in ``trip_rules``) the reasons.
 REASON = "dq_reject_reason"
 STATUS = "dq_status"
 VALID = "VALID"

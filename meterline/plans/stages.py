@@ -24,6 +24,16 @@ from meterline.sources.workspace import cut_lineage
 
 logger = logging.getLogger(__name__)
 
+# Source, types and messages of the events that record a run's outcome.
+RUN_EVENT_SOURCE = "aws.stepfunctions"
+SUCCESS_EVENT = "Pipeline Execution Success"
+FAILURE_EVENT = "Pipeline Execution Failure"
+NOTICE_EVENT = "Pipeline Notification"
+SUCCESS_AUDIT = "All pipeline stages completed successfully"
+FAILURE_AUDIT = "Pipeline failed"
+SUCCESS_NOTICE = "{title} completed — Bronze → Silver → Gold done"
+FAILURE_NOTICE = "{title} FAILED — check logs"
+
 
 @dataclass(frozen=True)
 class SilverReport:
@@ -162,7 +172,7 @@ def _event(spark: SparkSession, run: Run, event_type: str, state: str, message:
     """The run's outcome as an event; audit events carry times, notices do not."""
     times = [("startedOn", run.started_at), ("completedOn", _iso(_utc_now()))] if with_times else []
     details = [("jobName", RUN_JOB), ("state", state), ("jobRunId", run.name), ("message", message), *times]
-    fields = [F.lit("aws.stepfunctions").alias("source"), F.lit(event_type).alias("detail-type")]
+    fields = [F.lit(RUN_EVENT_SOURCE).alias("source"), F.lit(event_type).alias("detail-type")]
     if with_times:
         fields.append(F.lit(run.started_at).alias("time"))
     fields.append(F.struct(*[F.lit(value).alias(name) for name, value in details]).alias("detail"))
@@ -175,7 +185,7 @@ def record_audit(spark: SparkSession, run: Run, event_type: str, state: str, mes
 
 
 def send_notice(spark: SparkSession, run: Run, state: str, message: str) -> None:
-    event = _event(spark, run, "Pipeline Notification", state, message, with_times=False)
+    event = _event(spark, run, NOTICE_EVENT, state, message, with_times=False)
     control.append_notices(
         parse_notification(event), run.layout.notices, run.layout.outbox, run.title, run.sender, run.recipient
     )
@@ -183,14 +193,14 @@ def send_notice(spark: SparkSession, run: Run, state: str, message: str) -> None
 
 def on_success(spark: SparkSession, run: Run) -> None:
     """Audit, then notice. The run has succeeded whatever becomes of them."""
-    _attempt(record_audit, spark, run, "Pipeline Execution Success", "SUCCEEDED", "All pipeline stages completed successfully")
-    _attempt(send_notice, spark, run, "SUCCEEDED", f"{run.title} completed — Bronze → Silver → Gold done")
+    _attempt(record_audit, spark, run, SUCCESS_EVENT, "SUCCEEDED", SUCCESS_AUDIT)
+    _attempt(send_notice, spark, run, "SUCCEEDED", SUCCESS_NOTICE.format(title=run.title))
 
 
 def on_failure(spark: SparkSession, run: Run) -> None:
     """Notice, then audit; when the notice cannot be sent there is no audit record either."""
-    if _attempt(send_notice, spark, run, "FAILED", f"{run.title} FAILED — check logs"):
-        _attempt(record_audit, spark, run, "Pipeline Execution Failure", "FAILED", "Pipeline failed")
+    if _attempt(send_notice, spark, run, "FAILED", FAILURE_NOTICE.format(title=run.title)):
+        _attempt(record_audit, spark, run, FAILURE_EVENT, "FAILED", FAILURE_AUDIT)
 
 
 def _attempt(action: Callable[..., None], *arguments: object) -> bool:

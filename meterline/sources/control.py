@@ -23,8 +23,9 @@ AUDIT_LOG_SCHEMA = (
 _AUDIT_COLUMNS = [field.split()[0] for field in AUDIT_LOG_SCHEMA.split(", ")]
 
 
-def _write_batch(df: DataFrame, path: str, batch: str | None) -> None:
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch or uuid.uuid4().hex}")
+def _write_batch(df: DataFrame, path: str, batch: str | None, partition_by: tuple[str, ...] = ()) -> None:
+    folder = f"{path.rstrip('/')}/batch={batch or uuid.uuid4().hex}"
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
 
 
 def append_audit(parsed: DataFrame, path: str, batch: str | None = None) -> None:
@@ -53,8 +54,8 @@ def append_notices(
     recipient: str | None = None,
     batch: str | None = None,
 ) -> None:
-    """Logs notices, then puts them in the outbox."""
+    """Logs notices by day, then puts them in the outbox."""
     batch = batch or uuid.uuid4().hex
-    _write_batch(notification_log(parsed), log_path, batch)
+    _write_batch(notification_log(parsed), log_path, batch, ("stream",))
     outbox = notification_outbox(render_notification(parsed, title), sender, recipient)
     _write_batch(outbox, outbox_path, batch)

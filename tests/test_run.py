@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import json
+
 import pytest
 
 from meterline.checks import queries
@@ -39,6 +41,9 @@ def test_success_is_audited_under_the_start_time_and_announced(spark, run):
     assert (row.job_run_id, row.event_time, row.started_on) == ("run-7", run.started_at, run.started_at)
     assert row.state == "SUCCEEDED" and row.completed_on >= row.started_on
     assert _outbox(spark, run) == [("run-7", "SUCCEEDED", True)]
+    logged = spark.read.parquet(run.layout.notices).first()
+    assert json.loads(logged.message)["job_run_id"] == "run-7"
+    assert len(logged.stream.split("/")) == 3
 
 
 def test_stages_after_a_failure_do_not_run(spark, run):

@@ -6,13 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterline.checks import queries
+from meterline.operators import notices, routing
 from meterline.operators.alarms import ALARM_RULES, AlarmRule, evaluate_alarms
 from meterline.operators.quality import REASON
 from meterline.plans import stages
 from meterline.sources import adapters, control
 from meterline.streaming.alarms import stream_alarms
 from meterline.streaming.audit import stream_audit
-from meterline.streaming.landing import run_available, stream_landing
+from meterline.streaming.landing import run_available, stream_landing, to_table
 from meterline.streaming.quality_split import quality_split
 
 METRICS = "ts timestamp, namespace string, metric string, dimension string, value double"
@@ -103,3 +104,16 @@ def test_split_stream_gives_the_batch_tables(spark, sf_dir, tmp_path):
     assert spark.read.parquet(silver).count() == stages.to_silver(raw).count()
     counts = lambda df: {row[REASON]: row["count"] for row in df.groupBy(REASON).count().collect()}
     assert counts(spark.read.parquet(reject)) == counts(stages.to_rejects(raw))
+
+
+def test_routing_and_notices_work_on_a_stream(spark, sf_dir, tmp_path):
+    events = adapters.run_events(queries.table(spark, sf_dir, "events"))
+    events.repartition(2).write.parquet(str(tmp_path / "in"))
+    stream = stream_landing(spark, str(tmp_path / "in"), events.schema)
+    routed = routing.route_events(routing.open_events(stream)).select("event_id", "rule")
+    run_available(to_table(routed, str(tmp_path / "routed"), str(tmp_path / "p1")))
+    expected = routing.route_events(routing.open_events(events)).groupBy("rule").count()
+    assert sorted(spark.read.parquet(str(tmp_path / "routed")).groupBy("rule").count().collect()) == sorted(expected.collect())
+    outbox = notices.notification_outbox(notices.render_notification(notices.parse_notification(stream)), "a@x", "b@x")
+    run_available(to_table(outbox, str(tmp_path / "outbox"), str(tmp_path / "p2")))
+    assert spark.read.parquet(str(tmp_path / "outbox")).where("deliver").count() == events.count()
