@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import exact_copies, packing, pieces
+from meterline.llm import exact_copies, packing, pieces, toxicity, warc
 
 # Names of the installed public tokenizer files.
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -37,6 +37,14 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC records and read back from the archives."""
+    archives = warc.write_archives(_table(spark, sf_dir, "pages"), warc.archive_folder(spark))
+    return warc.read_archives(archives, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies.exact_copies(_table(spark, sf_dir, "documents"))
 
@@ -45,8 +53,15 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(_table(spark, sf_dir, "documents"), _tokenizer(WORD_TOKENIZER)))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.toxicity(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_warc": op2_warc,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_toxicity": op10_toxicity,
 }

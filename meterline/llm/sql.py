@@ -16,4 +16,17 @@ WITH prints AS (
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM ranked
 """
 
-ORACLE_SQL: dict[str, str] = {"op7_exact_dedup": EXACT_DEDUP}
+# The digests of the payloads, and which page each refers to.
+WARC = r"""
+WITH prints AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), ranked AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS keep_id FROM prints
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < keep_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < keep_id THEN keep_id END AS refers_to
+FROM ranked
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_warc": WARC, "op7_exact_dedup": EXACT_DEDUP}
