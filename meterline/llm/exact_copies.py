@@ -40,12 +40,14 @@ def fingerprint(text: Column) -> Column:
     return F.sha2(normalised(text), 256)
 
 
-def _block(key: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(blocks))
+def _position(keys: tuple[str, ...], blocks: int, probe: int) -> Column:
+    """Place of a key's bit in the filter: one block for both probes."""
+    columns = [F.col(key) for key in keys]
+    return _block(keys, blocks) * BLOCK_BITS + F.pmod(F.xxhash64(*columns, F.lit(probe)), F.lit(BLOCK_BITS))
 
 
-def _bit(key: Column, probe: int) -> Column:
-    return F.pmod(F.xxhash64(key, F.lit(probe)), F.lit(BLOCK_BITS))
+def _block(keys: tuple[str, ...], blocks: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(key) for key in keys]), F.lit(blocks))
 
 
 def block_count(rows: int) -> int:
@@ -56,32 +58,41 @@ def block_count(rows: int) -> int:
     return blocks
 
 
-def repeat_filter(keys: DataFrame, key: str, blocks: int) -> DataFrame:
-    """Bitmaps ``(block, bits)`` of the positions that two or more rows of ``keys`` hit: at most ``blocks`` rows of 4 KB."""
-    hits = keys.select(
-        F.explode(
-            F.array(*[_block(F.col(key), blocks) * BLOCK_BITS + _bit(F.col(key), probe) + 1 for probe in (1, 2)])
-        ).alias("position")
-    )
-    repeated = hits.groupBy("position").count().where("count > 1")
-    return repeated.groupBy(F.bitmap_bucket_number("position").alias("block")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("position")).alias("bits")
+def _positions(rows: DataFrame, keys: tuple[str, ...], blocks: int) -> DataFrame:
+    return rows.select(F.explode(F.array(*[_position(keys, blocks, probe) for probe in (1, 2)])).alias("position"))
+
+
+def _bitmaps(positions: DataFrame) -> DataFrame:
+    # Spark's bitmap functions count positions from 1.
+    place = F.col("position") + 1
+    return positions.groupBy(F.bitmap_bucket_number(place).alias("block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
     )
 
 
+def key_filter(rows: DataFrame, keys: tuple[str, ...], blocks: int) -> DataFrame:
+    """Bitmaps ``(block, bits)`` of the positions that ``rows`` hit: at most ``blocks`` rows of 4 KB."""
+    return _bitmaps(_positions(rows, keys, blocks))
+
+
+def repeat_filter(rows: DataFrame, keys: tuple[str, ...], blocks: int) -> DataFrame:
+    """Bitmaps of the positions that two or more of ``rows`` hit."""
+    return _bitmaps(_positions(rows, keys, blocks).groupBy("position").count().where("count > 1"))
+
+
 def _is_set(bits: Column, bit: Column) -> Column:
     byte = F.conv(F.hex(F.substr(bits, F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     return F.getbit(byte, F.pmod(bit, F.lit(8)).cast("int")) == 1
 
 
-def mark_possible_repeats(rows: DataFrame, key: str, bitmaps: DataFrame, blocks: int, flag: str) -> DataFrame:
-    """Adds ``flag``: false where the filter proves that no other row has this key."""
+def mark_possible(rows: DataFrame, keys: tuple[str, ...], bitmaps: DataFrame, blocks: int, flag: str) -> DataFrame:
+    """Adds ``flag``: false where the filter proves that it does not have this key."""
     looked_up = F.broadcast(bitmaps.select(F.col("block").alias("_block"), F.col("bits").alias("_bits")))
     hit = F.lit(True)
     for probe in (1, 2):
-        hit = hit & _is_set(F.col("_bits"), _bit(F.col(key), probe))
+        hit = hit & _is_set(F.col("_bits"), F.pmod(_position(keys, blocks, probe), F.lit(BLOCK_BITS)))
     return (
-        rows.join(looked_up, _block(F.col(key), blocks) + 1 == F.col("_block"), "left")
+        rows.join(looked_up, _block(keys, blocks) + 1 == F.col("_block"), "left")
         .withColumn(flag, F.coalesce(hit, F.lit(False)))
         .drop("_block", "_bits")
     )
@@ -102,17 +113,21 @@ def exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         ),
         "fingerprints",
     )
-    blocks = block_count(prints.count())
-    marked = mark_possible_repeats(prints, "key", repeat_filter(prints, "key", blocks), blocks, "maybe")
+    rows = prints.count()
+    blocks = block_count(rows)
+    marked = mark_possible(prints, ("key",), repeat_filter(prints, ("key",), blocks), blocks, "maybe")
     digest = F.lower(F.hex("key")).alias("text_sha256")
     alone = marked.where(~F.col("maybe")).select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"),
         F.lit(True).alias("kept"), digest,
     )
     candidates = marked.where("maybe")
-    groups = candidates.groupBy("key").agg(
-        F.count(F.lit(1)).alias("group_size"),
-        F.min(F.struct(*_rank("points", "doc_id"), F.col("row"))).alias("stays"),
+    groups = stored(
+        candidates.groupBy("key").agg(
+            F.count(F.lit(1)).alias("group_size"),
+            F.min(F.struct(*_rank("points", "doc_id"), F.col("row"))).alias("stays"),
+        ),
+        "copy-groups",
     )
     decided = candidates.join(groups, "key").select(
         "doc_id", F.col("stays.id").alias("keep_id"), "group_size", (F.col("row") == F.col("stays.row")).alias("kept"), digest
@@ -125,7 +140,7 @@ def drop_exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     rows = docs.select(F.struct("*").alias("whole"), F.unhex(fingerprint(F.col(text))).alias("key"))
     keys = stored(rows.select("key"), "fingerprints")
     blocks = block_count(keys.count())
-    marked = mark_possible_repeats(rows, "key", repeat_filter(keys, "key", blocks), blocks, "maybe")
+    marked = mark_possible(rows, ("key",), repeat_filter(keys, ("key",), blocks), blocks, "maybe")
     order = F.struct(
         -F.coalesce(F.length(f"whole.`{text}`"), F.lit(0)),
         F.col(f"whole.`{doc_id}`").isNull(),

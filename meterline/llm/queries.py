@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import exact_copies, packing, pieces, toxicity, warc
+from meterline.llm import exact_copies, near_copies, packing, pieces, toxicity, warc
 
 # Names of the installed public tokenizer files.
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -49,6 +49,13 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies.exact_copies(_table(spark, sf_dir, "documents"))
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose sets of three-word shingles have a similarity of 0.9 or more are in one component."""
+    return near_copies.near_copies(_table(spark, sf_dir, "documents"), width=3, percent=90).select(
+        "doc_id", "n_shingles", "component_id"
+    )
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(_table(spark, sf_dir, "documents"), _tokenizer(WORD_TOKENIZER)))
 
@@ -62,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_warc": op2_warc,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_toxicity": op10_toxicity,
 }
