@@ -32,9 +32,9 @@ BPE_MODEL = 2
 UNKNOWN_TEXT = " ⁇ "
 
 # Merged cuts a worker keeps at most; the store starts afresh beyond that.
-KNOWN_CUTS = 1_000_000
+KNOWN_CUTS = 600_000
 # Bytes of text whose result is built at a time.
-BATCH_BYTES = 8_000_000
+BATCH_BYTES = 2_000_000
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -509,10 +509,11 @@ def _id_runs(rows: list) -> Iterator[list]:
         yield rows[start:stop]
 
 
-def encode(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str = "text", round_trip: bool = False) -> DataFrame:
     """``doc_id``, ``ids`` and the source bytes ``[starts, ends)`` of each piece, for every whole text.
 
-    ``model_path`` is a file that every executor has.
+    With ``round_trip`` there is also ``decoded``, the text that decoding the ids gives. ``model_path`` is a file that
+    every executor has.
     """
 
     def work(batches):
@@ -525,18 +526,29 @@ def encode(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str =
             library = sentencepiece.SentencePieceProcessor(model_file=model_path)
             _ENCODERS[model_path] = Encoder(load_model(model_path), lambda many: library.encode(many, num_threads=1))
         encoder = _ENCODERS[model_path]
+        names = ["doc_id", "ids", "starts", "ends"]
         for batch in batches:
             lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
             for start, stop in _runs(lengths):
                 sizes, *columns = encoder.encode_array(batch.column(1).slice(start, stop - start))
-                offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-                lists = [pa.ListArray.from_arrays(offsets, pa.array(column)) for column in columns]
-                ids = batch.column(0).slice(start, stop - start)
-                yield pa.RecordBatch.from_arrays([ids, *lists], names=["doc_id", "ids", "starts", "ends"])
+                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(column)) for column in columns]
+                out = [batch.column(0).slice(start, stop - start), *lists]
+                if round_trip:
+                    rows = [columns[0][a:b] for a, b in zip(offsets, offsets[1:])]
+                    out.append(pa.array(_decoder(model_path).decode_many(rows), pa.string()))
+                yield pa.RecordBatch.from_arrays(out, names=[*names, "decoded"][: len(out)])
 
     chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    return chosen.mapInArrow(work, f"doc_id {kind}, ids array<int>, starts array<int>, ends array<int>")
+    extra = ", decoded string" if round_trip else ""
+    return chosen.mapInArrow(work, f"doc_id {kind}, ids array<int>, starts array<int>, ends array<int>{extra}")
+
+
+def _decoder(model_path: str) -> Decoder:
+    if model_path not in _DECODERS:
+        _DECODERS[model_path] = Decoder(load_model(model_path))
+    return _DECODERS[model_path]
 
 
 def decoder(model_path: str):
@@ -544,9 +556,7 @@ def decoder(model_path: str):
 
     @F.pandas_udf("string")
     def decode_ids(ids):
-        if model_path not in _DECODERS:
-            _DECODERS[model_path] = Decoder(load_model(model_path))
-        one = _DECODERS[model_path]
+        one = _decoder(model_path)
         texts = ids.copy()
         known = ids.notna()
         texts[known] = [text for run in _id_runs(list(ids[known])) for text in one.decode_many(run)]
