@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import exact_copies, near_copies, packing, pieces, private_data, toxicity, warc
+from meterline.llm import exact_copies, main_text, near_copies, packing, pieces, private_data, toxicity, warc
 
 # Names of the installed public tokenizer files.
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -51,6 +51,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_added")
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies.exact_copies(_table(spark, sf_dir, "documents"))
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_warc": op2_warc,
     "op4_pii": op4_pii,
+    "op5_html_extraction": op5_html_extraction,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_best_fit_packing": op9_best_fit_packing,

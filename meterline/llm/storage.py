@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame
 from meterline.sources.workspace import fresh_folder
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """``df`` computed once, written to the shared folder and read back, so that lost executors cost no recompute."""
     folder = fresh_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
+    df.write.option("compression", compression).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
