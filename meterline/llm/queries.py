@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import exact_copies, main_text, near_copies, packing, pieces, private_data, toxicity, warc
+from meterline.llm import exact_copies, main_text, near_copies, packing, pieces, private_data, quality_rules, secret_scan, toxicity, warc
 
 # Names of the installed public tokenizer files.
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -44,6 +44,12 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality"
+    )
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = private_data.find_private(docs, private_data.train(docs))
@@ -55,6 +61,11 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.main_text(_table(spark, sf_dir, "pages"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings that are left, named by place and digest, not by value."""
+    return secret_scan.secrets(_table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies.exact_copies(_table(spark, sf_dir, "documents"))
 
@@ -78,8 +89,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_warc": op2_warc,
+    "op3_quality_rules": op3_quality_rules,
     "op4_pii": op4_pii,
     "op5_html_extraction": op5_html_extraction,
+    "op6_secret_scan": op6_secret_scan,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_best_fit_packing": op9_best_fit_packing,
