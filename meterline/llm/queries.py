@@ -18,7 +18,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer_file(name: str) -> str:
+    """Where an installed tokenizer file is."""
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -26,7 +27,7 @@ def _tokenizer(name: str) -> str:
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and the text decoded from them; ``covered_bytes`` is where the last span ends."""
-    encoded = pieces.encode(_table(spark, sf_dir, "documents"), _tokenizer(PIECE_MODEL), round_trip=True)
+    encoded = pieces.encode(_table(spark, sf_dir, "documents"), tokenizer_file(PIECE_MODEL), round_trip=True)
     return encoded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
@@ -78,7 +79,7 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(packing.token_pieces(_table(spark, sf_dir, "documents"), _tokenizer(WORD_TOKENIZER)))
+    return packing.pack(packing.token_pieces(_table(spark, sf_dir, "documents"), tokenizer_file(WORD_TOKENIZER)))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
