@@ -13,14 +13,15 @@ def cents(value: str) -> str:
 
 
 def total(value: str, kind: str = "DECIMAL(18,2)") -> str:
-    return f"CAST(SUM(CAST({value} AS {kind})) AS DOUBLE)"
+    """The exact sum of what the values are as written, as a double."""
+    return f"CAST(SUM(CAST(CAST({value} AS VARCHAR) AS {kind})) AS DOUBLE)"
 
 
 def mean(value: str, kind: str = "DECIMAL(18,2)") -> str:
     return cents(f"({total(value, kind)} / COUNT({value}))")
 
 
-DISTANCE = "DECIMAL(18,6)"
+DISTANCE = "DECIMAL(38,20)"
 
 _TRIPS = """
 base AS (
@@ -34,14 +35,17 @@ trips AS (
     pickup AS tpep_pickup_datetime,
     CASE WHEN l_partkey % 103 = 9 THEN NULL WHEN l_partkey % 107 = 11 THEN pickup
          ELSE pickup + to_seconds(CAST(l_quantity * 47 AS BIGINT) + l_suppkey % 60) END AS tpep_dropoff_datetime,
-    CAST(l_linenumber - CASE WHEN l_partkey % 113 = 1 THEN 7 ELSE 0 END AS DOUBLE) AS passenger_count,
-    CASE WHEN l_partkey % 127 = 2 THEN 0 WHEN l_partkey % 127 = 5 THEN 500 ELSE l_quantity / 4 END AS trip_distance,
+    CASE WHEN l_partkey % 109 <> 13
+      THEN CAST(l_linenumber - CASE WHEN l_partkey % 113 = 1 THEN 7 ELSE 0 END AS DOUBLE) END AS passenger_count,
+    CASE WHEN l_partkey % 139 = 17 THEN NULL WHEN l_partkey % 127 = 2 THEN 0 WHEN l_partkey % 127 = 5 THEN 500
+      ELSE l_quantity / 4 + CASE WHEN l_partkey % 97 = 5 THEN l_linenumber * CAST(4e-7 AS DOUBLE) ELSE 0 END END AS trip_distance,
     l_suppkey AS "PULocationID",
     l_partkey % 265 AS "DOLocationID",
-    CASE WHEN l_partkey % 131 = 6 THEN -l_extendedprice ELSE l_extendedprice / 20 END AS fare_amount,
-    l_extendedprice / 20 * l_discount AS tip_amount,
-    CASE WHEN l_partkey % 137 = 8 THEN 0 ELSE l_extendedprice / 20 * (1 + l_discount) + l_tax * 100 END AS total_amount,
-    l_orderkey % 6 AS payment_type,
+    CASE WHEN l_partkey % 151 = 22 THEN NULL WHEN l_partkey % 131 = 6 THEN -l_extendedprice
+      ELSE l_extendedprice / 20 END AS fare_amount,
+    CASE WHEN l_partkey % 163 <> 24 THEN l_extendedprice / 20 * l_discount END AS tip_amount,
+    CASE WHEN l_partkey % 157 = 23 THEN NULL WHEN l_partkey % 137 = 8 THEN 0 ELSE l_extendedprice / 20 * (1 + l_discount) + l_tax * 100 END AS total_amount,
+    CASE WHEN l_orderkey % 167 <> 25 THEN l_orderkey % 6 END AS payment_type,
     l_tax * 100 AS tolls_amount,
     CAST(year(l_shipdate + to_days(8401)) AS INTEGER) AS "year",
     CAST(month(l_shipdate + to_days(8401)) AS INTEGER) AS "month"
@@ -214,6 +218,18 @@ _ROW_COUNTS = over_gold(
 )
 
 
+_TYPES = {
+    "tpep_pickup_datetime": "timestamp_ntz", "tpep_dropoff_datetime": "timestamp_ntz", "VendorID": "bigint", "PULocationID": "bigint",
+    "DOLocationID": "bigint", "payment_type": "bigint", "year": "int", "month": "int",
+}
+_SCHEMA = over_trips(
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS \"name\", '{_TYPES.get(name, 'double')}' AS type, COUNT(\"{name}\") AS filled, COUNT(*) AS \"rows\" FROM trips"
+        for name in LANDED.replace('"', "").split(", ")
+    )
+)
+
+
 def _storage() -> dict[str, str]:
     all_trips = over_trips(f"SELECT {LANDED} FROM trips")
     all_silver = over_silver(f"SELECT {SILVER} FROM silver")
@@ -223,6 +239,7 @@ def _storage() -> dict[str, str]:
         "scan_silver": all_silver,
         "landing_month": over_trips(f'SELECT {LANDED} FROM trips WHERE "year" = 2024 AND "month" = 1'),
         "stream_landing": _MONTHS,
+        "schema_report": _SCHEMA,
         "row_count": over_trips('SELECT COUNT(*) AS "rows" FROM trips'),
         "write_bronze": over_trips(f"SELECT {LANDED}, TRUE AS has_time, TRUE AS has_file FROM trips"),
         "write_silver": all_silver,

@@ -90,6 +90,22 @@ REQUIRED_COLUMNS = (
     "payment_type",
 )
 
+# The types landed columns are read as, whatever a month's file has them as.
+LANDING_TYPES = {
+    "VendorID": "bigint",
+    "tpep_pickup_datetime": "timestamp_ntz",
+    "tpep_dropoff_datetime": "timestamp_ntz",
+    "passenger_count": "double",
+    "trip_distance": "double",
+    "PULocationID": "bigint",
+    "DOLocationID": "bigint",
+    "payment_type": "bigint",
+    "fare_amount": "double",
+    "tip_amount": "double",
+    "tolls_amount": "double",
+    "total_amount": "double",
+}
+
 # What a stage's state-change event looks like and which states the rules react to.
 STAGE_EVENT_SOURCE = "aws.glue"
 STAGE_EVENT_TYPE = "Glue Job State Change"

@@ -1,11 +1,12 @@
 """Rounding, sums and means of decimal-valued doubles.
 
-Sums and means do not depend on row order. A double sum changes in its last digits with the order rows arrive in, which after rounding to cents
-shows up as a difference of one cent between two runs. Adding whole units (cents, say) as ``bigint`` is
-exact, stays in generated code, and combines before the shuffle like any other sum.
+Sums and means do not depend on row order. A double sum changes in its last digits with the order rows arrive in, which
+after rounding to cents shows up as a difference of one cent between two runs. Each value goes, as its decimal text has
+it, into one of two sums: whole units (cents, say) as ``bigint``, which is exact and stays in generated code, or, where
+units do not give the value back, a wide decimal. Both combine before the shuffle, and neither depends on the group.
 
-A group falls back to the plain double sum when units cannot hold it: a value that is NaN, infinite or
-too large for exact whole units, or a total beyond ``bigint``.
+Only a group with a value that no wide decimal gives back (NaN, infinite, 1e14 and more, or digits beyond the 24th
+decimal) is added up as plain doubles.
 """
 
 from __future__ import annotations
@@ -13,8 +14,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Doubles represent every whole number up to here.
-_WHOLE_LIMIT = float(2**53)
+# Units up to here are added as bigint, in two parts, so that no number of rows makes a part overflow.
+_UNIT_LIMIT = float(2**43)
+_LOW_BITS = 20
+# A wide value has at most so many digits before and behind the point.
+_WIDE = "decimal(38,24)"
 
 
 # Up to here a value times 100 is off by far less than the margin kept around ties.
@@ -36,19 +40,32 @@ def round_cents(value: Column) -> Column:
 
 
 def whole_units(value: Column, places: int) -> Column:
-    """``value`` in units of ``10**-places`` as bigint, null where that is not exact."""
-    scaled = value * F.lit(float(10**places))
-    return F.when(F.abs(scaled) <= F.lit(_WHOLE_LIMIT), F.rint(scaled).cast("bigint"))
+    """``value`` in units of ``10**-places`` as bigint, null where that does not give the value back."""
+    scale = F.lit(float(10**places))
+    units = F.rint(value * scale)
+    return F.when((F.abs(units) < F.lit(_UNIT_LIMIT)) & (units / scale == value), units.cast("bigint"))
+
+
+def _wide(value: Column) -> Column:
+    """``value`` as a wide decimal, null where that does not give it back."""
+    wide = value.try_cast(_WIDE)
+    return F.when(wide.cast("double") == value, wide)
 
 
 def exact_sum(value: Column, places: int = 2) -> Column:
-    """Aggregate: sum of a double that carries at most ``places`` decimals."""
+    """Aggregate: sum of a double; ``places`` is how many decimals most values have."""
     units = whole_units(value, places)
-    all_fit = F.count(value) == F.count(units)
-    return F.coalesce(
-        F.when(all_fit, F.try_sum(units) / F.lit(float(10**places))),
-        F.sum(value),
+    high, low = F.shiftright(units, _LOW_BITS), units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
+    # Nulls and values that units hold stay out of the wide sum, so the cast is the exception, not the rule.
+    wide = F.when(value.isNotNull() & units.isNull(), _wide(value))
+    whole = F.floor(wide)
+    total_units = F.sum(high).cast("decimal(38,0)") * F.lit(1 << _LOW_BITS).cast("decimal(8,0)") + F.sum(low).cast("decimal(20,0)")
+    in_units = F.coalesce(total_units, F.lit(0)).cast("double") / F.lit(float(10**places))
+    in_wide = F.coalesce(F.sum(whole.cast("decimal(28,0)")).cast("double"), F.lit(0.0)) + F.coalesce(
+        F.sum((wide - whole).cast("decimal(27,24)")).cast("double"), F.lit(0.0)
     )
+    held = F.count(value) == F.count(units) + F.count(wide)
+    return F.when(F.count(value) == 0, F.lit(None).cast("double")).when(held, in_units + in_wide).otherwise(F.sum(value))
 
 
 def rounded_sum(value: Column, places: int = 2) -> Column:

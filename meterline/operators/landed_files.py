@@ -21,8 +21,10 @@ from meterline.functions.text import fill, quoted_list
 BAD_EXTENSION = "Invalid extension — expected {expected}, got: {key}"
 BAD_PREFIX = "Invalid S3 prefix — expected {expected}, got: {key}"
 TOO_SMALL = "File too small — {size} bytes (min: {smallest})"
+UNKNOWN_SIZE = "File size is unknown"
 UNREADABLE = "Column validation failed: {error}"
 EMPTY = "File is empty — no records found"
+UNKNOWN_COLUMNS = "Columns are unknown"
 MISSING = "Missing columns: {names}"
 
 
@@ -49,7 +51,7 @@ def prefix_error(key: Column, prefix: str = LANDING_PREFIX) -> Column:
 
 def size_error(size: Column, smallest: int = MIN_FILE_BYTES) -> Column:
     message = fill(TOO_SMALL, size=size.cast("string"), smallest=F.lit(str(smallest)))
-    return F.when(size < smallest, message)
+    return F.when(size.isNull(), F.lit(UNKNOWN_SIZE)).when(size < smallest, message)
 
 
 def missing_columns(actual: Column, required: Sequence[str] = REQUIRED_COLUMNS) -> Column:
@@ -62,6 +64,7 @@ def columns_error(actual: Column, n_rows: Column, read_error: Column, required:
     return (
         F.when(read_error.isNotNull(), fill(UNREADABLE, error=read_error))
         .when(F.coalesce(n_rows, F.lit(0)) == 0, F.lit(EMPTY))
+        .when(actual.isNull(), F.lit(UNKNOWN_COLUMNS))
         .when(F.size(missing) > 0, fill(MISSING, names=quoted_list(missing)))
     )
 

@@ -15,8 +15,8 @@ from meterline.functions.exact import rounded_mean, rounded_sum
 
 SET_NAME = "summary_name"
 
-# Distances are not rounded in silver; six decimals are kept exact when adding them up.
-DISTANCE_PLACES = 6
+# Distances are not rounded in silver; most have two decimals, others take the wide way, so none loses digits.
+DISTANCE_PLACES = 2
 
 
 def _measures() -> dict[str, Column]:

@@ -84,18 +84,18 @@ def to_gold(silver: DataFrame) -> GoldFrames:
 
 
 def bronze_stage(spark: SparkSession, layout: Layout) -> None:
-    raw = tables.scan_raw(spark, layout.raw)
-    logger.info("raw schema: %s", raw.schema.simpleString())
-    sinks.write_bronze(to_bronze(raw), layout.bronze)
+    bronze = tables.scan_raw(spark, layout.raw, to_bronze)
+    logger.info("raw schema: %s", bronze.schema.simpleString())
+    sinks.write_bronze(bronze, layout.bronze)
 
 
 def validated_bronze_stage(spark: SparkSession, layout: Layout, bucket: str) -> DataFrame:
-    """Bronze from the files that pass validation; returns the findings per file."""
+    """Bronze from the files that pass validation, in one write; returns the findings per file.
+
+    Without a valid file it fails and leaves the old bronze alone, so that nothing goes on from an earlier run's data.
+    """
     findings = cut_lineage(validate_files(manifest.file_manifest(spark, layout.raw, bucket)))
-    mode = "overwrite"
-    for scan in manifest.valid_scans(spark, findings, layout.raw):
-        to_bronze(scan).write.mode(mode).parquet(layout.bronze)
-        mode = "append"
+    sinks.write_bronze(manifest.validated_scan(spark, findings, layout.raw, to_bronze), layout.bronze)
     return findings
 
 

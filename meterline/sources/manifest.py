@@ -2,93 +2,138 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Sequence
 from functools import reduce
-from math import ceil
-from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from meterline.config import LANDING_TYPES
+from meterline.sources.stores import literal_path, split_path
 from meterline.sources.workspace import cut_lineage
 
-# Most file names handled by the driver at a time; more files are scanned in several batches.
-FILES_PER_SCAN = 50_000
+_FOOTER_SCHEMA = "path string, size bigint, columns array<string>, types array<string>, n_rows bigint, read_error string"
 
-_FOOTER_SCHEMA = "path string, size bigint, columns array<string>, n_rows bigint, read_error string"
+_FOOTER_TAIL = 8
+_MAGIC = b"PAR1"
+
+
+def list_files(spark: SparkSession, root: str) -> DataFrame:
+    """``path`` and ``size`` of every file under ``root``. Listing is Spark's; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    return files.select("path", F.col("length").alias("size"))
 
 
 def file_manifest(spark: SparkSession, root: str, bucket: str) -> DataFrame:
-    """One row per file under ``root``: name, size, columns and row count.
+    """One row per file under ``root``: name, size, columns, their types, and row count.
 
-    Listing is Spark's; file contents are not read. Footers are read where the listing's partitions are,
-    a file at a time.
+    Footers are read where the listing's partitions are, a file at a time.
     """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(root)
-        .select("path", F.col("length").alias("size"))
-    )
-    location = urlparse(root)
-    base = f"{location.netloc}{location.path}".rstrip("/") + "/"
+    _, authority, folder = split_path(root)
+    base = f"{authority}{folder}".rstrip("/") + "/"
     key = F.substr("path", F.locate(base, F.col("path")) + F.lit(len(base)))
-    return with_footers(listing).select(
-        "path", F.lit(bucket).alias("bucket"), key.alias("key"), "size", "columns", "n_rows", "read_error"
+    return with_footers(list_files(spark, root)).select(
+        "path", F.lit(bucket).alias("bucket"), key.alias("key"), "size", "columns", "types", "n_rows", "read_error"
     )
 
 
 def with_footers(listing: DataFrame) -> DataFrame:
-    """Adds column names and row count from each file's footer; a file that has none gets ``read_error``."""
+    """Adds column names, types and row count from each file's footer.
+
+    A file that is no Parquet file gets ``read_error``. A file that cannot be reached says nothing about itself: the
+    read is tried again and then fails the job.
+    """
 
-    # Nested, so that it travels to the executors with the plan and needs no installed package there.
     def read_footers(batches):
-        import pyarrow.fs
+        import pyarrow
         import pyarrow.parquet
 
-        def footer(path):
-            uri = path.replace("s3a://", "s3://", 1)
-            if uri.startswith("file:/") and not uri.startswith("file:///"):
-                uri = "file://" + uri.removeprefix("file:")
+        from meterline.sources.stores import open_store, retried
+
+        def footer_bytes(path, size):
+            store, name = open_store(path)
+            with store.open_input_file(name) as handle:
+                size = handle.size()
+                handle.seek(max(0, size - _FOOTER_TAIL))
+                tail = handle.read(_FOOTER_TAIL)
+                length = int.from_bytes(tail[:4], "little") if tail[4:] == _MAGIC else -1
+                if not 0 < length <= size - _FOOTER_TAIL:
+                    return None
+                handle.seek(size - _FOOTER_TAIL - length)
+                return handle.read(length) + tail
+
+        def footer(path, size):
+            data = retried(lambda: footer_bytes(path, size))
+            if data is None:
+                return None, None, None, "not a parquet file: no footer"
             try:
-                store, name = pyarrow.fs.FileSystem.from_uri(uri)
-                with store.open_input_file(name) as handle:
-                    metadata = pyarrow.parquet.ParquetFile(handle).metadata
-                    return list(metadata.schema.to_arrow_schema().names), metadata.num_rows, None
-            except Exception as error:  # whatever is wrong with the file becomes its finding
-                return None, None, str(error)
+                metadata = pyarrow.parquet.read_metadata(pyarrow.BufferReader(_MAGIC + data))
+                schema = metadata.schema.to_arrow_schema()
+            except (pyarrow.ArrowException, OSError, ValueError) as error:  # the bytes are at hand, so they are at fault
+                return None, None, None, f"not a parquet file: {error}"
+            return list(schema.names), [str(kind) for kind in schema.types], metadata.num_rows, None
 
         for files in batches:
-            footers = [footer(path) for path in files["path"]]
-            files["columns"] = [names for names, _, _ in footers]
-            files["n_rows"] = [rows for _, rows, _ in footers]
+            found = [footer(path, size) for path, size in zip(files["path"], files["size"])]
+            for position, column in enumerate(("columns", "types", "n_rows", "read_error")):
+                files[column] = [one[position] for one in found]
             files["n_rows"] = files["n_rows"].astype("Int64")
-            files["read_error"] = [error for _, _, error in footers]
             yield files
 
     return listing.select("path", "size").mapInPandas(read_footers, _FOOTER_SCHEMA)
 
 
-def valid_scans(
-    spark: SparkSession, validated: DataFrame, base_path: str, files_per_scan: int = FILES_PER_SCAN
-) -> Iterator[DataFrame]:
-    """Scans that together cover every valid file, each over about ``files_per_scan`` of them."""
-    valid = cut_lineage(validated.where("is_valid").select("path"))
-    batches = ceil(valid.count() / files_per_scan)
-    for batch in range(batches):
-        in_batch = F.pmod(F.xxhash64("path"), F.lit(batches)) == batch
-        paths = [row.path for row in valid.where(in_batch).collect()]
-        if paths:
-            yield spark.read.option("basePath", base_path).parquet(*paths)
+def conform(df: DataFrame, types: dict[str, str] = LANDING_TYPES) -> DataFrame:
+    """Declared columns in their declared types: integers where doubles are declared are taken, absent columns are null.
+
+    Further columns stay as they are.
+    """
+    declared = [
+        (F.col(name).cast(kind) if name in df.columns else F.lit(None).cast(kind)).alias(name) for name, kind in types.items()
+    ]
+    return df.select(*declared, *[F.col(f"`{name}`") for name in df.columns if name not in types])
+
+
+def _united(parts: Sequence[DataFrame]) -> DataFrame:
+    """All parts under one schema; a further column whose type differs between parts becomes text."""
+    kinds: dict[str, set[str]] = {}
+    for part in parts:
+        for name, kind in part.dtypes:
+            kinds.setdefault(name, set()).add(kind)
+    mixed = [name for name, found in kinds.items() if len(found) > 1]
+    cast = [
+        part.withColumns({name: F.col(f"`{name}`").cast(T.StringType()) for name in mixed if name in part.columns}) for part in parts
+    ]
+    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), cast)
+
+
+def as_it_is(df: DataFrame) -> DataFrame:
+    return df
 
 
-def validated_scan(spark: SparkSession, validated: DataFrame, base_path: str) -> DataFrame:
-    """All valid files as one table.
+def scan_files(
+    spark: SparkSession, files: DataFrame, base_path: str, each: Callable[[DataFrame], DataFrame] = as_it_is
+) -> DataFrame:
+    """The files of a manifest (``path, columns, types``) as one table under the declared schema.
 
-    The plan of a scan holds its file names. For more files than one driver should hold, loop over
-    :func:`valid_scans` and append each, as the bronze stage does.
+    ``each`` is applied to every scan before they are united, where a row still knows its file.
+
+    Files with the same columns and types are one scan, so what a column becomes depends neither on the order nor on
+    the number of files. As with any scan, the names of the files are in the plan.
     """
-    scans = list(valid_scans(spark, validated, base_path))
-    if not scans:
+    named = files.select("path", F.to_json(F.struct("columns", "types")).alias("signature"))
+    paths: dict[str, list[str]] = {}
+    for row in named.orderBy("signature", "path").toLocalIterator():
+        paths.setdefault(row["signature"], []).append(literal_path(row["path"]))
+    if not paths:
         raise ValueError("no valid file to read")
-    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), scans)
+    reader = spark.read.option("basePath", base_path)
+    return _united([each(conform(reader.parquet(*group))) for group in paths.values()])
+
+
+def validated_scan(
+    spark: SparkSession, validated: DataFrame, base_path: str, each: Callable[[DataFrame], DataFrame] = as_it_is
+) -> DataFrame:
+    """All valid files as one table; see :func:`scan_files`."""
+    return scan_files(spark, cut_lineage(validated.where("is_valid").select("path", "columns", "types")), base_path, each)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.config import LANDING_PREFIX
+from meterline.sources import manifest
+from meterline.sources.workspace import cut_lineage
 
 
 def scan(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -15,8 +19,24 @@ def scan(spark: SparkSession, path: str, schema: T.StructType | str | None = Non
     return reader.parquet(path)
 
 
-def scan_raw(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    return scan(spark, path, schema)
+def scan_raw(spark: SparkSession, path: str, each: Callable[[DataFrame], DataFrame] = manifest.as_it_is) -> DataFrame:
+    """Every landed month under the declared schema: columns a month lacks are null, further ones are kept.
+
+    ``each`` is applied where a row still knows its file.
+
+    Where months have a column in types that do not merge (a whole-number column that became a double, say), files
+    are grouped by their own types, each group is read as it is and brought to the declared types.
+    """
+    try:
+        merged = spark.read.option("mergeSchema", True).parquet(path)
+    except Exception as error:  # noqa: BLE001 - the class of a failed merge differs between versions and modes
+        if "MERGE" not in str(error).upper():
+            raise
+        files = cut_lineage(manifest.with_footers(manifest.list_files(spark, path).where(F.col("path").endswith(".parquet"))))
+        if unreadable := files.where("columns IS NULL").first():
+            raise ValueError(f"{unreadable.path}: {unreadable.read_error}") from error
+        return manifest.scan_files(spark, files, path, each)
+    return each(manifest.conform(merged))
 
 
 def scan_bronze(spark: SparkSession, path: str) -> DataFrame:
@@ -38,14 +58,16 @@ def landing_month(raw: DataFrame, year: int = 2024, month: int = 1) -> DataFrame
 
 
 def schema_report(df: DataFrame) -> DataFrame:
-    """The schema as rows."""
-    rows = [
-        (position, field.name, field.dataType.simpleString(), field.nullable)
-        for position, field in enumerate(df.schema.fields)
-    ]
-    return df.sparkSession.createDataFrame(rows, "position int, name string, type string, nullable boolean")
-
-
-def row_count(df: DataFrame) -> int:
-    """Rows of a table. A bare Parquet scan is counted from the file footers."""
-    return df.count()
+    """One row per column: its place, name and type, and how many rows have a value in it, from one pass."""
+    fields = df.schema.fields
+    counted = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(f"`{field.name}`").alias(f"filled_{n}") for n, field in enumerate(fields)])
+    described = F.array(
+        *[
+            F.struct(
+                F.lit(n).alias("position"), F.lit(field.name).alias("name"), F.lit(field.dataType.simpleString()).alias("type"),
+                F.col(f"filled_{n}").alias("filled"), F.col("rows"),
+            )
+            for n, field in enumerate(fields)
+        ]
+    )
+    return counted.select(F.inline(described))

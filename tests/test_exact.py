@@ -63,6 +63,18 @@ def test_a_total_beyond_bigint_uses_the_double_sum(spark):
     assert _one(df, exact_sum(F.col("x"))) == 3000 * 9e13
 
 
+def test_no_digit_is_lost_in_large_groups(spark):
+    for value, expected in ((4e-7, 0.4), (1.2345674, 1234567.4), (-0.1234567891234, -123456.7891234)):
+        assert _one(spark.range(1_000_000).select(F.lit(value).alias("x")), exact_sum(F.col("x"))) == expected
+
+
+def test_values_of_all_kinds_add_up_in_any_order(spark):
+    values = [(0.01,), (1e13,), (3e-9,), (-1e13,), (12345.678901,), (None,), (-0.0,)] * 40
+    expected = float(sum(Decimal(repr(value)) for (value,) in values if value is not None))
+    for order in (values, values[::-1]):
+        assert abs(_one(spark.createDataFrame(order, "x double").coalesce(1), exact_sum(F.col("x"))) - expected) < 1e-9
+
+
 def test_silver_types_and_parts(spark):
     row = shaping.shape_trips(
         trips(
