@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterline.llm.grouping import join_groups
 from meterline.llm.storage import stored
 
 WHITE_SPACE = " \t\n\x0b\x0c\r"
@@ -129,7 +130,7 @@ def exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         ),
         "copy-groups",
     )
-    decided = candidates.join(groups, "key").select(
+    decided = join_groups(candidates, groups, "key", "group_size", rows).select(
         "doc_id", F.col("stays.id").alias("keep_id"), "group_size", (F.col("row") == F.col("stays.row")).alias("kept"), digest
     )
     return alone.unionByName(decided)
