@@ -16,7 +16,7 @@ from meterline.operators.summaries import SUMMARIES
 from meterline.plans import analytics, stages
 from meterline.sources import sinks
 
-STAGES = {"bronze": stages.bronze_stage, "silver": stages.silver_stage, "gold": stages.gold_stage}
+STAGES = {name: (lambda options, place=place: options.stages()[place]) for place, name in enumerate(("bronze", "silver", "gold"))}
 
 
 def _arguments() -> argparse.ArgumentParser:
@@ -28,7 +28,11 @@ def _arguments() -> argparse.ArgumentParser:
     parser.add_argument("--run-name", help="name of the run; made from the time by default")
     parser.add_argument("--sender", help="address notices come from")
     parser.add_argument("--recipient", help="address notices go to")
-    parser.add_argument("--database", default="trips", help="catalog database for register")
+    parser.add_argument("--database", help="catalog database: of register (trips by default), and of a run that registers its tables")
+    parser.add_argument("--validate", metavar="BUCKET", help="bronze from the files that pass validation only; names their bucket")
+    parser.add_argument("--rebalance", action="store_true", help="bring the silver rows of a month together before writing")
+    parser.add_argument("--dynamic", action="store_true", help="replace only the silver months at hand")
+    parser.add_argument("--replace-rejects", action="store_true", help="write rejects even if there are none")
     parser.add_argument("--results", help="folder for the answers to the questions")
     return parser
 
@@ -39,15 +43,16 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     moved = {field.name: getattr(options, field.name) for field in dataclasses.fields(Layout)}
     layout = dataclasses.replace(Layout.under(options.base), **{name: path for name, path in moved.items() if path})
 
+    chosen = stages.RunOptions(options.validate, options.rebalance, options.dynamic, options.replace_rejects, options.database)
     if options.job in STAGES:
-        STAGES[options.job](spark, layout)
+        STAGES[options.job](chosen)(spark, layout)
     elif options.job == "run":
         run = stages.Run(layout, sender=options.sender, recipient=options.recipient)
         if options.run_name:
             run.name = options.run_name
-        stages.run_stages(spark, run)
+        stages.run_stages(spark, run, options=chosen)
     elif options.job == "register":
-        stages.register_tables(spark, layout, options.database).show(truncate=False)
+        stages.register_tables(spark, layout, options.database or "trips").show(truncate=False)
     else:
         gold = {one.name: spark.read.parquet(layout.gold_table(one.name)) for one in SUMMARIES}
         for name, question in analytics.QUESTIONS.items():

@@ -218,6 +218,18 @@ _ROW_COUNTS = over_gold(
 )
 
 
+def _held(layer: str, rows: str) -> str:
+    return f"UNION ALL SELECT '{layer}', 'rows', 'run-1', 'HELD', CAST(COUNT(*) AS VARCHAR) FROM {rows} "
+
+
+_TABLE_COUNTS = over_gold(
+    'SELECT gold_table AS table_name, row_count AS "rows" FROM ('
+    "SELECT 'daily_trip_summary' AS gold_table, COUNT(*) AS row_count FROM daily "
+    "UNION ALL SELECT 'hourly_trip_summary', COUNT(*) FROM hourly "
+    "UNION ALL SELECT 'location_trip_summary', COUNT(*) FROM location "
+    "UNION ALL SELECT 'payment_type_summary', COUNT(*) FROM payment "
+    "UNION ALL SELECT 'silver', COUNT(*) FROM silver)"
+)
 _TYPES = {
     "tpep_pickup_datetime": "timestamp_ntz", "tpep_dropoff_datetime": "timestamp_ntz", "VendorID": "bigint", "PULocationID": "bigint",
     "DOLocationID": "bigint", "payment_type": "bigint", "year": "int", "month": "int",
@@ -253,10 +265,7 @@ def _storage() -> dict[str, str]:
             'SELECT pickup_year, pickup_month, COUNT(*) AS "rows" FROM silver GROUP BY pickup_year, pickup_month'
         ),
         "register_gold": _ROW_COUNTS,
-        "list_tables": over_gold(
-            "SELECT gold_table AS table_name FROM (VALUES ('daily_trip_summary'), ('hourly_trip_summary'), "
-            "('location_trip_summary'), ('payment_type_summary'), ('silver')) AS names(gold_table)"
-        ),
+        "list_tables": _TABLE_COUNTS,
         "create_database": over_trips("SELECT 'raw' AS table_name, COUNT(*) AS \"rows\" FROM trips"),
         "add_ingestion_time": over_trips(f"SELECT {_STAMPED} FROM trips GROUP BY payment_type"),
         "add_source_file": _MONTHS,
@@ -492,25 +501,19 @@ def _control() -> dict[str, str]:
             "FROM tagged GROUP BY ALL"
         ),
         "run_stages": _ROW_COUNTS,
-        "on_success": (
+        "on_success": over_trips(
             "SELECT * FROM (VALUES "
             "('audit', 'trip-run', 'run-1', 'SUCCEEDED', 'All pipeline stages completed successfully'), "
             "('notice', 'trip-run', 'run-1', 'SUCCEEDED', 'Trip Pipeline completed — Bronze → Silver → Gold done')"
-            ") AS outcome(channel, job_name, job_run_id, state, message)"
+            ") AS outcome(channel, job_name, job_run_id, state, message) "
+            + _held("bronze", "tagged") + _held("silver", "valid") + _held("reject", "tagged WHERE dq_status = 'REJECTED'")
         ),
-        "on_failure": (
+        "on_failure": over_trips(
             "SELECT * FROM (VALUES ('audit', 'trip-run', 'run-1', 'FAILED', 'Pipeline failed'), "
             "('notice', 'trip-run', 'run-1', 'FAILED', 'Trip Pipeline FAILED — check logs')"
-            ") AS outcome(channel, job_name, job_run_id, state, message)"
-        ),
-        "post_run_register": over_gold(
-            'SELECT gold_table AS table_name, row_count AS "rows" FROM ('
-            "SELECT 'daily_trip_summary' AS gold_table, COUNT(*) AS row_count FROM daily "
-            "UNION ALL SELECT 'hourly_trip_summary', COUNT(*) FROM hourly "
-            "UNION ALL SELECT 'location_trip_summary', COUNT(*) FROM location "
-            "UNION ALL SELECT 'payment_type_summary', COUNT(*) FROM payment "
-            "UNION ALL SELECT 'silver', COUNT(*) FROM silver)"
+            ") AS outcome(channel, job_name, job_run_id, state, message) " + _held("bronze", "trips")
         ),
+        "post_run_register": _TABLE_COUNTS,
     }
 
 

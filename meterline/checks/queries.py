@@ -259,7 +259,7 @@ def _(spark, sf_dir):
 @query("list_tables")
 def _(spark, sf_dir):
     _, database = registered_lake(spark, sf_dir)
-    return catalog.list_tables(spark, database).select("table_name")
+    return counts_by_table(spark, database, [row.table_name for row in catalog.list_tables(spark, database).collect()])
 
 
 @query("create_database")
@@ -586,8 +586,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     layout = landed(spark, sf_dir)
     trips = landing_stream(spark, layout.raw, raw_trips(spark, sf_dir).schema)
-    for writer in quality_split(trips, layout.silver, layout.reject, fresh_folder(spark, "progress")):
-        run_available(writer)
+    run_available(quality_split(trips, layout.silver, layout.reject, fresh_folder(spark, "progress")))
     valid = tables.scan_silver(spark, layout.silver).select("PULocationID", F.lit(quality.VALID).alias("outcome"))
     rejects = spark.read.parquet(layout.reject).select("PULocationID", F.col(quality.REASON).alias("outcome"))
     return valid.unionAll(rejects).groupBy("PULocationID", "outcome").agg(F.count(F.lit(1)).alias("rows"))
@@ -604,13 +603,18 @@ def _(spark, sf_dir):
 # --- runs -----------------------------------------------------------------------------------------------
 
 
-def _outcome(spark: SparkSession, run: stages.Run) -> DataFrame:
+def _outcome(spark: SparkSession, run: stages.Run, layers: dict[str, str]) -> DataFrame:
+    """What was recorded and sent, beside how many rows each finished layer holds."""
     recorded = control.audit_table(spark, run.layout.audit)
     mailed = spark.read.parquet(run.layout.outbox)
     fields = ["job_name", "job_run_id", "state", "message"]
-    return recorded.select(F.lit("audit").alias("channel"), *fields).unionAll(
-        mailed.select(F.lit("notice").alias("channel"), *fields)
-    )
+    said = recorded.select(F.lit("audit").alias("channel"), *fields).unionAll(mailed.select(F.lit("notice").alias("channel"), *fields))
+    held = [
+        spark.read.parquet(path).agg(F.count(F.lit(1)).cast("string").alias("message"))
+        .select(F.lit(name).alias("channel"), F.lit("rows").alias("job_name"), F.lit(run.name).alias("job_run_id"), F.lit("HELD").alias("state"), "message")
+        for name, path in layers.items()
+    ]
+    return reduce(DataFrame.unionAll, [said, *held])
 
 
 @query("run_stages")
@@ -626,19 +630,20 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     run = stages.Run(landed(spark, sf_dir), name="run-1")
     stages.run_stages(spark, run)
-    return _outcome(spark, run)
+    return _outcome(spark, run, {"bronze": run.layout.bronze, "silver": run.layout.silver, "reject": run.layout.reject})
 
 
 @query("on_failure")
 def _(spark, sf_dir):
-    """A run over a landing without distances: bronze passes, silver cannot be computed."""
-    layout = Layout.under(fresh_folder(spark, "lake"))
-    land(raw_trips(spark, sf_dir).drop("trip_distance"), layout.raw)
-    run = stages.Run(layout, name="run-1")
+    """A run whose silver cannot be written, since a file stands where its folder should: bronze passes."""
+    layout = landed(spark, sf_dir)
+    spark.range(1).coalesce(1).write.parquet(f"{layout.silver}-blocker")
+    blocker = spark.read.format("binaryFile").load(f"{layout.silver}-blocker").first().path
+    run = stages.Run(Layout(**{**vars(layout), "silver": f"{blocker}/silver"}), name="run-1")
     try:
         stages.run_stages(spark, run)
     except stages.RunFailed:
-        return _outcome(spark, run)
+        return _outcome(spark, run, {"bronze": run.layout.bronze})
     raise AssertionError("the run should have failed")
 
 

@@ -16,6 +16,9 @@ AUDIT_FIELDS = ("job_name", "state", "message", "started_on", "completed_on", "l
 # Fixed value: how long audit records are kept.
 RETENTION_DAYS = 90
 
+# The day a record was logged, by which the stored log is partitioned.
+LOGGED_DAY = "logged_day"
+
 
 def parse_run_event(events: DataFrame, body: str = "body") -> DataFrame:
     """Audit fields of each stage event (JSON text in ``body``); other columns are carried along."""
@@ -65,10 +68,12 @@ def within_retention(records: DataFrame, as_of: dt.datetime, days: int = RETENTI
     """Records logged within ``days`` of ``as_of`` (UTC).
 
     ``logged_at`` is ISO text in UTC, which sorts as time does, so comparing text keeps the filter one
-    the scan can use. The boundary is a whole second, and a record at that second is kept.
+    the scan can use. The boundary is a whole second, and a record at that second is kept. Where the day of logging is
+    a column, as in the stored log, days before the boundary's are not read.
     """
-    oldest = (as_of - dt.timedelta(days=days)).strftime("%Y-%m-%dT%H:%M:%S")
-    return records.where(F.col("logged_at") >= oldest)
+    oldest = as_of - dt.timedelta(days=days)
+    kept = records.where(F.col("logged_at") >= oldest.strftime("%Y-%m-%dT%H:%M:%S"))
+    return kept.where(F.col(LOGGED_DAY) >= F.lit(oldest.date())) if LOGGED_DAY in records.columns else kept
 
 
 def status_counts(records: DataFrame) -> DataFrame:

@@ -36,20 +36,25 @@ def completed(last_job: str = GOLD_JOB) -> Column:
     return succeeded() & (F.col("event.detail.jobName") == last_job)
 
 
+def route_events(opened: DataFrame, last_job: str = GOLD_JOB) -> DataFrame:
+    """One row per event and matching rule; an event no rule matches gives none. Works on streams."""
+    rules = {"success": succeeded(), "failure": failed(), "complete": completed(last_job)}
+    matched = F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in rules.items()]))
+    return opened.withColumn("rule", F.explode(matched))
+
+
+def _route(opened: DataFrame, rule: str, last_job: str = GOLD_JOB) -> DataFrame:
+    """Events of one rule. The rules are made rows first, so that no filter is pushed below the one parse."""
+    return route_events(opened, last_job).where(F.col("rule") == rule).drop("rule")
+
+
 def route_success(opened: DataFrame) -> DataFrame:
-    return opened.where(succeeded())
+    return _route(opened, "success")
 
 
 def route_failure(opened: DataFrame) -> DataFrame:
-    return opened.where(failed())
+    return _route(opened, "failure")
 
 
 def route_complete(opened: DataFrame, last_job: str = GOLD_JOB) -> DataFrame:
-    return opened.where(completed(last_job))
-
-
-def route_events(opened: DataFrame, last_job: str = GOLD_JOB) -> DataFrame:
-    """One row per event and matching rule; an event no rule matches gives none. Works on streams."""
-    rules = {"success": succeeded(), "failure": failed(), "complete": completed(last_job)}
-    matched = F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in rules.items()]))
-    return opened.withColumn("rule", F.explode(matched))
+    return _route(opened, "complete", last_job)

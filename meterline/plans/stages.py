@@ -10,6 +10,7 @@ import datetime as dt
 import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +78,14 @@ class GoldFrames(dict):
         self[name] = summaries.summarise(self._silver, summary)
         return self[name]
 
+    def row_counts(self) -> DataFrame:
+        """Rows of every summary, from one scan of silver."""
+        combined = summaries.summarise_all(self._silver)
+        names = [one.name for one in summaries.SUMMARIES]
+        counted = combined.agg(*[F.count_if(F.col(summaries.SET_NAME) == name).alias(name) for name in names])
+        rows = F.array(*[F.struct(F.lit(name).alias("gold_table"), F.col(name).alias("row_count")) for name in names])
+        return counted.select(F.inline(rows))
+
 
 def to_gold(silver: DataFrame) -> GoldFrames:
     """Each summary as a frame of its own, for questions that need only some of them."""
@@ -105,17 +114,24 @@ def silver_stage(
     bounds: QualityBounds = QualityBounds(),
     rebalance: bool = False,
     always_write_rejects: bool = False,
+    dynamic: bool = False,
 ) -> SilverReport:
-    """Rejects, then silver, each counted while it is written."""
+    """Silver, counted while it is written, then rejects if bronze holds more rows than silver took.
+
+    Bronze is gone through once without rejects and twice with them: its own count comes from the file footers.
+    """
     bronze = tables.scan_bronze(spark, layout.bronze)
     reasons = [rule.reason for rule in quality.trip_rules(bounds)]
     written, refused = Observation("silver"), Observation("reject")
-    rejects = to_rejects(bronze, bounds)
-    wrote = sinks.write_reject(rejects, layout.reject, always_write_rejects, observation=refused, reasons=reasons)
-    sinks.write_silver(to_silver(bronze, bounds), layout.silver, rebalance=rebalance, observation=written)
-
-    rejected = {reason: count for reason, count in refused.get.items() if count} if wrote else {}
-    report = SilverReport(written.get.get("rows", 0), rejected)
+    sinks.write_silver(to_silver(bronze, bounds), layout.silver, dynamic, rebalance, written)
+    valid = written.get.get("rows", 0)
+    rejected: dict[str, int] = {}
+    if always_write_rejects or tables.row_count(bronze) > valid:
+        rejects = to_rejects(bronze, bounds)
+        sinks.write_reject(rejects, layout.reject, always=True, observation=refused, reasons=reasons)
+        rejected = {reason: count for reason, count in refused.get.items() if count}
+
+    report = SilverReport(valid, rejected)
     logger.info(
         "silver: valid %d, rejected %d, total %d, rejection rate %.2f%%",
         report.valid, sum(rejected.values()), report.total, report.rejection_rate,
@@ -144,6 +160,29 @@ class RunFailed(RuntimeError):
     """A stage failed; the cause is attached."""
 
 
+@dataclass(frozen=True)
+class RunOptions:
+    """How a run differs from the plain one.
+
+    ``bucket`` names where files landed and makes bronze from the valid ones only; ``rebalance`` brings a month's silver
+    rows together; ``dynamic`` replaces only the months at hand; ``replace_rejects`` writes rejects even if there are
+    none; ``database`` registers the tables after gold.
+    """
+
+    bucket: str | None = None
+    rebalance: bool = False
+    dynamic: bool = False
+    replace_rejects: bool = False
+    database: str | None = None
+
+    def stages(self) -> tuple[Callable[[SparkSession, Layout], object], ...]:
+        bronze = bronze_stage if self.bucket is None else partial(validated_bronze_stage, bucket=self.bucket)
+        silver = partial(
+            silver_stage, rebalance=self.rebalance, dynamic=self.dynamic, always_write_rejects=self.replace_rejects
+        )
+        return bronze, silver, gold_stage
+
+
 def default_stages() -> tuple[Callable[[SparkSession, Layout], object], ...]:
     return (bronze_stage, silver_stage, gold_stage)
 
@@ -216,12 +255,17 @@ def run_stages(
     spark: SparkSession,
     run: Run,
     stages: Sequence[Callable[[SparkSession, Layout], object]] | None = None,
+    options: RunOptions | None = None,
 ) -> None:
-    """Runs the stages in order and stops at the first that fails."""
-    for stage in default_stages() if stages is None else stages:
+    """Runs the stages in order and stops at the first that fails; with a database, registers the tables at the end."""
+    options = options or RunOptions()
+    chosen = list(options.stages() if stages is None else stages)
+    if options.database is not None:
+        chosen.append(partial(register_tables, database=options.database))
+    for stage in chosen:
         try:
             stage(spark, run.layout)
         except Exception as error:
             on_failure(spark, run)
-            raise RunFailed(f"{run.name}: {stage.__name__} failed") from error
+            raise RunFailed(f"{run.name}: {getattr(stage, 'func', stage).__name__} failed") from error
     on_success(spark, run)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from meterline.config import LANDING_PREFIX
 from meterline.operators.summaries import SUMMARIES
+from meterline.sources.stores import split_path
 
 
 def _quoted(*parts: str) -> str:
@@ -24,14 +25,32 @@ def _text(value: str) -> str:
     return f"'{escaped}'"
 
 
+def _registered(spark: SparkSession, name: str) -> tuple[str, list[tuple[str, str]]]:
+    """Location and columns of a registered table."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    location = next((row.data_type for row in described if row.col_name == "Location"), "")
+    return location, [(field.name, field.dataType.simpleString()) for field in spark.table(name).schema.fields]
+
+
+def _same_place(left: str, right: str) -> bool:
+    return split_path(left.rstrip("/")) == split_path(right.rstrip("/"))
+
+
 def register_table(spark: SparkSession, database: str, table: str, path: str) -> None:
     """Names the Parquet table at ``path``.
 
-    A table that is already registered keeps its registration. Its partitions are brought in line with
-    the folders each time, including partitions an overwrite removed.
+    Registering again follows the table: where its columns or its place have changed, the name is given anew; the data
+    is external and not touched. Partitions are brought in line with the folders each time, including partitions an
+    overwrite removed.
     """
     name = _quoted(database, table)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION {_text(path)}")
+    if spark.catalog.tableExists(name):
+        location, columns = _registered(spark, name)
+        stored = [(field.name, field.dataType.simpleString()) for field in spark.read.option("mergeSchema", True).parquet(path).schema.fields]
+        if not _same_place(location, path) or sorted(columns) != sorted(stored):
+            spark.sql(f"DROP TABLE {name}")
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"CREATE TABLE {name} USING parquet OPTIONS (mergeSchema 'true') LOCATION {_text(path)}")
     if any(column.isPartition for column in spark.catalog.listColumns(name)):
         spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     spark.catalog.refreshTable(name)

@@ -8,19 +8,20 @@ when a key is written again.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.operators.audit import latest_records, stamp_logged
+from meterline.operators.audit import LOGGED_DAY, RETENTION_DAYS, latest_records, stamp_logged, within_retention
 from meterline.operators.notices import notification_log, notification_outbox, render_notification
 
 AUDIT_LOG_SCHEMA = (
     "job_run_id string, event_time string, job_name string, state string, message string, "
-    "started_on string, completed_on string, logged_at string, sequence bigint, batch string"
+    "started_on string, completed_on string, logged_at string, sequence bigint, batch string, logged_day date"
 )
-_AUDIT_COLUMNS = [field.split()[0] for field in AUDIT_LOG_SCHEMA.split(", ")]
+_AUDIT_COLUMNS = [field.split()[0] for field in AUDIT_LOG_SCHEMA.split(", ") if not field.startswith("batch ")]
 
 
 def _write_batch(df: DataFrame, path: str, batch: str | None, partition_by: tuple[str, ...] = ()) -> None:
@@ -33,13 +34,25 @@ def append_audit(parsed: DataFrame, path: str, batch: str | None = None) -> None
     stamped = stamp_logged(parsed)
     if "sequence" not in stamped.columns:
         stamped = stamped.withColumn("sequence", F.lit(0).cast("bigint"))
-    _write_batch(stamped.select(*[name for name in _AUDIT_COLUMNS if name != "batch"]), path, batch)
+    dated = stamped.withColumn(LOGGED_DAY, F.to_date(F.left("logged_at", F.lit(10))))
+    _write_batch(dated.select(*_AUDIT_COLUMNS), path, batch, (LOGGED_DAY,))
 
 
 def audit_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(AUDIT_LOG_SCHEMA).parquet(path)
 
 
+def compact_audit(spark: SparkSession, path: str, target: str, as_of: dt.datetime, days: int = RETENTION_DAYS) -> None:
+    """Writes to ``target`` a log that shows the same audit table in one batch, without records past their retention.
+
+    The old log is left as it is; whoever owns it switches to ``target`` and removes the old folder.
+    """
+    kept = within_retention(audit_log(spark, path), as_of, days)
+    latest = latest_records(kept, "logged_at", "sequence").withColumn("sequence", F.lit(0).cast("bigint"))
+    dated = latest.withColumn(LOGGED_DAY, F.to_date(F.left("logged_at", F.lit(10))))
+    _write_batch(dated.select(*_AUDIT_COLUMNS).hint("rebalance", LOGGED_DAY), target, "compacted", (LOGGED_DAY,))
+
+
 def audit_table(spark: SparkSession, path: str) -> DataFrame:
     """Latest record per run and event time."""
     return latest_records(audit_log(spark, path), "logged_at", "sequence")

@@ -71,3 +71,8 @@ def schema_report(df: DataFrame) -> DataFrame:
         ]
     )
     return counted.select(F.inline(described))
+
+
+def row_count(df: DataFrame) -> int:
+    """Rows of a table. A bare Parquet scan is counted from the file footers."""
+    return df.count()

@@ -7,17 +7,20 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from meterline.operators.audit import parse_run_event
 from meterline.sources.control import append_audit
+from meterline.streaming.landing import batch_names
 
 
 def stream_audit(events: DataFrame, audit_path: str, checkpoint: str, name: str) -> DataStreamWriter:
-    """Appends each micro-batch to the audit log under a batch id made of ``name`` and its number.
+    """Appends each micro-batch to the audit log under a batch id of its own.
 
-    A batch that is processed again after a failure replaces its own folder, so no record doubles. The
-    query keeps no state: "latest per key" is taken when the audit table is read.
+    A batch that is processed again after a failure replaces its own folder, so no record doubles. A new checkpoint
+    is a new query and starts new folders, whatever its name. The query keeps no state: "latest per key" is taken when
+    the audit table is read.
     """
     parsed = parse_run_event(events)
+    batch_name = batch_names(checkpoint, name)
 
     def append(batch: DataFrame, number: int) -> None:
-        append_audit(batch, audit_path, batch=f"{name}-{number}")
+        append_audit(batch, audit_path, batch=batch_name(batch, number))
 
     return parsed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(append)

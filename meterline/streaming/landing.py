@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -25,6 +28,22 @@ def to_table(stream: DataFrame, path: str, checkpoint: str, partition_by: tuple[
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
+def batch_names(checkpoint: str, name: str) -> Callable[[DataFrame, int], str]:
+    """Names for micro-batches, the same whenever a batch is tried again and never those of another query.
+
+    Spark writes a query's own id into its checkpoint before the first batch.
+    """
+    known: list[str] = []
+
+    def name_of(batch: DataFrame, number: int) -> str:
+        if not known:
+            lines = batch.sparkSession.read.text(f"{checkpoint.rstrip('/')}/metadata").collect()
+            known.append(json.loads("".join(line.value for line in lines))["id"])
+        return f"{name}-{known[0]}-{number}"
+
+    return name_of
+
+
 def run_available(writer: DataStreamWriter) -> StreamingQuery:
     """Processes everything that is there now, then stops; an error in the stream is raised here."""
     query = writer.trigger(availableNow=True).start()

@@ -6,20 +6,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from meterline.config import QualityBounds
-from meterline.operators.quality import REASON
 from meterline.plans.stages import to_rejects, to_silver
-from meterline.sources.sinks import SILVER_PARTITIONS
-from meterline.streaming.landing import to_table
+from meterline.sources import sinks
+from meterline.streaming.landing import batch_names
 
 
 def quality_split(
     bronze: DataFrame, silver_path: str, reject_path: str, checkpoint: str, bounds: QualityBounds = QualityBounds()
-) -> tuple[DataStreamWriter, DataStreamWriter]:
-    """Two stateless queries, one per table, each with its own progress.
+) -> DataStreamWriter:
+    """One stateless query that writes both tables, a folder per micro-batch (``batch=<id>``) in each.
 
-    A row is judged by itself, so nothing is kept between batches, and a query that falls behind or
-    fails does not touch the other's table.
+    A batch that is tried again replaces its own folders, so no row doubles or is missing in one of the tables. Silver
+    rows move nowhere; rejects are brought together by reason, so a batch leaves a file set per reason and not one per
+    task.
     """
-    silver = to_table(to_silver(bronze, bounds), silver_path, f"{checkpoint}/silver", SILVER_PARTITIONS)
-    rejects = to_table(to_rejects(bronze, bounds), reject_path, f"{checkpoint}/reject", (REASON,))
-    return silver, rejects
+    batch_name = batch_names(checkpoint, "split")
+
+    def split(batch: DataFrame, number: int) -> None:
+        folder = f"batch={batch_name(batch, number)}"
+        # The batch is read once for both tables; lost blocks are read again from its files.
+        batch.persist()
+        try:
+            sinks.write_silver(to_silver(batch, bounds), f"{silver_path.rstrip('/')}/{folder}")
+            sinks.write_reject(to_rejects(batch, bounds), f"{reject_path.rstrip('/')}/{folder}", always=True)
+        finally:
+            batch.unpersist()
+
+    return bronze.writeStream.option("checkpointLocation", checkpoint).foreachBatch(split)

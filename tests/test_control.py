@@ -67,6 +67,30 @@ def test_retention_boundary(spark):
     assert [row.logged_at for row in kept.collect()] == logged[:1]
 
 
+def test_retention_reads_only_the_days_it_keeps_and_compaction_drops_the_others(spark, tmp_path):
+    path, target = str(tmp_path / "audit"), str(tmp_path / "compacted")
+    parsed = audit.parse_run_event(_events(spark, _stage_event("RUNNING"), _stage_event("FAILED"), _stage_event("STOPPED", jobRunId="r2")))
+    control.append_audit(parsed, path)
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    kept = audit.within_retention(control.audit_log(spark, path), now)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "logged_day" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert kept.count() == 3
+    before = sorted(map(str, control.audit_table(spark, path).collect()))
+    control.compact_audit(spark, path, target, now)
+    assert sorted(map(str, control.audit_table(spark, target).collect())) == before
+    assert control.audit_log(spark, target).count() == 2
+    control.compact_audit(spark, path, str(tmp_path / "later"), now + dt.timedelta(days=200))
+    assert control.audit_log(spark, str(tmp_path / "later")).count() == 0
+
+
+@pytest.mark.parametrize("route", [routing.route_success, routing.route_failure, routing.route_complete, routing.route_events])
+def test_events_are_parsed_once(spark, sf_dir, route):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("to_json(struct(*)) AS body")
+    plan = route(routing.open_events(events)).select("event.detail.state")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") <= 1
+
+
 @pytest.mark.parametrize(
     ("event", "rules"),
     [

@@ -22,3 +22,10 @@ def test_stages_one_by_one(spark, sf_dir, tmp_path):
         main([job, *paths], spark)
     main(["register", *paths, "--database", "from_main"], spark)
     assert spark.table("from_main.daily_trip_summary").count() > 0
+
+
+def test_options_reach_the_stages(spark, sf_dir, tmp_path):
+    paths = ["--base", str(tmp_path), "--raw", queries.landed(spark, sf_dir).raw]
+    main(["run", *paths, "--validate", "bucket", "--rebalance", "--dynamic", "--replace-rejects", "--database", "from_run"], spark)
+    assert [row.state for row in control.audit_table(spark, f"{tmp_path}/control/audit").collect()] == ["SUCCEEDED"]
+    assert spark.table("from_run.silver").count() > 0 and spark.table("from_run.payment_type_summary").count() > 0

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterline.checks import queries
+from meterline.config import Layout
 from meterline.operators import lineage, quality, summaries
 from meterline.plans import analytics, stages
 from meterline.sources import catalog, sinks, tables, workspace
@@ -133,3 +134,31 @@ def test_silver_write_keeps_all_rows(spark, sf_dir, tmp_path, rebalance):
     silver = queries.silver_trips(spark, sf_dir)
     sinks.write_silver(silver, str(tmp_path / "s"), rebalance=rebalance)
     assert tables.scan_silver(spark, str(tmp_path / "s")).count() == silver.count()
+
+
+def test_registration_follows_columns_and_place(spark, tmp_path):
+    database = queries.new_database(spark)
+    catalog.create_database(spark, database)
+    first, second = (str(tmp_path / name) for name in ("first", "second"))
+    spark.range(3).write.parquet(first)
+    catalog.register_table(spark, database, "t", first)
+    spark.range(2).selectExpr("id", "id * 2 AS more").write.mode("append").parquet(first)
+    catalog.register_table(spark, database, "t", first)
+    assert set(spark.table(f"`{database}`.t").columns) == {"id", "more"} and spark.table(f"`{database}`.t").count() == 5
+    spark.range(7).write.parquet(second)
+    catalog.register_table(spark, database, "t", second)
+    assert spark.table(f"`{database}`.t").count() == 7 and spark.read.parquet(first).count() == 5
+
+
+def test_bronze_is_gone_through_once_without_rejects_and_twice_with_them(spark, tmp_path):
+    layout = Layout.under(str(tmp_path))
+    for changes, passes in ((({}, {}), 1), (({}, {"fare_amount": 0.0}), 2)):
+        sinks.write_bronze(trips(spark, *changes).drop("id"), layout.bronze)
+        scanned = []
+        writes = sinks.write_table
+        sinks.write_table = lambda df, *a, **k: (scanned.append(a[0]), writes(df, *a, **k))[1]
+        try:
+            stages.silver_stage(spark, layout)
+        finally:
+            sinks.write_table = writes
+        assert len(scanned) == passes

@@ -93,14 +93,27 @@ def test_audit_stream_goes_on_after_a_restart_without_doubles(spark, sf_dir, tmp
     assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
 
 
+def test_audit_streams_of_one_name_do_not_overwrite_each_other(spark, sf_dir, tmp_path):
+    log = str(tmp_path / "log")
+    events = adapters.run_events(queries.table(spark, sf_dir, "events")).withColumnRenamed("event_id", "sequence")
+    for number in (1, 2):
+        source = str(tmp_path / f"in-{number}")
+        events.where(F.col("sequence") == number).write.parquet(source)
+        run_available(stream_audit(stream_landing(spark, source, events.schema), log, str(tmp_path / f"p-{number}"), "events"))
+    assert control.audit_log(spark, log).count() == 2
+
+
 def test_split_stream_gives_the_batch_tables(spark, sf_dir, tmp_path):
     source, silver, reject, progress = (str(tmp_path / name) for name in ("in", "silver", "reject", "progress"))
     raw = queries.raw_trips(spark, sf_dir)
     raw.repartition(3).write.parquet(source)
     stream = stream_landing(spark, source, raw.schema, files_per_trigger=1)
-    for writer in quality_split(stream, silver, reject, progress):
-        query = run_available(writer)
-        assert len([step for step in query.recentProgress if step.numInputRows]) == 3
+    query = run_available(quality_split(stream, silver, reject, progress))
+    batches = [step for step in query.recentProgress if step.numInputRows]
+    assert len(batches) == 3 and sum(step.numInputRows for step in batches) == raw.count()  # each row is read once
+    reasons = stages.to_rejects(raw).select(REASON).distinct().count()
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(reject).count()
+    assert files <= 3 * reasons
     assert spark.read.parquet(silver).count() == stages.to_silver(raw).count()
     counts = lambda df: {row[REASON]: row["count"] for row in df.groupBy(REASON).count().collect()}
     assert counts(spark.read.parquet(reject)) == counts(stages.to_rejects(raw))
