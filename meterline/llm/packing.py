@@ -14,8 +14,8 @@ of any name may be there.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from itertools import chain
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,30 +30,134 @@ NUMBERING_PARTS = 256
 # Tokenised words a worker keeps at most.
 KNOWN_WORDS = 1_000_000
 
-# White space at which the tokenizers' words certainly end.
-_BETWEEN_WORDS = re.compile(r"[ \t\n\r]+")
+# Bytes of text tokenised at a time.
+BATCH_BYTES = 4_000_000
+
+# Letters followed by these signs are two words for a tokenizer that separates letters from signs; both repeat more often.
+SIGNS = ".,!?;:"
+# Fixed value: how the tokenizer's vocabulary marks the last token of a word.
+WORD_END = "</w>"
 
 PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
 
-_WORKER: dict[str, tuple[object, dict[str, bytes]]] = {}
 
+class WordIds:
+    """Ids of words, each tokenised once while there is room."""
+
+    def __init__(self, tokenizer):
+        import numpy as np
 
-def _id_bytes(text: str | None, tokenizer, known: dict[str, bytes]) -> bytes:
-    """Ids of a text as little-endian 32-bit numbers. Words do not influence each other, and they repeat."""
-    import numpy as np
+        self.np, self.tokenizer = np, tokenizer
+        vocabulary = tokenizer.get_vocab()
+        self.word_ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.word_ends[[number for token, number in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        np = self.np
+        # Number of each word, and the ids of all words in a row with where each word's end.
+        self.numbers: dict[str, int] = {}
+        self.flat = np.zeros(0, dtype=np.int32)
+        self.offsets = np.zeros(1, dtype=np.int64)
+
+    def _keep(self, words: list[str], ids, sizes) -> None:
+        np = self.np
+        self.numbers.update(zip(words, range(len(self.numbers), len(self.numbers) + len(words))))
+        self.flat = np.concatenate([self.flat, ids])
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(sizes)])
+
+    def _learn(self, words: list[str]) -> None:
+        """Tokenises many words as one text. Each is letters or signs only, so each is one word to the tokenizer, and
+        the last token of a word carries its end mark."""
+        np = self.np
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype=np.int32)
+        ends = np.flatnonzero(self.word_ends[ids]) + 1
+        if len(ends) == len(words):
+            self._keep(words, ids, np.diff(ends, prepend=0))
+        else:
+            self._learn_singly(words)
+
+    def _learn_singly(self, words: list[str]) -> None:
+        np = self.np
+        ids = [encoded.ids for encoded in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        self._keep(words, np.array(list(chain.from_iterable(ids)), dtype=np.int32), np.array(list(map(len, ids)), dtype=np.int64))
+
+    def _ids_of(self, numbers):
+        """Ids of the words with these numbers in a row, and how many each has."""
+        np = self.np
+        sizes = self.offsets[numbers + 1] - self.offsets[numbers]
+        ends = np.cumsum(sizes)
+        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.offsets[numbers] - (ends - sizes), sizes)
+        return self.flat[places], sizes
+
+    def _numbers_of(self, words: list[str]):
+        np = self.np
+        missing = [word for word in words if word not in self.numbers]
+        if len(self.numbers) + len(missing) > KNOWN_WORDS:
+            self._forget()
+            missing = words
+        cores = [word.rstrip(SIGNS) for word in missing]
+        # Some letters become letter and mark in lower case, hence the second look.
+        letters = [core.lower().isalpha() for core in cores]
+        joined = [(word, core) for word, core, plain in zip(missing, cores, letters) if plain and len(core) < len(word)]
+        plain = {core for core, is_plain in zip(cores, letters) if is_plain} | {word[len(core) :] for word, core in joined}
+        if plain := [word for word in plain if word not in self.numbers]:
+            self._learn(plain)
+        if odd := [word for word, is_plain in zip(missing, letters) if not is_plain and word not in self.numbers]:
+            self._learn_singly(odd)
+        if joined:
+            halves = np.array(
+                [self.numbers[part] for word, core in joined for part in (core, word[len(core) :])], dtype=np.int64
+            )
+            ids, sizes = self._ids_of(halves)
+            self._keep([word for word, _ in joined], ids, sizes[0::2] + sizes[1::2])
+        return np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words))
+
+    def encode(self, texts, end_token: int):
+        """Ids of all texts of an Arrow array in a row, the end token behind each, and where each text's end."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        np = self.np
+        texts = pc.fill_null(texts, "")
+        # Special tokens are told by their exact letters, so texts that may hold one are not lower-cased first.
+        whole = np.flatnonzero(pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False))
+        if len(whole):
+            mask = np.zeros(len(texts), dtype=bool)
+            mask[whole] = True
+            plain = pc.replace_with_mask(texts, pa.array(mask), pa.array([""] * len(whole), texts.type))
+        else:
+            plain = texts
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(plain))
+        coded = lists.flatten().dictionary_encode()
+        words = self._numbers_of(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        ids, sizes = self._ids_of(words)
+        ends = np.cumsum(sizes)
+        text_ends = np.concatenate([[0], ends])[np.cumsum(pc.list_value_length(lists).to_numpy())]
+        starts = np.concatenate([[0], text_ends[:-1]]) if len(text_ends) else text_ends
+        end = np.array([end_token], dtype="<u4").tobytes()
+        out = [ids[a:b].astype("<u4").tobytes() + end for a, b in zip(starts, text_ends)]
+        for row in whole:
+            encoded = self.tokenizer.encode(texts[int(row)].as_py(), add_special_tokens=False)
+            out[row] = np.array(encoded.ids, dtype="<u4").tobytes() + end
+        return out
 
-    words = _BETWEEN_WORDS.split(text or "")
-    try:
-        return b"".join(map(known.__getitem__, words))
-    except KeyError:
-        pass
-    missing = [word for word in set(words) if word not in known]
-    if len(known) + len(missing) > KNOWN_WORDS:
-        known.clear()
-        missing = list(set(words))
-    for word, encoded in zip(missing, tokenizer.encode_batch(missing, add_special_tokens=False)):
-        known[word] = np.array(encoded.ids, dtype="<u4").tobytes()
-    return b"".join(map(known.__getitem__, words))
+
+_WORKER: dict[str, WordIds] = {}
+
+
+def _runs(texts) -> Iterator[tuple[int, int]]:
+    """Runs of rows with about BATCH_BYTES of text each."""
+    import pyarrow.compute as pc
+
+    start = total = 0
+    for position, size in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        total += size
+        if total >= BATCH_BYTES:
+            yield start, position + 1
+            start, total = position + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
 
 
 def token_pieces(
@@ -62,37 +166,34 @@ def token_pieces(
 ) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32``: each document's tokens and the end token, cut where too long.
 
-    The tokenizer must drop white space between words, as models with word-end marks do; its file must be on
-    every executor.
+    The tokenizer must take lower case, separate letters from signs and drop white space between words, as models
+    with word-end marks do; its file must be on every executor.
     """
 
     def work(batches):
         import os
         import zlib
 
-        import numpy as np
         import pyarrow as pa
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        os.environ.setdefault("RAYON_NUM_THREADS", "1")
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         if tokenizer_path not in _WORKER:
-            _WORKER[tokenizer_path] = Tokenizer.from_file(tokenizer_path), {}
-        tokenizer, known = _WORKER[tokenizer_path]
-        end = np.array([end_token], dtype="<u4").tobytes()
+            _WORKER[tokenizer_path] = WordIds(Tokenizer.from_file(tokenizer_path))
+        words = _WORKER[tokenizer_path]
         width = 4 * sequence_tokens
         for batch in batches:
             rows, pieces, starts, lengths, sums = [], [], [], [], []
-            for row, value in enumerate(batch.column(1)):
-                ids = _id_bytes(value.as_py(), tokenizer, known) + end
-                for number, at in enumerate(range(0, len(ids), width)):
-                    part = ids[at : at + width]
-                    rows.append(row)
-                    pieces.append(number)
-                    starts.append(at // 4)
-                    lengths.append(len(part) // 4)
-                    sums.append(zlib.crc32(part))
+            for first, last in _runs(batch.column(1)):
+                for row, ids in enumerate(words.encode(batch.column(1).slice(first, last - first), end_token), first):
+                    for number, at in enumerate(range(0, len(ids), width)):
+                        part = ids[at : at + width]
+                        rows.append(row)
+                        pieces.append(number)
+                        starts.append(at // 4)
+                        lengths.append(len(part) // 4)
+                        sums.append(zlib.crc32(part))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(rows, pa.int64())), pa.array(pieces, pa.int32()),
