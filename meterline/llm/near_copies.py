@@ -32,7 +32,7 @@ from meterline.llm.exact_copies import block_count, key_filter, mark_possible
 from meterline.llm.grouping import components, join_groups
 from meterline.llm.storage import stored
 
-GROUPS = 32
+GROUPS = 128
 LEAF_POINTS = 64
 # A size class ends where sets are this much larger than its smallest.
 CLASS_RATIO = 1.4
@@ -41,10 +41,12 @@ COMMON_BLOCK = 200
 # Buckets of more sets than this are not searched in one task: their sets are one candidate group as they are.
 MOST_IN_BUCKET = 100_000
 # Tokens of the sets that one task compares; larger candidate groups are solved in parts.
-GROUP_TOKENS = 4_000_000
+GROUP_TOKENS = 8_000_000
+# Tokens of the sets that are held against a whole group at a time.
+BLOCK_TOKENS = 1_000_000
 BATCH_BYTES = 2_000_000
 
-PROFILE = "n bigint, set_key binary, points binary, keys array<struct<class:int,key:bigint>>"
+PROFILE = "n bigint, set_key binary, points array<int>, keys array<struct<class:int,key:bigint>>"
 
 
 def need(a, b, percent: int):
@@ -167,7 +169,8 @@ def profiles(docs: DataFrame, width: int, percent: int, doc_id: str = "doc_id",
                 rows = batch.slice(start, stop - start)
                 tokens, ends = token_sets(rows.column(3), width)
                 starts = ends - np.diff(ends, prepend=0)
-                points = count_points(tokens, ends).astype("<i4")
+                points = count_points(tokens, ends)
+                cells = pa.array(np.arange(0, points.size + 1, GROUPS, dtype=np.int32))
                 keys = block_keys(tokens, ends, percent)
                 sizes = [sum(len(values) for _, values in own) for own in keys]
                 classes = [np.full(len(values), number, dtype=np.int32) for own in keys for number, values in own]
@@ -181,7 +184,7 @@ def profiles(docs: DataFrame, width: int, percent: int, doc_id: str = "doc_id",
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column(0), rows.column(1), rows.column(2), pa.array(ends - starts),
-                        pa.array(digests, pa.binary()), pa.array([row.tobytes() for row in points], pa.binary()),
+                        pa.array(digests, pa.binary()), pa.ListArray.from_arrays(cells, pa.array(points.ravel())),
                         pa.ListArray.from_arrays(offsets, pairs),
                     ],
                     names=["doc_id", "text_1", "text_2", "n", "set_key", "points", "keys"],
@@ -355,7 +358,7 @@ def _bucket_edges(rows: DataFrame, percent: int) -> DataFrame:
             keys = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in (0, 1)], axis=1)
             nodes = batch.column(2).to_numpy()
             sizes = batch.column(3).to_numpy()
-            points = np.frombuffer(b"".join(batch.column(4).to_pylist()), dtype="<i4").reshape(-1, GROUPS)
+            points = batch.column(4).flatten().to_numpy().reshape(-1, GROUPS)
             if held is not None:
                 keys, nodes, sizes, points = (np.concatenate(pair) for pair in zip(held, (keys, nodes, sizes, points)))
             cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
@@ -371,6 +374,15 @@ def _bucket_edges(rows: DataFrame, percent: int) -> DataFrame:
     return ordered.mapInArrow(work, "a bigint, b bigint")
 
 
+def _within_bound(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs ``a, b`` whose summed coordinate minima reach the needed overlap."""
+    left = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("points").alias("at_a"))
+    right = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("points").alias("at_b"))
+    minima = F.aggregate(F.zip_with("at_a", "at_b", lambda a, b: F.least(a, b)), F.lit(0), lambda total, one: total + one)
+    enough = (100 + percent) * minima >= percent * (F.col("n_a") + F.col("n_b"))
+    return pairs.join(left, "a").join(right, "b").where(enough).select("a", "b")
+
+
 def candidate_edges(sets: DataFrame, percent: int) -> DataFrame:
     """Edges ``a, b`` between nodes of ``sets`` whose components hold every pair that may link."""
     keys = sets.select("node", F.explode("keys").alias("part")).select("node", "part.class", "part.key")
@@ -380,7 +392,8 @@ def candidate_edges(sets: DataFrame, percent: int) -> DataFrame:
         .where("sharing > 1"),
         "shared-blocks",
     )
-    pairs = counts.where("sharing = 2").select(F.col("first").alias("a"), F.col("last").alias("b"))
+    pairs = counts.where("sharing = 2").select(F.col("first").alias("a"), F.col("last").alias("b")).distinct()
+    pairs = _within_bound(pairs, sets, percent)
     several = stored(counts.where("sharing > 2"), "buckets")
     blocks = block_count(several.count())
     maybe = mark_possible(keys, ("class", "key"), key_filter(several, ("class", "key"), blocks), blocks, "maybe")
@@ -417,6 +430,19 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int, text: str) -> DataF
     return found.mapInArrow(work, "node bigint, group bigint, n bigint, tokens array<bigint>")
 
 
+def _arrays(lists) -> list:
+    """The token sets of a column of lists, without a copy of each."""
+    import numpy as np
+
+    chunks = lists.chunks if hasattr(lists, "chunks") else [lists]
+    sets: list = []
+    for chunk in chunks:
+        flat = chunk.values.to_numpy().view(np.uint64)
+        edges = chunk.offsets.to_numpy().tolist()
+        sets += [flat[a:b] for a, b in zip(edges, edges[1:])]
+    return sets
+
+
 def _solve(rows: DataFrame, by: list[str], percent: int) -> DataFrame:
     """Edges that connect the linked sets of each group; a group is one task's."""
 
@@ -425,7 +451,7 @@ def _solve(rows: DataFrame, by: list[str], percent: int) -> DataFrame:
         import pyarrow as pa
 
         nodes = table.column("node").to_numpy()
-        sets = [np.asarray(own, dtype=np.int64).view(np.uint64) for own in table.column("tokens").to_pandas()]
+        sets = _arrays(table.column("tokens"))
         labels = link_groups(sets, percent)
         far = labels != np.arange(len(labels))
         return pa.table({"a": nodes[labels[far]], "b": nodes[far]})
@@ -459,7 +485,7 @@ def _solve_large(rows: DataFrame, parts: DataFrame, percent: int, group_tokens:
     largest = results.groupBy("group").agg(F.max_by("label", F.struct("tokens", "label")).alias("largest"))
     apart = second.join(largest, "group").where("label <> largest").select("node", "n")
     total = apart.agg(F.sum("n")).first()[0] or 0
-    blocks = math.ceil(total / group_tokens)
+    blocks = math.ceil(total / min(BLOCK_TOKENS, group_tokens))
     for block in range(blocks):
         own = rows.join(apart.select("node").where(F.pmod(F.xxhash64("node"), F.lit(blocks)) == block), "node", "left_semi")
         links = links.unionByName(stored(_against(rows, own, percent), "block-links"))
@@ -470,35 +496,32 @@ def _against(rows: DataFrame, block: DataFrame, percent: int) -> DataFrame:
     """Links between all rows and a bounded block of rows of the same groups."""
     import numpy as np
 
-    held = [
-        (row["group"], row["node"], np.array(row["tokens"], dtype=np.int64).view(np.uint64))
-        for row in block.select("group", "node", "tokens").collect()
-    ]
+    table = block.select("group", "node", "tokens").toArrow()
+    held = table.column("group").to_numpy(), table.column("node").to_numpy(), _arrays(table.column("tokens"))
     shared = rows.sparkSession.sparkContext.broadcast(held)
 
     def work(batches):
         import pyarrow as pa
 
-        by_group: dict[int, list] = {}
-        for group, node, tokens in shared.value:
-            by_group.setdefault(group, []).append((node, tokens))
+        groups, nodes, sets = shared.value
         trees = {}
-        for group, own in by_group.items():
-            ends = np.cumsum([len(tokens) for _, tokens in own])
-            points = count_points(np.concatenate([tokens for _, tokens in own]), ends)
-            trees[group] = CountTree(points, np.diff(ends, prepend=0), percent)
+        for group in np.unique(groups):
+            own = np.flatnonzero(groups == group)
+            ends = np.cumsum([len(sets[n]) for n in own])
+            points = count_points(np.concatenate([sets[n] for n in own]), ends)
+            trees[int(group)] = own, CountTree(points, np.diff(ends, prepend=0), percent)
         for batch in batches:
             found = []
-            for group, node, tokens in zip(*(batch.column(name).to_pylist() for name in ("group", "node", "tokens"))):
+            in_batch = zip(batch.column("group").to_pylist(), batch.column("node").to_pylist(), _arrays(batch.column("tokens")))
+            for group, node, tokens in in_batch:
                 if group not in trees:
                     continue
-                tokens = np.array(tokens, dtype=np.int64).view(np.uint64)
+                own, tree = trees[group]
                 point = count_points(tokens, np.array([len(tokens)]))[0]
-                for other in trees[group].within(point, len(tokens)):
-                    other_node, other_tokens = by_group[group][other]
-                    overlap = len(np.intersect1d(tokens, other_tokens, assume_unique=True))
-                    if other_node != node and overlap >= need(len(tokens), len(other_tokens), percent):
-                        found.append((node, other_node))
+                for other in own[tree.within(point, len(tokens))]:
+                    overlap = len(np.intersect1d(tokens, sets[other], assume_unique=True))
+                    if nodes[other] != node and overlap >= need(len(tokens), len(sets[other]), percent):
+                        found.append((node, int(nodes[other])))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"]
             )
