@@ -19,7 +19,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.storage import stored
+from meterline.llm.storage import hashed_sample, stored
 
 # Forms of keys that are secrets beyond doubt.
 KNOWN_FORMS = (
@@ -37,6 +37,9 @@ CANDIDATE = (
     r"(?i:\b(?:" + TELLING + r")\b)\s*[=:]\s*[\"']?([^\s\"',;]{6,})|\b(" + "|".join(KNOWN_FORMS) + r")|(?<![A-Za-z0-9_@./-])"
     r"([A-Za-z0-9+/_-]{16,}={0,2})(?![A-Za-z0-9@_-])"
 )
+# Words that say a value is none; a host like mail.example.com beside it says nothing.
+PRETENDED = r"(?<![.@a-z0-9])(example|sample|dummy|placeholder|changeme|your[_-])|changeme|xxxx"
+
 # What stands before a candidate is kept up to this many characters: the words that speak for it or against it.
 CONTEXT = 40
 
@@ -123,7 +126,7 @@ def described(found: DataFrame) -> DataFrame:
         before.rlike("[\"']$").cast("double").alias("quoted"),
         before.rlike(f"({TELLING})").cast("double").alias("telling"),
         value.rlike("^(" + "|".join(KNOWN_FORMS) + ")$").cast("double").alias("known_form"),
-        F.concat(before, F.lower("value"), F.lower("after")).rlike("example|sample|dummy|placeholder|changeme|xxxx|your[_-]").cast("double").alias("example"),
+        F.concat(before, F.lower("value"), F.lower("after")).rlike(PRETENDED).cast("double").alias("example"),
         path.rlike("test|spec|mock|fixture|doc").cast("double").alias("path_test"),
         path.rlike("conf|env|deploy|prod|secret").cast("double").alias("path_config"),
     )
@@ -141,9 +144,11 @@ def labelled(described_findings: DataFrame) -> DataFrame:
 
 def train(described_findings: DataFrame) -> PipelineModel | None:
     """A forest from at most TRAINING_FINDINGS findings of each label, chosen by a hash; None without both labels."""
-    marked = labelled(described_findings).select(*FEATURES, "label", F.xxhash64("value", "before").alias("place"))
-    chosen = [marked.where(F.col("label") == label).orderBy("place", *FEATURES).limit(TRAINING_FINDINGS) for label in (0.0, 1.0)]
-    rows = stored(chosen[0].unionByName(chosen[1]).drop("place").coalesce(1), "labelled-findings")
+    marked = labelled(described_findings).select(*FEATURES, "label", F.xxhash64("value", "before").alias("hash"))
+    chosen = [
+        hashed_sample(marked.where(F.col("label") == label), F.col("hash"), TRAINING_FINDINGS).select(*FEATURES, "label") for label in (0.0, 1.0)
+    ]
+    rows = stored(chosen[0].unionByName(chosen[1]).coalesce(1), "labelled-findings")
     if rows.select("label").distinct().count() < 2:
         return None
     forest = RandomForestClassifier(

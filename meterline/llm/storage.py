@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from meterline.sources.workspace import fresh_folder
 
@@ -12,3 +13,17 @@ def stored(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFram
     folder = fresh_folder(df.sparkSession, purpose)
     df.write.option("compression", compression).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def hashed_sample(rows: DataFrame, place: Column, most: int) -> DataFrame:
+    """Rows with the smallest ``place``, a 64-bit hash, one for each value of it and at most ``most`` of them.
+
+    Rows beyond a bound on the hash, set from the number of rows, stay out before anything is sorted, so that what
+    reaches the driver does not grow with the number of tasks. Rows of the same hash are combined per task.
+    """
+    share = min(1.0, 2 * most / max(rows.count(), 1))
+    bound = min(2**63 - 1, -(2**63) + int(share * 2**64))
+    chosen = rows.withColumn("place", place).where(F.col("place") <= F.lit(bound).cast("bigint"))
+    others = [name for name in chosen.columns if name != "place"]
+    once = chosen.groupBy("place").agg(F.min(F.struct(*others)).alias("row"))
+    return once.orderBy("place").limit(most).select("row.*")
