@@ -413,9 +413,10 @@ class Decoder:
                 surface = piece.replace(WORD_MARK, " ").encode("utf-8")
             self.surfaces.append(surface)
         self.flat = None
+        self.controls = [number for number, kind in enumerate(model.kinds) if kind == CONTROL]
 
     def decode(self, ids: list[int]) -> str:
-        return self._text(b"".join(map(self.surfaces.__getitem__, ids)), lambda: ids)
+        return self._text(b"".join(map(self.surfaces.__getitem__, ids)), lambda: ids, any(map(self.is_control, ids)))
 
     def decode_many(self, rows: list) -> list[str]:
         """Decodes arrays of ids together: one gather of the pieces' bytes."""
@@ -431,14 +432,20 @@ class Decoder:
         places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[ids] - (ends - widths), widths)
         out = self.flat[places].tobytes()
         edges = np.concatenate([[0], ends])[np.cumsum([0, *map(len, rows)])].tolist()
-        return [self._text(out[a:b], row.tolist) for a, b, row in zip(edges, edges[1:], rows)]
+        broken = np.array(self.controls, dtype=np.int32)
+        odd = [bool(len(broken)) and bool(np.isin(row, broken).any()) for row in rows]
+        return [self._text(out[a:b], row.tolist, cut) for a, b, row, cut in zip(edges, edges[1:], rows, odd)]
 
-    def _text(self, out: bytes, ids) -> str:
+    def is_control(self, number: int) -> bool:
+        return self.model.kinds[number] == CONTROL
+
+    def _text(self, out: bytes, ids, cut: bool) -> str:
+        """The text of the bytes of some pieces; ``cut`` if a control piece may stand between the bytes of a character."""
         model = self.model
         if not out:
             return ""
         try:
-            text = out.decode("utf-8")
+            text = self._decode_with_stray_bytes(ids()) if cut else out.decode("utf-8")
         except UnicodeDecodeError:
             text = self._decode_with_stray_bytes(ids())
         if text[0] not in " \ufffd":
