@@ -16,12 +16,12 @@ import base64
 import hashlib
 import zlib
 from collections.abc import Iterator
-from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.llm.storage import stored
+from meterline.sources.stores import open_store
 from meterline.sources.workspace import fresh_folder
 
 LEAST_SHARED_BYTES = 1000
@@ -174,17 +174,6 @@ def page_record(fields: dict[str, str], block: bytes) -> tuple:
     )
 
 
-def open_store(path: str):
-    """The file system of a path and the path's name there."""
-    import pyarrow.fs
-
-    place = urlparse(path)
-    if place.scheme in ("", "file"):
-        return pyarrow.fs.LocalFileSystem(), path.split(":", 1)[1].replace("//", "", 1) if place.scheme else path
-    store, base = pyarrow.fs.FileSystem.from_uri(f"{place.scheme.replace('s3a', 's3')}://{place.netloc}/")
-    return store, f"{base.rstrip('/')}{path.split(place.netloc, 1)[1]}"
-
-
 def revisits(pages: DataFrame, least_shared_bytes: int = LEAST_SHARED_BYTES) -> DataFrame:
     """``payload`` and ``page_id`` columns in, the payloads that occur for several pages out: ``digest, keep_id``."""
     payload = F.coalesce(F.col("payload"), F.lit(b""))
