@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from meterline.operators.quality import REASON
 
 SILVER_PARTITIONS = ("pickup_year", "pickup_month")
+NULL_MARK = "\\N"
 REJECT_SALTS = 8
 GOLD_WRITERS = 16
 
@@ -86,8 +87,10 @@ def save_query_result(spark: SparkSession, name: str, query: str | DataFrame, fo
     """Runs a query, keeps its result as CSV under its name, prints the first rows, and returns it."""
     result = spark.sql(query) if isinstance(query, str) else query
     target = f"{folder.rstrip('/')}/{name}"
-    result.write.mode("overwrite").option("header", True).csv(target)
-    saved = spark.read.schema(result.schema).option("header", True).csv(target)
+    # A null is written as a mark of its own, so that an empty text comes back as one.
+    result.write.mode("overwrite").option("header", True).option("nullValue", NULL_MARK).option("emptyValue", '""').csv(target)
+    reader = spark.read.schema(result.schema).option("header", True).option("nullValue", NULL_MARK).option("emptyValue", "")
+    saved = reader.csv(target)
     print(f"--- {name} ---")
     saved.show(truncate=False)
     return saved

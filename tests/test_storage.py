@@ -162,3 +162,9 @@ def test_bronze_is_gone_through_once_without_rejects_and_twice_with_them(spark,
         finally:
             sinks.write_table = writes
         assert len(scanned) == passes
+
+
+def test_saved_results_tell_empty_texts_from_nulls(spark, tmp_path, capsys):
+    rows = [(1, ""), (2, None), (3, "a,b"), (4, 'say "x"'), (None, "\\")]
+    saved = sinks.save_query_result(spark, "texts", spark.createDataFrame(rows, "n int, t string"), str(tmp_path))
+    assert sorted(map(tuple, saved.collect()), key=str) == sorted(rows, key=str)
