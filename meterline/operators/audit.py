@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.functions.clock import iso_now
-from meterline.functions.events import STAGE_EVENT, detail_or
+from meterline.functions.events import EVENT_FIELDS, event_fields
 
 AUDIT_KEY = ("job_run_id", "event_time")
 AUDIT_FIELDS = ("job_name", "state", "message", "started_on", "completed_on", "logged_at")
@@ -22,18 +22,7 @@ LOGGED_DAY = "logged_day"
 
 def parse_run_event(events: DataFrame, body: str = "body") -> DataFrame:
     """Audit fields of each stage event (JSON text in ``body``); other columns are carried along."""
-    carried = [name for name in events.columns if name != body]
-    parsed = events.withColumn("event", F.from_json(body, STAGE_EVENT))
-    return parsed.select(
-        *carried,
-        detail_or("event", "jobName", "unknown").alias("job_name"),
-        detail_or("event", "state", "unknown").alias("state"),
-        detail_or("event", "jobRunId", "unknown").alias("job_run_id"),
-        detail_or("event", "message", "").alias("message"),
-        detail_or("event", "startedOn", "").alias("started_on"),
-        detail_or("event", "completedOn", "").alias("completed_on"),
-        F.coalesce("event.time", iso_now()).alias("event_time"),
-    )
+    return event_fields(events, tuple(EVENT_FIELDS), body)
 
 
 def stamp_logged(parsed: DataFrame) -> DataFrame:

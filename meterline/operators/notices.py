@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterline.functions.clock import iso_now
-from meterline.functions.events import STAGE_EVENT, detail_or
+from meterline.functions.events import event_fields
 from meterline.functions.text import fill
 
 DEFAULT_TITLE = "Trip Pipeline"
@@ -47,16 +47,7 @@ NOTICE_FIELDS = ("job_name", "state", "job_run_id", "message", "event_time")
 
 def parse_notification(events: DataFrame, body: str = "body") -> DataFrame:
     """The five fields a notice is made of; other columns are carried along."""
-    carried = [name for name in events.columns if name != body]
-    parsed = events.withColumn("event", F.from_json(body, STAGE_EVENT))
-    return parsed.select(
-        *carried,
-        detail_or("event", "jobName", "unknown").alias("job_name"),
-        detail_or("event", "state", "unknown").alias("state"),
-        detail_or("event", "jobRunId", "unknown").alias("job_run_id"),
-        detail_or("event", "message", "").alias("message"),
-        F.coalesce("event.time", iso_now()).alias("event_time"),
-    )
+    return event_fields(events, NOTICE_FIELDS[:-1], body)
 
 
 def _html_template() -> str:
