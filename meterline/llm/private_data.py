@@ -20,20 +20,24 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterline.llm.storage import hashed_sample
+
 KINDS = ("email", "ip", "card", "phone")
 
 WINDOW = 128
 STRIDE = 64
 EMBEDDING = 16
 HIDDEN = 24
-EPOCHS = 6
+# Steps of training, and passes over the windows at most.
+UPDATES, MOST_EPOCHS = 380, 60
 BATCH_WINDOWS = 48
 STEP = 0.04
 SEED = 7
 
 # Training reads at most so many documents that hold a digit or an at sign, chosen by a hash of the text, and of each
-# at most so many windows. Scanning has no such bound.
+# at most so many windows, and no longer texts than this. Scanning has no such bounds.
 TRAINING_DOCUMENTS = 1500
+TRAINING_CHARS = 20_000
 TRAINING_WINDOWS = 3000
 # One training span in so many is rewritten in a form the patterns do not know.
 REWRITTEN = 5
@@ -294,7 +298,8 @@ def train_tagger(classes, tags) -> Tagger:
     parameters = [tagger.embedding, *tagger.input, *tagger.recurrent, *tagger.bias, tagger.output, tagger.output_bias, tagger.transitions]
     squares = [np.full_like(one, 1e-2) for one in parameters]
     order = np.arange(len(classes))
-    for _ in range(EPOCHS):
+    batches = -(-len(order) // BATCH_WINDOWS)
+    for _ in range(min(MOST_EPOCHS, -(-UPDATES // batches))):
         draw.shuffle(order)
         for at in range(0, len(order), BATCH_WINDOWS):
             own, wanted = classes[order[at : at + BATCH_WINDOWS]], tags[order[at : at + BATCH_WINDOWS]]
@@ -399,15 +404,9 @@ def training_windows(texts: list[str]):
 def train(docs: DataFrame, text: str = "text") -> Tagger | None:
     """A tagger from documents that hold a digit or an at sign, a bounded number of them; None without spans."""
     value = F.col(text)
-    rows = (
-        docs.select(value.alias("text"))
-        .where(F.col("text").rlike("[0-9@]") & (F.length("text") <= 20_000))
-        .select("text", F.xxhash64("text").alias("place"))
-        .orderBy("place", "text")
-        .limit(TRAINING_DOCUMENTS)
-        .collect()
-    )
-    classes, tags = training_windows([row["text"] for row in rows])
+    interesting = docs.select(value.alias("text")).where(F.col("text").rlike("[0-9@]") & (F.length("text") <= TRAINING_CHARS))
+    rows = hashed_sample(interesting, F.xxhash64("text"), TRAINING_DOCUMENTS).toArrow()
+    classes, tags = training_windows(rows.column("text").to_pylist())
     return train_tagger(classes, tags) if (tags > 0).any() else None
 
 
