@@ -34,6 +34,8 @@ from meterline.llm.storage import stored
 
 GROUPS = 128
 LEAF_POINTS = 64
+# Rows that search the tree at a time, which bounds the pairs held at once.
+WAVE_ROWS = 64
 # A size class ends where sets are this much larger than its smallest.
 CLASS_RATIO = 1.4
 # A block that more sets share than this is a common one.
@@ -44,7 +46,7 @@ MOST_IN_BUCKET = 100_000
 GROUP_TOKENS = 8_000_000
 # Tokens of the sets that are held against a whole group at a time.
 BLOCK_TOKENS = 1_000_000
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 1_000_000
 
 PROFILE = "n bigint, set_key binary, points array<int>, keys array<struct<class:int,key:bigint>>"
 
@@ -276,12 +278,42 @@ class CountTree:
             found.append(rows[bound >= need(size, self.sizes[rows], percent)])
         return np.concatenate(found) if found else np.zeros(0, dtype=np.int64)
 
+    def pairs_within(self, rows):
+        """Pairs of the given rows and rows still in the tree that may link: many searches in one walk."""
+        np, percent = self.np, self.percent
+        left, right = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        open_nodes = [(0, np.asarray(rows, dtype=np.int64))]
+        while open_nodes:
+            node, asked = open_nodes.pop()
+            high, least, most, own, children = self.nodes[node]
+            if not self.alive[node]:
+                continue
+            sizes = self.sizes[asked]
+            asked = asked[(100 * most >= percent * sizes) & (percent * least <= 100 * sizes)]
+            sizes = self.sizes[asked]
+            smallest = np.maximum(least, -(-percent * sizes // 100))
+            asked = asked[np.minimum(self.points[asked], high).sum(axis=1) >= need(sizes, smallest, percent)]
+            if not len(asked):
+                continue
+            if children:
+                open_nodes += [(child, asked) for child in children]
+                continue
+            present = own[self.present[own]]
+            # All points of a leaf may be the same and so more than a leaf's worth; both sides are taken in parts.
+            for at in range(0, len(asked), LEAF_POINTS):
+                some = asked[at : at + LEAF_POINTS]
+                for to in range(0, len(present), LEAF_POINTS):
+                    there = present[to : to + LEAF_POINTS]
+                    bound = np.minimum(self.points[some][:, None, :], self.points[there][None, :, :]).sum(axis=2)
+                    a, b = np.nonzero(bound >= need(self.sizes[some][:, None], self.sizes[there][None, :], percent))
+                    left.append(some[a])
+                    right.append(there[b])
+        return np.concatenate(left), np.concatenate(right)
+
 
 def bound_groups(points, sizes, percent: int):
     """Labels of the points that chains within the bound connect."""
-    import numpy as np
-
-    return _spread(points, sizes, percent, lambda row, others: np.ones(len(others), dtype=bool))
+    return _spread(points, sizes, percent, lambda reached, others: others)
 
 
 def link_groups(sets: list, percent: int):
@@ -292,20 +324,31 @@ def link_groups(sets: list, percent: int):
     flat = np.concatenate(sets)
     sizes = np.diff(ends, prepend=0)
 
-    def linked(row, others):
-        pieces = np.concatenate([sets[other] for other in others])
-        places = np.searchsorted(sets[row], pieces)
-        places[places == len(sets[row])] = 0
-        same = sets[row][places] == pieces
-        lengths = sizes[others]
-        overlap = np.add.reduceat(same, np.cumsum(lengths) - lengths)
-        return overlap >= need(sizes[row], lengths, percent)
+    def linked(reached, others):
+        """Of the pairs within the bound, the others that link with one of theirs."""
+        order = np.argsort(others, kind="stable")
+        reached, others = reached[order], others[order]
+        found = []
+        starts = np.flatnonzero(np.diff(others, prepend=-1))
+        for start, stop in zip(starts, [*starts[1:], len(others)]):
+            other = int(others[start])
+            own = sets[other]
+            for row in reached[start:stop]:
+                places = np.searchsorted(sets[row], own)
+                places[places == len(sets[row])] = 0
+                if int((sets[row][places] == own).sum()) >= need(int(sizes[row]), len(own), percent):
+                    found.append(other)
+                    break
+        return np.array(found, dtype=np.int64)
 
     return _spread(count_points(flat, ends), sizes, percent, linked)
 
 
 def _spread(points, sizes, percent: int, accept):
-    """Grows groups from one row to the next; a row is taken out of the tree once it is reached."""
+    """Grows groups wave by wave, a wave being a bounded number of reached rows; a row is taken out of the tree once it is reached.
+
+    ``accept`` is given the pairs of a wave within the bound, reached rows and others, and says which others it reaches.
+    """
     import numpy as np
 
     tree = CountTree(points, sizes, percent)
@@ -314,16 +357,16 @@ def _spread(points, sizes, percent: int, accept):
         if labels[seed] >= 0:
             continue
         labels[seed] = seed
-        tree.remove(np.array([seed]))
-        reached = [seed]
-        while reached and tree.alive[0]:
-            row = reached.pop()
-            others = tree.within(points[row], int(sizes[row]))
-            if len(others):
-                others = others[accept(row, others)]
-                labels[others] = seed
-                tree.remove(others)
-                reached += others.tolist()
+        pending = np.array([seed])
+        tree.remove(pending)
+        while len(pending) and tree.alive[0]:
+            wave, pending = pending[:WAVE_ROWS], pending[WAVE_ROWS:]
+            reached, others = tree.pairs_within(wave)
+            found = np.unique(accept(reached, others)) if len(others) else others
+            if len(found):
+                labels[found] = seed
+                tree.remove(found)
+                pending = np.concatenate([pending, found])
     return labels
 
 
@@ -383,9 +426,11 @@ def _within_bound(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(enough).select("a", "b")
 
 
-def candidate_edges(sets: DataFrame, percent: int) -> DataFrame:
-    """Edges ``a, b`` between nodes of ``sets`` whose components hold every pair that may link."""
-    keys = sets.select("node", F.explode("keys").alias("part")).select("node", "part.class", "part.key")
+def candidate_edges(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Edges ``a, b`` between nodes of ``sets`` whose components hold every pair that may link.
+
+    ``keys`` has the blocks of each set, ``node, class, key``.
+    """
     counts = stored(
         keys.groupBy("class", "key")
         .agg(F.count(F.lit(1)).alias("sharing"), F.min("node").alias("first"), F.max("node").alias("last"))
@@ -456,7 +501,9 @@ def _solve(rows: DataFrame, by: list[str], percent: int) -> DataFrame:
         far = labels != np.arange(len(labels))
         return pa.table({"a": nodes[labels[far]], "b": nodes[far]})
 
-    return rows.groupBy(*by).applyInArrow(work, "a bigint, b bigint")
+    # As many parts as a shuffle has, however small the groups are: the work is in comparing, not in the bytes.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, *by).groupBy(*by).applyInArrow(work, "a bigint, b bigint")
 
 
 def _solve_large(rows: DataFrame, parts: DataFrame, percent: int, group_tokens: int) -> DataFrame:
@@ -534,20 +581,22 @@ def near_copies(
     group_tokens: int = GROUP_TOKENS,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every document, and ``set_key``, the digest of its set."""
-    rows = stored(profiles(docs, width, percent, doc_id, text), "profiles")
-    # Rows of the same set agree in everything but the id and the text.
+    rows = stored(profiles(docs, width, percent, doc_id, text).withColumn("node", F.monotonically_increasing_id()), "profiles")
+    # Rows of the same set agree in everything but the id and the text; one of them stands for the set.
     sets = stored(
         rows.where("n > 0")
         .groupBy("set_key")
         .agg(
             F.count(F.lit(1)).alias("documents"), F.min("doc_id").alias("first_id"), F.first("n").alias("n"),
-            F.first("points").alias("points"), F.first("keys").alias("keys"),
-            F.min(F.struct("text_1", "text_2")).alias("text"),
-        )
-        .withColumn("node", F.monotonically_increasing_id()),
+            F.first("points").alias("points"), F.min(F.struct("text_1", "text_2")).alias("text"), F.min("node").alias("node"),
+        ),
         "sets",
     )
-    groups = components(candidate_edges(sets, percent)).withColumnRenamed("label", "group")
+    # Keys stay where they were written. The filter may let a row pass that stands for no set; no set is joined to it.
+    blocks = block_count(sets.count())
+    keys = mark_possible(rows.where("n > 0"), ("node",), key_filter(sets, ("node",), blocks), blocks, "maybe").where("maybe")
+    keys = keys.select("node", F.explode("keys").alias("part")).select("node", "part.class", "part.key")
+    groups = components(candidate_edges(keys, sets, percent)).withColumnRenamed("label", "group")
     wanted = stored(
         sets.select("node", "n", "text.text_1", "text.text_2").join(groups, "node"), "candidate-sets"
     )
