@@ -28,20 +28,30 @@ KNOWN_FORMS = (
     r"xox[abprs]-[0-9A-Za-z-]{10,}",
     r"eyJ[0-9A-Za-z_-]{10,}\.[0-9A-Za-z_-]{10,}\.[0-9A-Za-z_-]{10,}",
 )
-# Names whose assigned values are candidates.
-TELLING = "password|passwd|pwd|secret|token|api_?key|access_?key|auth|credential|private_?key"
+# Words that make a name tell of a secret wherever they stand in it; the values assigned to such names are candidates.
+TELLING = "password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth(?!ors?(?![a-z]))|credential|private[_-]?key"
 # Syllables of common words, for the share of a token that a dictionary covers.
 COMMON_PARTS = "the|and|ing|ion|tion|ent|ate|est|ere|her|that|for|with|der|die|und|sch|ein|que|les|des|ment|los|las|con|cion|ar|er|en|an|on|in|or|re|at|it|is|al"
 
+_IN_NAME = "[A-Za-z0-9_.-]"
+# A name that tells and something that is assigned to it. The padding of a long token is no assignment.
+_TELLING_NAME = (
+    r"(?=" + _IN_NAME + r"++[\"']?\s*[=:])(?=" + _IN_NAME + r"*?(?i:" + TELLING + r"))"
+    r"(?!(?=[A-Za-z+/]*[0-9])[A-Za-z0-9+/]{16,}={1,2}(?:[\s\"',;)}\]<&]|$))"
+)
 CANDIDATE = (
-    r"(?i:\b(?:" + TELLING + r")\b)\s*[=:]\s*[\"']?([^\s\"',;]{6,})|\b(" + "|".join(KNOWN_FORMS) + r")|(?<![A-Za-z0-9_@./-])"
-    r"([A-Za-z0-9+/_-]{16,}={0,2})(?![A-Za-z0-9@_-])"
+    r"\b(" + "|".join(KNOWN_FORMS) + r")|(?<!" + _IN_NAME + r")(?<!://)" + _TELLING_NAME + _IN_NAME
+    + r"++[\"']?\s*[=:]=?>?\s*[\"']?([^\s\"',;]{6,})|(?<![A-Za-z0-9_@./-])(?!(?:[A-Za-z0-9+/_-]*[+/])?"
+    + _TELLING_NAME + r")([A-Za-z0-9+/_-]{16,}={0,2})(?![A-Za-z0-9@_-])"
 )
 # Words that say a value is none; a host like mail.example.com beside it says nothing.
 PRETENDED = r"(?<![.@a-z0-9])(example|sample|dummy|placeholder|changeme|your[_-])|changeme|xxxx"
 
-# What stands before a candidate is kept up to this many characters: the words that speak for it or against it.
+# What stands before and after a candidate is kept up to this many characters, other candidates or not: the words that
+# speak for it or against it.
 CONTEXT = 40
+# Every second part of a text is a match of at least six characters, so these hold that many.
+NEAR_PARTS = 2 * -(-CONTEXT // 6) + 1
 
 # Labelled findings of each label that training reads at most. Scanning has no bound.
 TRAINING_FINDINGS = 5000
@@ -71,7 +81,16 @@ def findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path:
     ends = F.aggregate(
         lengths, F.array(F.lit(0)), lambda ends, one: F.concat(ends, F.array(F.element_at(ends, -1) + one["gap"] + one["hit"]))
     )
-    rows = cut.select("doc_id", "path", "whole", "between", ends.alias("ends")).select(
+    # All parts in their order, without what is in the middle of a long one, as only its ends are context of others.
+    parts = F.flatten(F.zip_with("between", "whole", lambda gap, hit: F.array(gap, F.coalesce(hit, F.lit("")))))
+    parts = F.transform(
+        parts,
+        lambda one: F.when(F.length(one) <= 2 * CONTEXT, one).otherwise(F.concat(F.left(one, F.lit(CONTEXT)), F.right(one, F.lit(CONTEXT)))),
+    )
+    # The match at a place is part 2 * place + 2, counted from 1; beside it so many parts hold the context.
+    before = lambda place: F.slice("parts", F.greatest(2 * place + 2 - NEAR_PARTS, F.lit(1)), F.least(2 * place + 1, F.lit(NEAR_PARTS)))
+    after = lambda place: F.slice("parts", 2 * place + 3, F.lit(NEAR_PARTS))
+    rows = cut.select("doc_id", "path", "whole", ends.alias("ends"), parts.alias("parts")).select(
         "doc_id", "path",
         F.explode(
             F.transform(
@@ -79,8 +98,8 @@ def findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path:
                 lambda hit, place: F.struct(
                     hit.alias("whole"),
                     (F.get("ends", place + 1) - F.length(hit)).alias("at"),
-                    F.substr(F.get("between", place), -F.lit(CONTEXT)).alias("gap_before"),
-                    F.left(F.get("between", place + 1), F.lit(CONTEXT)).alias("after"),
+                    F.right(F.array_join(before(place), ""), F.lit(CONTEXT)).alias("text_before"),
+                    F.left(F.array_join(after(place), ""), F.lit(CONTEXT)).alias("after"),
                 ),
             )
         ).alias("one"),
@@ -90,7 +109,7 @@ def findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path:
     # The value ends its match, so the rest of the match stands before it.
     return rows.select(
         "doc_id", "path", (F.col("one.at") + before_value).cast("bigint").alias("start"), value.alias("value"),
-        F.concat(F.coalesce("one.gap_before", F.lit("")), F.left("one.whole", before_value)).alias("before"),
+        F.concat(F.coalesce("one.text_before", F.lit("")), F.left("one.whole", before_value)).alias("before"),
         F.coalesce("one.after", F.lit("")).alias("after"),
     )
 
@@ -122,7 +141,7 @@ def described(found: DataFrame) -> DataFrame:
         share(F.size(F.array_distinct(F.split(value, "")))).alias("distinct"),
         share(_count(F.lower(value), COMMON_PARTS)).alias("covered"),
         value.rlike("^[0-9a-f]+$").cast("double").alias("hex_only"),
-        before.rlike(r"[=:]\s*[\"']?$").cast("double").alias("assigned"),
+        before.rlike(r"[=:]>?\s*[\"']?$").cast("double").alias("assigned"),
         before.rlike("[\"']$").cast("double").alias("quoted"),
         before.rlike(f"({TELLING})").cast("double").alias("telling"),
         value.rlike("^(" + "|".join(KNOWN_FORMS) + ")$").cast("double").alias("known_form"),
