@@ -18,10 +18,12 @@ def stored(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFram
 def hashed_sample(rows: DataFrame, place: Column, most: int) -> DataFrame:
     """Rows with the smallest ``place``, a 64-bit hash, one for each value of it and at most ``most`` of them.
 
-    Rows beyond a bound on the hash, set from the number of rows, stay out before anything is sorted, so that what
-    reaches the driver does not grow with the number of tasks. Rows of the same hash are combined per task.
+    Rows beyond a bound on the hash stay out before anything is sorted, so that what reaches the driver does not grow
+    with the number of tasks. The bound is set from the number of distinct hashes, as copies count once, and lets so many
+    more through than are wanted that it never leaves too few. Rows of the same hash are combined per task.
     """
-    share = min(1.0, 2 * most / max(rows.count(), 1))
+    distinct = rows.select(place.alias("place")).distinct().count()
+    share = min(1.0, (2 * most + 100) / max(distinct, 1))
     bound = min(2**63 - 1, -(2**63) + int(share * 2**64))
     chosen = rows.withColumn("place", place).where(F.col("place") <= F.lit(bound).cast("bigint"))
     others = [name for name in chosen.columns if name != "place"]
