@@ -150,14 +150,13 @@ def long_distance_hotspots(gold: Gold, miles: float = 5.0, places: int = 10) ->
 def payment_breakdown(gold: Gold) -> DataFrame:
     """Share of all trips per payment type.
 
-    The table is read once: its rows, one per payment code, are carried beside their total.
+    The grand total is a scalar subquery, so that no task holds the whole table, however many payment codes there are.
     """
-    payment = gold[PAYMENT.name].select("payment_type", "total_trips", "avg_fare", "avg_tip", "total_revenue")
-    whole = payment.agg(F.sum("total_trips").alias("all_trips"), F.collect_list(F.struct(*payment.columns)).alias("rows"))
-    share = F.round(F.col("total_trips").cast("double") * F.lit(100.0) / F.col("all_trips"), 2)
+    payment = gold[PAYMENT.name]
+    all_trips = payment.select(F.sum("total_trips")).scalar()
+    share = F.round(F.col("total_trips").cast("double") * F.lit(100.0) / all_trips, 2)
     return (
-        whole.select("all_trips", F.inline("rows"))
-        .select(
+        payment.select(
             _payment_method((1, 2, 3, 4), "Unknown").alias("payment_method"),
             "total_trips", "avg_fare", "avg_tip", "total_revenue",
             share.alias("trip_percentage"),

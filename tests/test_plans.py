@@ -64,6 +64,11 @@ def test_shares_need_no_unpartitioned_window(spark, lake):
     assert "Window" not in text and "Subquery" in text
 
 
+def test_shares_gather_no_rows_in_one_task(spark, lake):
+    gold = {summaries.PAYMENT.name: spark.read.parquet(lake.gold_table(summaries.PAYMENT.name))}
+    assert "collect_list" not in plan(analytics.payment_breakdown(gold), "simple")
+
+
 @pytest.mark.parametrize("name", STORAGE_FREE)
 def test_no_python_and_no_cross_join_in_the_plan(spark, sf_dir, name):
     text = plan(entry.queries()[name](spark, sf_dir), "simple")
