@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import exact_copies, main_text, near_copies, packing, pieces, private_data, quality_rules, secret_scan, toxicity, warc
+from meterline.llm import (
+    collocations, exact_copies, main_text, near_copies, packing, periodic_runs, pieces, private_data, quality_rules, secret_scan,
+    sharding, toxicity, warc,
+)
 
 # Names of the installed public tokenizer files.
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -87,6 +90,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every text, after every tenth document by hash has its end made periodic."""
+    return periodic_runs.periodic_runs(_table(spark, sf_dir, "documents"), rewrite=True).drop("n_words")
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign_shards(_table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit(sharding.LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_warc": op2_warc,
@@ -98,4 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_toxicity": op10_toxicity,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_sharding": op12_sharding,
+    "op13_collocations": op13_collocations,
 }
