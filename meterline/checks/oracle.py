@@ -142,6 +142,23 @@ fired AS (
   FROM metrics WHERE is_error GROUP BY rule, suffix, dimension, period, time_bucket(period, ts)),
 """
 
+# The same sums over longer periods; an alarm ends a run of breaching windows.
+_LONG = """
+long_rules(rule, seconds, periods, threshold) AS (VALUES (0, 3600, 1, 2), (1, 10800, 2, 1), (2, 10800, 3, 1), (3, 10800, 2, 2)),
+breached AS (
+  SELECT dimension || '-' || suffix AS alarm, dimension, seconds, periods,
+    time_bucket(to_seconds(seconds), ts) AS window_start, CAST(COUNT(*) FILTER (is_error) AS DOUBLE) AS total
+  FROM metrics JOIN long_rules USING (rule)
+  GROUP BY ALL HAVING COUNT(*) FILTER (is_error) >= ANY_VALUE(threshold)),
+long_fired AS (
+  SELECT last.alarm, last.dimension, last.window_start, last.window_start + to_seconds(last.seconds) AS window_end, last.total
+  FROM breached last JOIN breached one ON one.alarm = last.alarm AND one.window_start <= last.window_start
+    AND one.window_start > last.window_start - to_seconds(last.seconds * last.periods)
+  GROUP BY last.alarm, last.dimension, last.window_start, last.seconds, last.periods, last.total
+  HAVING COUNT(*) = last.periods),
+"""
+_CLOSED = "window_end <= (SELECT date_trunc('millisecond', MAX(ts)) - INTERVAL 10 MINUTE FROM metrics)"
+
 _FILES = """
 files AS (
   SELECT doc_id, 'raw-bucket' AS bucket,
@@ -493,9 +510,12 @@ def _control() -> dict[str, str]:
         "alarm_function_errors": fired("rule = 1"),
         "alarm_audit_errors": fired("rule = 2"),
         "alarm_run_failures": fired("rule = 3"),
-        "alarm_engine": fired(
-            "window_end <= (SELECT date_trunc('millisecond', MAX(ts)) - INTERVAL 10 MINUTE FROM metrics)"
-        ),
+        "alarm_engine": fired("TRUE"),
+        "alarm_closed_windows": fired(_CLOSED),
+        "alarm_periods": _with(_METRICS + _LONG, f"SELECT * FROM long_fired WHERE {_CLOSED}"),
+        "alarm_periods_now": _with(_METRICS + _LONG, "SELECT * FROM long_fired"),
+        "stream_audit_table": events(f"SELECT {AUDIT} FROM audit_table"),
+        "audit_lookup": events(f"SELECT {AUDIT} FROM audit_table ORDER BY job_run_id, event_time LIMIT 1"),
         "stream_dq_split": over_trips(
             'SELECT "PULocationID", COALESCE(dq_reject_reason, \'VALID\') AS outcome, COUNT(*) AS "rows" '
             "FROM tagged GROUP BY ALL"

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +21,9 @@ from meterline.plans import analytics, stages
 from meterline.sources import adapters, catalog, control, manifest, sinks, tables
 from meterline.sources.adapters import table
 from meterline.sources.workspace import fresh_folder
-from meterline.streaming.alarms import stream_alarms
+from meterline.streaming.alarms import closed_alarms, fired_alarms, stream_alarms, stream_window_sums
 from meterline.streaming.audit import stream_audit as start_audit
+from meterline.streaming.audit import stream_audit_table as start_audit_table
 from meterline.streaming.landing import run_available, stream_landing as landing_stream, to_table
 from meterline.streaming.quality_split import quality_split
 
@@ -486,10 +488,25 @@ def _(spark, sf_dir):
 
 @query("audit_upsert")
 def _(spark, sf_dir):
+    """Two batches merged into the stored table, of which the first comes again at the end."""
     path = fresh_folder(spark, "audit")
     parsed = audit.parse_run_event(run_events(spark, sf_dir)).withColumnRenamed("event_id", "sequence")
-    control.append_audit(parsed, path)
-    return control.audit_table(spark, path).select(AUDIT_COLUMNS)
+    later = F.col("sequence") % 3 == 0
+    for number, rows in ((0, parsed.where(later)), (1, parsed.where(~later)), (0, parsed.where(later))):
+        # A record logged again later wins; these are logged at once, and the sequence tells them apart.
+        stamped = rows.withColumn("logged_at", F.lit("2024-01-01T00:00:00Z"))
+        control.keyed_audit(path).merge(stamped, "events", number)
+    return control.keyed_audit(path).read(spark).select(AUDIT_COLUMNS)
+
+
+@query("audit_lookup")
+def _(spark, sf_dir):
+    """The record of the first run and event time, from its bucket alone."""
+    path = fresh_folder(spark, "audit")
+    parsed = audit.parse_run_event(run_events(spark, sf_dir)).withColumnRenamed("event_id", "sequence")
+    control.upsert_audit(parsed, path, "events", 0)
+    key = parsed.select(F.min(F.struct(*audit.AUDIT_KEY)).alias("key")).first()["key"]
+    return control.keyed_audit(path).lookup(spark, **key.asDict()).select(AUDIT_COLUMNS)
 
 
 @query("audit_retention")
@@ -569,14 +586,55 @@ QUERIES["alarm_audit_errors"] = _alarm(alarms.AUDIT_ERRORS)
 QUERIES["alarm_run_failures"] = _alarm(alarms.RUN_FAILURES)
 
 
+def _no_zone(fired: DataFrame) -> DataFrame:
+    return fired.withColumns({name: F.col(name).cast("timestamp_ntz") for name in ("window_start", "window_end")})
+
+
 @query("alarm_engine")
 def _(spark, sf_dir):
-    """All rules over the events as a stream: alarms in windows the watermark has closed."""
+    """All rules over the events as a stream: every alarm that the rows seen so far fire."""
+    path, progress = fresh_folder(spark, "sums"), fresh_folder(spark, "progress")
+    for writer in stream_window_sums(adapters.metrics(table_stream(spark, sf_dir, "events")), path, progress):
+        run_available(writer)
+    return _no_zone(fired_alarms(spark, path))
+
+
+def _alarms_of_closed_windows(spark: SparkSession, sf_dir: str, rules) -> DataFrame:
     path = fresh_folder(spark, "alarms")
     stream = adapters.metrics(table_stream(spark, sf_dir, "events"))
-    run_available(stream_alarms(stream, path, fresh_folder(spark, "progress")))
-    fired = spark.read.parquet(path)
-    return fired.withColumns({name: F.col(name).cast("timestamp_ntz") for name in ("window_start", "window_end")})
+    for writer in stream_alarms(stream, path, fresh_folder(spark, "progress"), rules):
+        run_available(writer)
+    return _no_zone(closed_alarms(spark, path))
+
+
+@query("alarm_closed_windows")
+def _(spark, sf_dir):
+    """All rules over the events as a stream: alarms in windows the watermark has closed."""
+    return _alarms_of_closed_windows(spark, sf_dir, alarms.ALARM_RULES)
+
+
+# The alarm families with longer periods, of which up to three must breach in a row.
+LONG_RULES = (
+    replace(alarms.TASK_FAILURES, period_seconds=3600, threshold=2.0),
+    replace(alarms.FUNCTION_ERRORS, period_seconds=10800, evaluation_periods=2),
+    replace(alarms.AUDIT_ERRORS, period_seconds=10800, evaluation_periods=3),
+    replace(alarms.RUN_FAILURES, period_seconds=10800, evaluation_periods=2, threshold=2.0),
+)
+
+
+@query("alarm_periods")
+def _(spark, sf_dir):
+    """Rules over one, two and three periods as a stream: alarms in windows the watermark has closed."""
+    return _alarms_of_closed_windows(spark, sf_dir, LONG_RULES)
+
+
+@query("alarm_periods_now")
+def _(spark, sf_dir):
+    """The same rules over the sums known so far."""
+    path, progress = fresh_folder(spark, "sums"), fresh_folder(spark, "progress")
+    for writer in stream_window_sums(adapters.metrics(table_stream(spark, sf_dir, "events")), path, progress, LONG_RULES):
+        run_available(writer)
+    return _no_zone(fired_alarms(spark, path, LONG_RULES))
 
 
 # --- streams --------------------------------------------------------------------------------------------
@@ -600,6 +658,14 @@ def _(spark, sf_dir):
     return control.audit_table(spark, path).select(AUDIT_COLUMNS)
 
 
+@query("stream_audit_table")
+def _(spark, sf_dir):
+    path = fresh_folder(spark, "audit")
+    events = adapters.run_events(table_stream(spark, sf_dir, "events")).withColumnRenamed("event_id", "sequence")
+    run_available(start_audit_table(events, path, fresh_folder(spark, "progress")))
+    return control.keyed_audit(path).read(spark).select(AUDIT_COLUMNS)
+
+
 # --- runs -----------------------------------------------------------------------------------------------
 
 

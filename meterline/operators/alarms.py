@@ -2,7 +2,7 @@
 
 Metric rows are ``ts, namespace, metric, dimension, value``. A window with no rows produces no sum and so
 does not breach. The same code runs on a batch frame and on a stream (which needs a watermark on ``ts``,
-see :mod:`meterline.streaming.alarms`).
+see :mod:`meterline.streaming.alarms`), rules over several periods in a row included.
 """
 
 from __future__ import annotations
@@ -50,73 +50,61 @@ ALARM_RULES = (TASK_FAILURES, FUNCTION_ERRORS, AUDIT_ERRORS, RUN_FAILURES)
 
 
 def window_sums(metrics: DataFrame, period_seconds: int) -> DataFrame:
-    """Sum of each metric and dimension per tumbling window."""
-    return (
-        metrics.groupBy("namespace", "metric", "dimension", F.window("ts", f"{period_seconds} seconds").alias("w"))
-        .agg(F.sum("value").alias("total"))
-        .select(
-            "namespace", "metric", "dimension",
-            F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "total",
-        )
-    )
+    """Sum of each metric and dimension per tumbling window ``w``."""
+    window = F.window("ts", f"{period_seconds} seconds").alias("w")
+    return metrics.groupBy("namespace", "metric", "dimension", window).agg(F.sum("value").alias("total"))
 
 
-def _breaches(metrics: DataFrame, rules: Sequence[AlarmRule]) -> DataFrame:
-    """Breaching windows of rules that share one period: one aggregation however many rules there are."""
-    period = rules[0].period_seconds
-    sums = window_sums(metrics.where(reduce(Column.__or__, [rule.applies() for rule in rules])), period)
+def breaches(sums: DataFrame, rules: Sequence[AlarmRule]) -> DataFrame:
+    """``alarm, dimension, w, total`` for each window and each of its rules whose threshold it reaches."""
     matches = F.array_compact(
         F.array(
             *[
-                F.when(
-                    rule.applies() & (F.col("total") >= rule.threshold),
-                    F.struct(
-                        F.concat("dimension", F.lit(f"-{rule.suffix}")).alias("alarm"),
-                        F.lit(rule.evaluation_periods).alias("needed"),
-                    ),
-                )
+                F.when(rule.applies() & (F.col("total") >= rule.threshold), F.concat("dimension", F.lit(f"-{rule.suffix}")))
                 for rule in rules
             ]
         )
     )
-    return sums.select("*", F.explode(matches).alias("hit")).select(
-        "hit.alarm", "hit.needed", "dimension", "window_start", "window_end", "total"
-    )
+    return sums.select("dimension", "w", "total", F.explode(matches).alias("alarm"))
 
 
-def _sustained(breaches: DataFrame, period_seconds: int) -> DataFrame:
-    """Windows that end a run of ``needed`` breaching windows in a row.
+def sustained(breached: DataFrame, period_seconds: int, periods: int) -> DataFrame:
+    """Windows that end a run of ``periods`` breaching windows in a row.
 
-    Each breach reports to itself and the windows after it that would count it; a window with enough
-    reports has its whole run. A count per window, so no alarm's history sits in one task.
+    A sliding window as long as the run holds so many windows; all of them breach if as many reports fall into it. A
+    count per sliding window, so no alarm's history sits in one task, and on a stream a second windowed aggregation over
+    the first one's, which the same watermark closes.
     """
-    last_start = F.timestamp_add("SECOND", (F.col("needed") - 1) * period_seconds, F.col("window_start"))
-    step = F.expr(f"make_dt_interval(0, 0, 0, {period_seconds})")
-    reports = breaches.withColumn("judged_start", F.explode(F.sequence("window_start", last_start, step)))
-    own = F.col("judged_start") == F.col("window_start")
+    if periods == 1:
+        return breached.select("alarm", "dimension", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "total")
+    run = F.window(F.window_time("w"), f"{period_seconds * periods} seconds", f"{period_seconds} seconds").alias("run")
     return (
-        reports.groupBy("alarm", "dimension", "judged_start")
-        .agg(
-            F.count(F.lit(1)).alias("reports"),
-            F.max("needed").alias("needed"),
-            F.max(F.when(own, F.col("window_end"))).alias("window_end"),
-            F.max(F.when(own, F.col("total"))).alias("total"),
+        breached.groupBy("alarm", "dimension", run)
+        .agg(F.count(F.lit(1)).alias("reports"), F.max(F.struct("w", "total")).alias("last"))
+        .where(F.col("reports") == periods)
+        .select(
+            "alarm", "dimension", F.col("last.w.start").alias("window_start"), F.col("last.w.end").alias("window_end"),
+            F.col("last.total").alias("total"),
         )
-        .where(F.col("reports") == F.col("needed"))
-        .select("alarm", "dimension", F.col("judged_start").alias("window_start"), "window_end", "total")
     )
 
 
-def evaluate_alarms(metrics: DataFrame, rules: Sequence[AlarmRule] = ALARM_RULES) -> DataFrame:
-    """Every alarm that fires, with the window in which it does.
-
-    Rules are grouped by period. Rules that need several periods in a row are batch only.
-    """
-    groups: dict[tuple[int, bool], list[AlarmRule]] = {}
+def rules_by_period(rules: Sequence[AlarmRule]) -> dict[tuple[int, int], list[AlarmRule]]:
+    """Rules that share a period and how many of them must breach in a row."""
+    groups: dict[tuple[int, int], list[AlarmRule]] = {}
     for rule in rules:
-        groups.setdefault((rule.period_seconds, rule.evaluation_periods > 1), []).append(rule)
+        groups.setdefault((rule.period_seconds, rule.evaluation_periods), []).append(rule)
+    return groups
+
+
+def any_applies(rules: Sequence[AlarmRule]) -> Column:
+    return reduce(Column.__or__, [rule.applies() for rule in rules])
+
+
+def evaluate_alarms(metrics: DataFrame, rules: Sequence[AlarmRule] = ALARM_RULES) -> DataFrame:
+    """Every alarm that fires, with the window in which it does: an aggregation for the rules that share a period."""
     fired = []
-    for (period, several), members in groups.items():
-        breaches = _breaches(metrics, members)
-        fired.append(_sustained(breaches, period) if several else breaches.drop("needed"))
+    for (period, periods), members in rules_by_period(rules).items():
+        sums = window_sums(metrics.where(any_applies(members)), period)
+        fired.append(sustained(breaches(sums, members), period, periods))
     return reduce(DataFrame.unionByName, fired)

@@ -4,6 +4,9 @@ All three are append-only Parquet folders with one sub-folder per write, ``batch
 again replaces its own folder only, so a write repeated after a lost executor or a restarted stream
 leaves one copy. The audit table is the log seen through "latest record per key"; nothing is rewritten
 when a key is written again.
+
+Beside the log, :func:`upsert_audit` keeps the table itself: merged by key, so that reading it shuffles nothing and
+reading one record opens one bucket.
 """
 
 from __future__ import annotations
@@ -14,8 +17,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.operators.audit import LOGGED_DAY, RETENTION_DAYS, latest_records, stamp_logged, within_retention
+from meterline.operators.audit import AUDIT_KEY, LOGGED_DAY, RETENTION_DAYS, latest_records, stamp_logged, within_retention
 from meterline.operators.notices import notification_log, notification_outbox, render_notification
+from meterline.sources.keyed import KeyedTable
 
 AUDIT_LOG_SCHEMA = (
     "job_run_id string, event_time string, job_name string, state string, message string, "
@@ -58,6 +62,20 @@ def audit_table(spark: SparkSession, path: str) -> DataFrame:
     return latest_records(audit_log(spark, path), "logged_at", "sequence")
 
 
+def keyed_audit(path: str) -> KeyedTable:
+    """The audit table merged by run and event time; a record logged later wins, then the one with the later sequence."""
+    columns = ", ".join(part for part in AUDIT_LOG_SCHEMA.split(", ") if part.split()[0] not in ("batch", LOGGED_DAY))
+    return KeyedTable(path, columns, AUDIT_KEY, ("logged_at", "sequence"))
+
+
+def upsert_audit(parsed: DataFrame, path: str, writer: str, number: int) -> bool:
+    """Merges parsed stage events into the audit table; a writer's batch that comes again changes nothing."""
+    stamped = stamp_logged(parsed)
+    if "sequence" not in stamped.columns:
+        stamped = stamped.withColumn("sequence", F.lit(0).cast("bigint"))
+    return keyed_audit(path).merge(stamped, writer, number)
+
+
 def append_notices(
     parsed: DataFrame,
     log_path: str,

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from meterline.operators.audit import parse_run_event
-from meterline.sources.control import append_audit
-from meterline.streaming.landing import batch_names
+from meterline.sources.control import append_audit, upsert_audit
+from meterline.streaming.landing import batch_names, query_id
 
 
 def stream_audit(events: DataFrame, audit_path: str, checkpoint: str, name: str) -> DataStreamWriter:
@@ -24,3 +24,13 @@ def stream_audit(events: DataFrame, audit_path: str, checkpoint: str, name: str)
         append_audit(batch, audit_path, batch=batch_name(batch, number))
 
     return parsed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(append)
+
+
+def stream_audit_table(events: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Merges each micro-batch into the keyed audit table; see :mod:`meterline.sources.keyed`."""
+    parsed = parse_run_event(events)
+
+    def merge(batch: DataFrame, number: int) -> None:
+        upsert_audit(batch, path, query_id(batch.sparkSession, checkpoint), number)
+
+    return parsed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge)

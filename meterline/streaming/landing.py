@@ -28,17 +28,19 @@ def to_table(stream: DataFrame, path: str, checkpoint: str, partition_by: tuple[
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
-def batch_names(checkpoint: str, name: str) -> Callable[[DataFrame, int], str]:
-    """Names for micro-batches, the same whenever a batch is tried again and never those of another query.
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that has this checkpoint; Spark writes it there before the first batch."""
+    lines = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").collect()
+    return json.loads("".join(line.value for line in lines))["id"]
+
 
-    Spark writes a query's own id into its checkpoint before the first batch.
-    """
+def batch_names(checkpoint: str, name: str) -> Callable[[DataFrame, int], str]:
+    """Names for micro-batches, the same whenever a batch is tried again and never those of another query."""
     known: list[str] = []
 
     def name_of(batch: DataFrame, number: int) -> str:
         if not known:
-            lines = batch.sparkSession.read.text(f"{checkpoint.rstrip('/')}/metadata").collect()
-            known.append(json.loads("".join(line.value for line in lines))["id"])
+            known.append(query_id(batch.sparkSession, checkpoint))
         return f"{name}-{known[0]}-{number}"
 
     return name_of

@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-import pytest
 from pyspark.sql import functions as F
 
 from meterline.checks import queries
@@ -11,7 +10,7 @@ from meterline.operators.alarms import ALARM_RULES, AlarmRule, evaluate_alarms
 from meterline.operators.quality import REASON
 from meterline.plans import stages
 from meterline.sources import adapters, control
-from meterline.streaming.alarms import stream_alarms
+from meterline.streaming.alarms import closed_alarms, fired_alarms, stream_alarms, stream_window_sums
 from meterline.streaming.audit import stream_audit
 from meterline.streaming.landing import run_available, stream_landing, to_table
 from meterline.streaming.quality_split import quality_split
@@ -44,8 +43,9 @@ def test_alarms_of_a_stream_in_parts_are_those_of_the_batch(spark, sf_dir, tmp_p
     for part in (metrics.where(early), metrics.where(~early)):
         _split_in_time(part, source, 2)
         stream = stream_landing(spark, source, metrics.schema)
-        run_available(stream_alarms(stream, out, progress))
-    found = {tuple(row) for row in spark.read.parquet(out).select("alarm", "window_start", "total").collect()}
+        for writer in stream_alarms(stream, out, progress):
+            run_available(writer)
+    found = {tuple(row) for row in closed_alarms(spark, out).select("alarm", "window_start", "total").collect()}
     closed = metrics.agg(F.max("ts")).first()[0] - dt.timedelta(minutes=10)
     expected = evaluate_alarms(metrics).where(F.col("window_end") <= F.lit(closed)).select("alarm", "window_start", "total")
     assert found == {tuple(row) for row in expected.collect()} != set()
@@ -74,10 +74,46 @@ def test_alarm_sums_values_and_ignores_other_metrics(spark):
     assert [(row.alarm, row.total) for row in fired] == [("d-x", 2.0)]
 
 
-def test_streams_refuse_rules_over_several_periods(spark, tmp_path):
-    stream = stream_landing(spark, str(tmp_path), METRICS)
-    with pytest.raises(ValueError):
-        stream_alarms(stream, "out", "progress", [AlarmRule("x", "n", "m", ("d",), 60, evaluation_periods=2)])
+SLOW_RULES = [
+    AlarmRule("one", "n", "m", ("d",), 60, threshold=2.0),
+    AlarmRule("two", "n", "m", ("d",), 60, threshold=2.0, evaluation_periods=2),
+    AlarmRule("three", "n", "m", ("d",), 60, threshold=2.0, evaluation_periods=3),
+]
+MINUTES = {0: 2.0, 1: 1.0, 2: 3.0, 3: 3.0, 4: 2.0, 5: 2.0, 7: 9.0, 8: 9.0, 40: 0.0}
+
+
+def _minute_rows(spark, minutes):
+    rows = [(dt.datetime(2024, 1, 1, 0, minute, 5), "n", "m", "d", value) for minute, value in minutes.items()]
+    return spark.createDataFrame(rows, METRICS).coalesce(1)
+
+
+def _named(frame):
+    return sorted((row.alarm, row.window_start.minute, row.total) for row in frame.collect())
+
+
+def test_a_stream_evaluates_rules_over_several_periods_as_the_batch_does(spark, tmp_path):
+    """Runs of breaching windows reach over micro-batches and over a restart."""
+    source, out, progress = (str(tmp_path / name) for name in ("in", "out", "progress"))
+    for low, high in ((0, 3), (3, 5), (5, 60)):
+        _minute_rows(spark, {minute: value for minute, value in MINUTES.items() if low <= minute < high}).write.mode("append").parquet(source)
+        for writer in stream_alarms(stream_landing(spark, source, METRICS), out, progress, SLOW_RULES, "1 minute"):
+            run_available(writer)
+    found = _named(closed_alarms(spark, out))
+    assert found == _named(evaluate_alarms(_minute_rows(spark, MINUTES), SLOW_RULES))
+    assert [one[:2] for one in found if one[0] != "d-one"] == [("d-three", 4), ("d-three", 5), ("d-two", 3), ("d-two", 4), ("d-two", 5), ("d-two", 8)]
+
+
+def test_alarms_are_there_with_the_batch_that_reaches_the_threshold(spark, tmp_path):
+    """No later row has to come; a row that comes late corrects its window."""
+    source, sums, progress = (str(tmp_path / name) for name in ("in", "sums", "progress"))
+    seen = {}
+    for part in ({0: 2.0, 1: 1.0}, {2: 3.0, 3: 3.0}, {1: 1.0, 4: 2.0}):
+        _minute_rows(spark, part).write.mode("append").parquet(source)
+        for minute, value in part.items():
+            seen[minute] = seen.get(minute, 0.0) + value
+        for writer in stream_window_sums(stream_landing(spark, source, METRICS), sums, progress, SLOW_RULES):
+            run_available(writer)
+        assert _named(fired_alarms(spark, sums, SLOW_RULES)) == _named(evaluate_alarms(_minute_rows(spark, seen), SLOW_RULES))
 
 
 def test_audit_stream_goes_on_after_a_restart_without_doubles(spark, sf_dir, tmp_path):
