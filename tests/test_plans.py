@@ -69,6 +69,14 @@ def test_shares_gather_no_rows_in_one_task(spark, lake):
     assert "collect_list" not in plan(analytics.payment_breakdown(gold), "simple")
 
 
+def test_the_total_of_shares_reads_the_exchange_of_the_rows(spark, sf_dir):
+    shares = entry.queries()["payment_breakdown"](spark, sf_dir)
+    assert shares.collect()
+    ran = shares._jdf.queryExecution().executedPlan().toString()
+    total = ran[ran.index("Subquery subquery#") :].split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in total and "FileScan" not in total
+
+
 @pytest.mark.parametrize("name", STORAGE_FREE)
 def test_no_python_and_no_cross_join_in_the_plan(spark, sf_dir, name):
     text = plan(entry.queries()[name](spark, sf_dir), "simple")

@@ -1,19 +1,20 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
 from meterline.checks import queries
 from meterline.operators import notices, routing
 from meterline.operators.alarms import ALARM_RULES, AlarmRule, evaluate_alarms
-from meterline.operators.quality import REASON
+from meterline.operators.quality import REASON, quality_metrics
 from meterline.plans import stages
 from meterline.sources import adapters, control
 from meterline.streaming.alarms import closed_alarms, fired_alarms, stream_alarms, stream_window_sums
 from meterline.streaming.audit import stream_audit
 from meterline.streaming.landing import run_available, stream_landing, to_table
-from meterline.streaming.quality_split import quality_split
+from meterline.streaming.quality_split import quality_split, watch_counts
 
 METRICS = "ts timestamp, namespace string, metric string, dimension string, value double"
 
@@ -144,15 +145,24 @@ def test_split_stream_gives_the_batch_tables(spark, sf_dir, tmp_path):
     raw = queries.raw_trips(spark, sf_dir)
     raw.repartition(3).write.parquet(source)
     stream = stream_landing(spark, source, raw.schema, files_per_trigger=1)
-    query = run_available(quality_split(stream, silver, reject, progress))
+    counts = watch_counts(spark, "split-of-the-test")
+    query = run_available(quality_split(stream, silver, reject, progress).queryName("split-of-the-test"))
     batches = [step for step in query.recentProgress if step.numInputRows]
     assert len(batches) == 3 and sum(step.numInputRows for step in batches) == raw.count()  # each row is read once
     reasons = stages.to_rejects(raw).select(REASON).distinct().count()
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(reject).count()
     assert files <= 3 * reasons
     assert spark.read.parquet(silver).count() == stages.to_silver(raw).count()
-    counts = lambda df: {row[REASON]: row["count"] for row in df.groupBy(REASON).count().collect()}
-    assert counts(spark.read.parquet(reject)) == counts(stages.to_rejects(raw))
+    by_reason = lambda df: {row[REASON]: row["count"] for row in df.groupBy(REASON).count().collect()}
+    assert by_reason(spark.read.parquet(reject)) == by_reason(stages.to_rejects(raw))
+    for _ in range(100):  # reports come after the batch
+        if len(counts.reports) == 3:
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(counts)
+    said, metrics = counts.total(), quality_metrics(queries.tagged_trips(spark, sf_dir)).first()
+    assert len(counts.reports) == 3 and said.rejected == by_reason(stages.to_rejects(raw))
+    assert (said.total, said.valid, round(said.rejection_rate, 2)) == (metrics.total_rows, metrics.valid_rows, metrics.rejection_rate_pct)
 
 
 def test_routing_and_notices_work_on_a_stream(spark, sf_dir, tmp_path):
