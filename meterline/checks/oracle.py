@@ -483,6 +483,10 @@ def _control() -> dict[str, str]:
         "validated_scan": over_trips(
             'SELECT "year", "month", COUNT(*) AS "rows" FROM trips WHERE "month" <> 12 GROUP BY "year", "month"'
         ),
+        "stream_arrivals": over_trips(
+            'SELECT "year", "month", COUNT(*) AS "rows" FROM trips WHERE "month" <> 12 GROUP BY "year", "month"'
+        ),
+        "arrival_findings": "SELECT finding, TRUE AS each_file_once FROM (VALUES ('valid'), ('gone'), ('VendorID'), ('other')) AS f(finding)",
         "parse_run_event": events(f"SELECT event_id, {AUDIT} FROM run_events"),
         "audit_upsert": events(f"SELECT {AUDIT} FROM audit_table"),
         "stream_audit": events(f"SELECT {AUDIT} FROM audit_table"),

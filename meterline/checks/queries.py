@@ -15,13 +15,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.config import REQUIRED_COLUMNS, Layout
+from meterline.config import LANDING_PREFIX, REQUIRED_COLUMNS, Layout
 from meterline.operators import alarms, audit, landed_files, lineage, notices, quality, routing, shaping, summaries
 from meterline.plans import analytics, stages
-from meterline.sources import adapters, catalog, control, manifest, sinks, tables
+from meterline.sources import adapters, catalog, control, manifest, sinks, stores, tables
 from meterline.sources.adapters import table
 from meterline.sources.workspace import fresh_folder
 from meterline.streaming.alarms import closed_alarms, fired_alarms, stream_alarms, stream_window_sums
+from meterline.streaming.arrivals import arrival_findings, arrived, stream_arrivals
 from meterline.streaming.audit import stream_audit as start_audit
 from meterline.streaming.audit import stream_audit_table as start_audit_table
 from meterline.streaming.landing import run_available, stream_landing as landing_stream, to_table
@@ -478,6 +479,61 @@ def _(spark, sf_dir):
     return month_counts(manifest.validated_scan(spark, findings, root))
 
 
+def _arrival_events(spark: SparkSession, root: str) -> DataFrame:
+    """Two events for every file under ``root``, the second up to a day later, and one for a name without a file."""
+    files = manifest.list_files(spark, root)
+    base = stores.split_path(root)[2].rstrip("/") + "/"
+    key = F.substr("path", F.locate(base, F.col("path")) + F.lit(len(base)))
+    turn = F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))
+    named = files.select(key.alias("key"), "size", turn.alias("turn"))
+    second = F.pmod(F.xxhash64("key"), F.lit(86_400))
+    at = F.timestamp_add("SECOND", F.when(F.col("turn") == 1, second).otherwise(0), F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    name = F.when(F.col("turn") == 2, F.concat("key", F.lit(".gone.parquet"))).otherwise(F.col("key"))
+    record = F.struct(
+        F.struct(
+            F.struct(F.lit("raw-bucket").alias("name")).alias("bucket"),
+            F.struct(F.url_encode(name).alias("key"), "size").alias("object"),
+        ).alias("s3")
+    )
+    return named.select(at.alias("ts"), F.to_json(F.struct(F.array(record).alias("Records"))).alias("body"))
+
+
+def _picked_up(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Bronze and findings of a stream of arrival events over landed months, of which December lacks a column."""
+    root = fresh_folder(spark, "landing")
+    trips = raw_trips(spark, sf_dir)
+    land(trips.where(F.col("month") != 12), root)
+    land(trips.where(F.col("month") == 12).drop("VendorID"), root, mode="append")
+    trips.limit(10).select(F.to_json(F.struct("*")).alias("value")).coalesce(1).write.text(f"{root}/{LANDING_PREFIX}year=2024/month=notes")
+    inbox, bronze, findings, taken, progress = (fresh_folder(spark, name) for name in ("inbox", "bronze", "findings", "ledger", "progress"))
+    events = _arrival_events(spark, root)
+    # The first half of the day arrives, then the rest, with repeats of files already taken.
+    noon = F.lit("2024-01-01 12:00:00").cast("timestamp")
+    for part in (events.where(F.col("ts") < noon), events.where(F.col("ts") >= noon)):
+        part.coalesce(2).write.mode("append").parquet(inbox)
+        stream = landing_stream(spark, inbox, events.schema)
+        run_available(stream_arrivals(stream, root, bronze, findings, taken, progress))
+    return bronze, findings
+
+
+@query("stream_arrivals")
+def _(spark, sf_dir):
+    bronze, _ = _picked_up(spark, sf_dir)
+    return month_counts(arrived(spark, bronze))
+
+
+@query("arrival_findings")
+def _(spark, sf_dir):
+    """How many files each finding was made on; names and sizes of files differ from run to run."""
+    _, findings = _picked_up(spark, sf_dir)
+    found = arrival_findings(spark, findings)
+    kind = F.when(F.col("is_valid"), "valid").when(F.col("key").endswith(".gone.parquet"), "gone").when(
+        F.exists("errors", lambda error: error.contains("'VendorID'")), "VendorID"
+    ).otherwise("other")
+    valid_once = found.where("is_valid").agg(F.count(F.lit(1)) == F.countDistinct("key")).first()[0]
+    return found.select(kind.alias("finding")).distinct().withColumn("each_file_once", F.lit(bool(valid_once)))
+
+
 # --- run records, routing, notices ----------------------------------------------------------------------
 
 

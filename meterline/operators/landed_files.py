@@ -28,13 +28,15 @@ UNKNOWN_COLUMNS = "Columns are unknown"
 MISSING = "Missing columns: {names}"
 
 
-def explode_arrivals(events: DataFrame, body: str = "body") -> DataFrame:
+def explode_arrivals(events: DataFrame, body: str = "body", keep: Sequence[str] = ()) -> DataFrame:
     """One row per landed file named in arrival events (JSON text); an event without records gives none.
 
-    Keys arrive percent-encoded and are decoded; a key that is no valid encoding is kept as it is.
+    Keys arrive percent-encoded and are decoded; a key that is no valid encoding is kept as it is. Columns of the event
+    named in ``keep`` come along.
     """
     record = F.explode(F.from_json(F.col(body), ARRIVAL_EVENT)["Records"])
-    return events.select(record.alias("record")).select(
+    return events.select(*keep, record.alias("record")).select(
+        *keep,
         F.col("record.s3.bucket.name").alias("bucket"),
         F.coalesce(F.try_url_decode("record.s3.object.key"), F.col("record.s3.object.key")).alias("key"),
         F.col("record.s3.object.size").alias("size"),

@@ -22,6 +22,8 @@ BUCKETS = 64
 
 _COMMIT = "kind string, name string, value string"
 _BUCKET, _WRITER = "bucket", "writer"
+# The partition column; no column of a table may have its name.
+_SLOT = "hash_bucket"
 
 
 def _of(kind: str, rows: Sequence) -> dict[str, str]:
@@ -49,7 +51,7 @@ class KeyedTable:
         return F.pmod(F.xxhash64(*key), F.lit(self.buckets)).cast("int")
 
     def _folder(self, version: str, bucket: str) -> str:
-        return f"{self.path.rstrip('/')}/data/version={version}/bucket={bucket}"
+        return f"{self.path.rstrip('/')}/data/version={version}/hash_bucket={bucket}"
 
     def _commits(self) -> str:
         return f"{self.path.rstrip('/')}/commits"
@@ -86,18 +88,18 @@ class KeyedTable:
         commit, versions, writers = self._state(spark)
         if int(writers.get(writer, -1)) >= number:
             return False
-        fresh = self._last(rows.select(*self._columns())).withColumn("bucket", self._bucket(*[F.col(name) for name in self.key]))
+        fresh = self._last(rows.select(*self._columns())).withColumn(_SLOT, self._bucket(*[F.col(name) for name in self.key]))
         # Read twice, for the buckets and for the rows; what is lost is computed again.
         fresh.persist()
         try:
-            touched = sorted(str(row["bucket"]) for row in fresh.select("bucket").distinct().collect())
+            touched = sorted(str(row[_SLOT]) for row in fresh.select(_SLOT).distinct().collect())
             if touched:
                 version = uuid.uuid4().hex
                 old = self._read(spark, [self._folder(versions[bucket], bucket) for bucket in touched if bucket in versions])
-                old = old.withColumn("bucket", self._bucket(*[F.col(name) for name in self.key]))
+                old = old.withColumn(_SLOT, self._bucket(*[F.col(name) for name in self.key]))
                 # Grouping by bucket and key keeps the rows where they are: one shuffle, and one task per bucket.
-                together = old.unionByName(fresh).repartition("bucket")
-                self._last(together, "bucket").write.partitionBy("bucket").parquet(f"{self.path.rstrip('/')}/data/version={version}")
+                together = old.unionByName(fresh).repartition(_SLOT)
+                self._last(together, _SLOT).write.partitionBy(_SLOT).parquet(f"{self.path.rstrip('/')}/data/version={version}")
                 versions = {**versions, **dict.fromkeys(touched, version)}
         finally:
             fresh.unpersist()
@@ -110,6 +112,13 @@ class KeyedTable:
         _, versions, _ = self._state(spark)
         return self._read(spark, [self._folder(version, bucket) for bucket, version in versions.items()])
 
+    def touched_by(self, keys: DataFrame) -> DataFrame:
+        """The table's rows in the buckets that these keys fall into; other buckets are not read."""
+        spark = keys.sparkSession
+        buckets = keys.select(self._bucket(*[F.col(name) for name in self.key]).cast("string").alias(_SLOT)).distinct().collect()
+        _, versions, _ = self._state(spark)
+        return self._read(spark, [self._folder(versions[row[_SLOT]], row[_SLOT]) for row in buckets if row[_SLOT] in versions])
+
     def lookup(self, spark: SparkSession, **key: object) -> DataFrame:
         """The row of one key; only its bucket is read."""
         values = [F.lit(key[name]) for name in self.key]
@@ -127,9 +136,9 @@ class KeyedTable:
         commit, versions, _ = self._state(spark)
         root = spark._jvm.org.apache.hadoop.fs.Path(self.path)
         store = root.getFileSystem(spark._jsc.hadoopConfiguration())
-        kept = {self._folder(version, bucket).rsplit("/", 2)[-2] + f"/bucket={bucket}" for bucket, version in versions.items()}
+        kept = {self._folder(version, bucket).rsplit("/", 2)[-2] + f"/hash_bucket={bucket}" for bucket, version in versions.items()}
         removed = 0
-        for status in store.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, "data/version=*/bucket=*")) or []:
+        for status in store.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, "data/version=*/hash_bucket=*")) or []:
             place = status.getPath()
             if f"{place.getParent().getName()}/{place.getName()}" not in kept:
                 removed += bool(store.delete(place, True))

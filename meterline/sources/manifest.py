@@ -38,11 +38,12 @@ def file_manifest(spark: SparkSession, root: str, bucket: str) -> DataFrame:
     )
 
 
-def with_footers(listing: DataFrame) -> DataFrame:
+def with_footers(listing: DataFrame, may_be_gone: bool = False) -> DataFrame:
     """Adds column names, types and row count from each file's footer.
 
-    A file that is no Parquet file gets ``read_error``. A file that cannot be reached says nothing about itself: the
-    read is tried again and then fails the job.
+    A file that is no Parquet file gets ``read_error``, and with ``may_be_gone`` so does a name without a file, as
+    something else than a listing may give it. A file that cannot be reached says nothing about itself: the read is
+    tried again and then fails the job.
     """
 
     def read_footers(batches):
@@ -64,7 +65,12 @@ def with_footers(listing: DataFrame) -> DataFrame:
                 return handle.read(length) + tail
 
         def footer(path, size):
-            data = retried(lambda: footer_bytes(path, size))
+            try:
+                data = retried(lambda: footer_bytes(path, size))
+            except FileNotFoundError:
+                if not may_be_gone:
+                    raise
+                return None, None, None, "no such file"
             if data is None:
                 return None, None, None, "not a parquet file: no footer"
             try:

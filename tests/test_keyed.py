@@ -64,7 +64,7 @@ def test_a_merge_writes_only_the_buckets_it_touches_and_a_lookup_reads_one(spark
     assert len(before) == 8 and len([bucket for bucket in before if before[bucket] != after[bucket]]) == 1
     found = table.lookup(spark, name="n7", part=1)
     assert [row.value for row in found.collect()] == ["new"]
-    assert len({path.split("bucket=")[1].split("/")[0] for path in found.inputFiles()}) == 1
+    assert len({path.split("hash_bucket=")[1].split("/")[0] for path in found.inputFiles()}) == 1
     assert "Exchange" not in table.read(spark)._jdf.queryExecution().executedPlan().toString()
     assert table.remove_old_versions(spark) == 1 and table.read(spark).count() == 200
     assert table.remove_old_versions(spark) == 0
