@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterline.llm.storage import stored
+from meterline.llm.words import BLANKS, ascii_lower_table, byte_classes, cut_words
 
 SEQUENCE_TOKENS = 4096
 END_TOKEN = 1
@@ -33,6 +34,9 @@ KNOWN_WORDS = 1_000_000
 # Bytes of text tokenised at a time.
 BATCH_BYTES = 4_000_000
 
+# Words that are tokenised as one text.
+JOINED_WORDS = 50
+
 # Letters followed by these signs are two words for a tokenizer that separates letters from signs; both repeat more often.
 SIGNS = ".,!?;:"
 # Fixed value: how the tokenizer's vocabulary marks the last token of a word.
@@ -67,15 +71,32 @@ class WordIds:
         self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(sizes)])
 
     def _learn(self, words: list[str]) -> None:
-        """Tokenises many words as one text. Each is letters or signs only, so each is one word to the tokenizer, and
-        the last token of a word carries its end mark."""
+        """Tokenises words of which each is letters or signs only, and so one word to the tokenizer.
+
+        Normalising, splitting and mapping to bytes leave words of small ASCII letters as they are, so those go to the
+        tokenizer's model directly; others are joined to short texts, where the last token of a word carries its end mark.
+        """
         np = self.np
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype=np.int32)
-        ends = np.flatnonzero(self.word_ends[ids]) + 1
-        if len(ends) == len(words):
-            self._keep(words, ids, np.diff(ends, prepend=0))
-        else:
-            self._learn_singly(words)
+        tokenize = self.tokenizer.model.tokenize
+        letters = [word for word in words if word.isascii() and word.isalpha() and word.islower()]
+        if letters:
+            ids = [[token.id for token in tokenize(word)] for word in letters]
+            self._keep(letters, np.array(list(chain.from_iterable(ids)), dtype=np.int32), np.array(list(map(len, ids)), dtype=np.int64))
+        known = set(letters)
+        rest = [word for word in words if word not in known]
+        groups = [rest[at : at + JOINED_WORDS] for at in range(0, len(rest), JOINED_WORDS)]
+        learnt = []
+        encoded = self.tokenizer.encode_batch_fast([" ".join(group) for group in groups], add_special_tokens=False)
+        for group, one in zip(groups, encoded):
+            ids = np.array(one.ids, dtype=np.int32)
+            ends = np.flatnonzero(self.word_ends[ids]) + 1
+            if len(ends) == len(group):
+                learnt.append((group, ids, np.diff(ends, prepend=0)))
+            else:
+                self._learn_singly(group)
+        if learnt:
+            groups, ids, sizes = zip(*learnt)
+            self._keep(list(chain.from_iterable(groups)), np.concatenate(ids), np.concatenate(sizes))
 
     def _learn_singly(self, words: list[str]) -> None:
         np = self.np
@@ -92,10 +113,12 @@ class WordIds:
 
     def _numbers_of(self, words: list[str]):
         np = self.np
-        missing = [word for word in words if word not in self.numbers]
-        if len(self.numbers) + len(missing) > KNOWN_WORDS:
+        numbers = np.array([self.numbers.get(word, -1) for word in words], dtype=np.int64)
+        unknown = np.flatnonzero(numbers < 0)
+        if len(self.numbers) + len(unknown) > KNOWN_WORDS:
             self._forget()
-            missing = words
+            unknown = np.arange(len(words))
+        missing = [words[place] for place in unknown.tolist()]
         cores = [word.rstrip(SIGNS) for word in missing]
         # Some letters become letter and mark in lower case, hence the second look.
         letters = [core.lower().isalpha() for core in cores]
@@ -111,7 +134,8 @@ class WordIds:
             )
             ids, sizes = self._ids_of(halves)
             self._keep([word for word, _ in joined], ids, sizes[0::2] + sizes[1::2])
-        return np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words))
+        numbers[unknown] = [self.numbers[word] for word in missing]
+        return numbers
 
     def encode(self, texts, end_token: int):
         """Ids of all texts of an Arrow array in a row, the end token behind each, and where each text's end."""
@@ -128,12 +152,11 @@ class WordIds:
             plain = pc.replace_with_mask(texts, pa.array(mask), pa.array([""] * len(whole), texts.type))
         else:
             plain = texts
-        lists = pc.ascii_split_whitespace(pc.ascii_lower(plain))
-        coded = lists.flatten().dictionary_encode()
-        words = self._numbers_of(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        cut = cut_words(plain, byte_classes(BLANKS), ascii_lower_table(), SIGNS.encode())
+        words = self._numbers_of(cut.dictionary.to_numpy(zero_copy_only=False).tolist())[cut.codes]
         ids, sizes = self._ids_of(words)
-        ends = np.cumsum(sizes)
-        text_ends = np.concatenate([[0], ends])[np.cumsum(pc.list_value_length(lists).to_numpy())]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        text_ends = ends[np.searchsorted(cut.text_of, np.arange(len(texts)), side="right")]
         starts = np.concatenate([[0], text_ends[:-1]]) if len(text_ends) else text_ends
         end = np.array([end_token], dtype="<u4").tobytes()
         out = [ids[a:b].astype("<u4").tobytes() + end for a, b in zip(starts, text_ends)]

@@ -55,8 +55,11 @@ class Words:
     separators_before: object
 
 
-def cut_words(texts, classes, letters: bytes | None = None) -> Words:
-    """Words of an Arrow string array; null texts have none. ``letters`` maps bytes before the words are read."""
+def cut_words(texts, classes, letters: bytes | None = None, signs: bytes = b"") -> Words:
+    """Words of an Arrow string array; null texts have none. ``letters`` maps bytes before the words are read.
+
+    A word of small ASCII letters with one of ``signs`` behind them counts as two.
+    """
     import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
@@ -79,11 +82,15 @@ def cut_words(texts, classes, letters: bytes | None = None) -> Words:
     starts, ends = np.flatnonzero(begins), np.flatnonzero(finishes) + 1
     offsets = np.zeros(len(starts) + 1, dtype=np.int64)
     np.cumsum(ends - starts, out=offsets[1:])
+    text_of = np.searchsorted(bounds, starts, side="right") - 1
+    separators = np.searchsorted(np.flatnonzero(kinds == SEPARATOR), starts)
+    packed = raw[inside]
+    if signs and len(starts):
+        others = np.add.reduceat((packed < ord("a")) | (packed > ord("z")), offsets[:-1], dtype=np.int64)
+        two = np.flatnonzero((others == 1) & np.isin(packed[offsets[1:] - 1], list(signs)) & (np.diff(offsets) > 1))
+        offsets = np.insert(offsets, two + 1, offsets[two + 1] - 1)
+        text_of, separators = np.insert(text_of, two, text_of[two]), np.insert(separators, two, separators[two])
     words = pa.Array.from_buffers(
-        pa.large_string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(raw[inside])]
+        pa.large_string(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(packed)]
     ).dictionary_encode()
-    text_of = np.searchsorted(bounds, starts, side="right") - 1
-    return Words(
-        words.indices.to_numpy(zero_copy_only=False), words.dictionary, text_of,
-        np.searchsorted(np.flatnonzero(kinds == SEPARATOR), starts),
-    )
+    return Words(words.indices.to_numpy(zero_copy_only=False), words.dictionary, text_of, separators)
