@@ -14,13 +14,13 @@ there is no tagger, and the base spans are the result. An empty table gives an e
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.storage import hashed_sample
+from meterline.llm.storage import hashed_sample, made_in_one_task
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -34,10 +34,9 @@ BATCH_WINDOWS = 48
 STEP = 0.04
 SEED = 7
 
-# Training reads at most so many documents that hold a digit or an at sign, chosen by a hash of the text, and of each
-# at most so many windows, and no longer texts than this. Scanning has no such bounds.
+# Training reads at most so many documents that hold a digit or an at sign, of any length, in the order of a hash of the
+# text, until they have given so many windows. Scanning has no such bounds.
 TRAINING_DOCUMENTS = 1500
-TRAINING_CHARS = 20_000
 TRAINING_WINDOWS = 3000
 # One training span in so many is rewritten in a form the patterns do not know.
 REWRITTEN = 5
@@ -358,7 +357,7 @@ def _rewritten(kind: str, found: str, turn: int) -> str:
     return found
 
 
-def training_windows(texts: list[str]):
+def training_windows(texts: Iterable[str]):
     """Classes and tags of windows around the places of interest in the texts, at most TRAINING_WINDOWS."""
     import numpy as np
 
@@ -401,15 +400,18 @@ def training_windows(texts: list[str]):
     return np.stack(classes), np.stack(tags)
 
 
-def train(docs: DataFrame, text: str = "text") -> Tagger | None:
-    """A tagger from documents that hold a digit or an at sign, a bounded number of them; None without spans."""
-    value = F.col(text)
-    interesting = docs.select(value.alias("text")).where(F.col("text").rlike("[0-9@]") & (F.length("text") <= TRAINING_CHARS))
-    rows = hashed_sample(interesting, F.xxhash64("text"), TRAINING_DOCUMENTS).toArrow()
-    classes, tags = training_windows(rows.column("text").to_pylist())
+def _train_on_batches(batches: Iterator) -> Tagger | None:
+    classes, tags = training_windows(text.as_py() for batch in batches for text in batch.column(0))
     return train_tagger(classes, tags) if (tags > 0).any() else None
 
 
+def train(docs: DataFrame, text: str = "text") -> Tagger | None:
+    """A tagger, trained in one task, from documents that hold a digit or an at sign; None without spans."""
+    interesting = docs.select(F.col(text).alias("text")).where(F.col("text").rlike("[0-9@]"))
+    rows = hashed_sample(interesting, F.xxhash64("text"), TRAINING_DOCUMENTS)
+    return made_in_one_task(rows, [F.xxhash64("text"), F.col("text")], _train_on_batches)
+
+
 def _stretches(text: str) -> list[tuple[int, int]]:
     """Runs of grid windows that hold a trigger: first window and how many."""
     wanted = sorted({window for match in _TRIGGER.finditer(text) for window in (match.start() // STRIDE - 1, match.start() // STRIDE)})

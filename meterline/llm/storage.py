@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,3 +32,18 @@ def hashed_sample(rows: DataFrame, place: Column, most: int) -> DataFrame:
     others = [name for name in chosen.columns if name != "place"]
     once = chosen.groupBy("place").agg(F.min(F.struct(*others)).alias("row"))
     return once.orderBy("place").limit(most).select("row.*")
+
+
+def made_in_one_task(rows: DataFrame, order: list[Column], work: Callable[[Iterator], object]) -> object:
+    """What ``work`` makes of the record batches of all rows, in this order, in one task; only that comes to the driver.
+
+    For training: the rows must be a bounded sample, and what is made of them small.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(work(batches))], pa.binary())], names=["made"])
+
+    made = rows.repartition(1).sortWithinPartitions(*order).mapInArrow(run, "made binary").first()
+    return work(iter(())) if made is None else pickle.loads(made["made"])
