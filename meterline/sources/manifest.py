@@ -64,12 +64,18 @@ def with_footers(listing: DataFrame, may_be_gone: bool = False) -> DataFrame:
                 handle.seek(size - _FOOTER_TAIL - length)
                 return handle.read(length) + tail
 
-        def footer(path, size):
+        gone = object()
+
+        def bytes_or_gone(path, size):
             try:
-                data = retried(lambda: footer_bytes(path, size))
+                return footer_bytes(path, size)
             except FileNotFoundError:
-                if not may_be_gone:
-                    raise
+                return gone
+
+        def footer(path, size):
+            # A name without a file is an answer, so it is not asked again.
+            data = retried(lambda: bytes_or_gone(path, size) if may_be_gone else footer_bytes(path, size))
+            if data is gone:
                 return None, None, None, "no such file"
             if data is None:
                 return None, None, None, "not a parquet file: no footer"
