@@ -358,6 +358,7 @@ def _gold() -> dict[str, str]:
         "location_trip_summary": over_gold("SELECT * FROM location"),
         "payment_type_summary": over_gold("SELECT * FROM payment"),
         "gold": over_gold(stored),
+        "gold_refresh": over_gold(stored),
         "daily_for_month": over_gold(
             "SELECT pickup_date, total_trips, total_revenue, avg_fare, avg_tip, avg_distance, avg_duration_minutes "
             f"FROM daily WHERE {january} ORDER BY pickup_date"

@@ -409,9 +409,7 @@ for _one in summaries.SUMMARIES:
     QUERIES[_one.name] = _summary(_one)
 
 
-@query("gold")
-def _(spark, sf_dir):
-    layout = gold_lake(spark, sf_dir)
+def _stored_gold(spark: SparkSession, layout: Layout) -> DataFrame:
     stored = [
         spark.read.parquet(layout.gold_table(one.name)).drop("gold_processed_at").withColumn("gold_table", F.lit(one.name))
         for one in summaries.SUMMARIES
@@ -419,6 +417,25 @@ def _(spark, sf_dir):
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), stored)
 
 
+@query("gold")
+def _(spark, sf_dir):
+    return _stored_gold(spark, gold_lake(spark, sf_dir))
+
+
+@query("gold_refresh")
+def _(spark, sf_dir):
+    """Gold of all months but those of 2024, whose trips then come month by month into silver and into gold."""
+    layout = bronze_lake(spark, sf_dir)
+    silver = stages.to_silver(tables.scan_bronze(spark, layout.bronze))
+    late = F.col("pickup_year") == 2024
+    sinks.write_silver(silver.where(~late), layout.silver)
+    stages.refresh_gold(spark, layout)
+    sinks.write_silver(silver.where(late), layout.silver, dynamic=True)
+    months = silver.where(late).select("pickup_year", "pickup_month").distinct().collect()
+    stages.refresh_gold(spark, layout, [tuple(month) for month in months])
+    return _stored_gold(spark, layout)
+
+
 def _question(question: Callable[[analytics.Gold], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return question(stages.to_gold(silver_trips(spark, sf_dir)))

@@ -71,6 +71,11 @@ class Layout:
     def gold_table(self, name: str) -> str:
         return f"{self.gold}/{name}"
 
+    @property
+    def gold_states(self) -> str:
+        """What each month adds to the gold tables."""
+        return f"{self.gold.rstrip('/')}_states"
+
 
 # Landing layout, the columns every landed file must carry, and the smallest file size.
 LANDING_PREFIX = "raw/yellow_tripdata/"

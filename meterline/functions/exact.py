@@ -11,6 +11,8 @@ decimal) is added up as plain doubles.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -52,20 +54,39 @@ def _wide(value: Column) -> Column:
     return F.when(wide.cast("double") == value, wide)
 
 
-def exact_sum(value: Column, places: int = 2) -> Column:
-    """Aggregate: sum of a double; ``places`` is how many decimals most values have."""
+# What a sum is made of. Each part is itself a sum, so parts of several groups merge by adding them up.
+SUM_PARTS = ("high", "low", "whole", "rest", "held", "present", "plain")
+
+
+def sum_parts(value: Column, places: int = 2) -> dict[str, Column]:
+    """Aggregates by name of part: what :func:`sum_of_parts` needs, and what may be stored and merged."""
     units = whole_units(value, places)
-    high, low = F.shiftright(units, _LOW_BITS), units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
     # Nulls and values that units hold stay out of the wide sum, so the cast is the exception, not the rule.
     wide = F.when(value.isNotNull() & units.isNull(), _wide(value))
     whole = F.floor(wide)
-    total_units = F.sum(high).cast("decimal(38,0)") * F.lit(1 << _LOW_BITS).cast("decimal(8,0)") + F.sum(low).cast("decimal(20,0)")
+    return {
+        "high": F.sum(F.shiftright(units, _LOW_BITS)),
+        "low": F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))),
+        "whole": F.sum(whole.cast("decimal(28,0)")),
+        "rest": F.sum((wide - whole).cast("decimal(27,24)")),
+        "held": F.count(units) + F.count(wide),
+        "present": F.count(value),
+        "plain": F.sum(value),
+    }
+
+
+def sum_of_parts(parts: Mapping[str, Column], places: int = 2) -> Column:
+    """The sum as a double; null without a value."""
+    total_units = parts["high"].cast("decimal(38,0)") * F.lit(1 << _LOW_BITS).cast("decimal(8,0)") + parts["low"].cast("decimal(20,0)")
     in_units = F.coalesce(total_units, F.lit(0)).cast("double") / F.lit(float(10**places))
-    in_wide = F.coalesce(F.sum(whole.cast("decimal(28,0)")).cast("double"), F.lit(0.0)) + F.coalesce(
-        F.sum((wide - whole).cast("decimal(27,24)")).cast("double"), F.lit(0.0)
-    )
-    held = F.count(value) == F.count(units) + F.count(wide)
-    return F.when(F.count(value) == 0, F.lit(None).cast("double")).when(held, in_units + in_wide).otherwise(F.sum(value))
+    in_wide = F.coalesce(parts["whole"].cast("double"), F.lit(0.0)) + F.coalesce(parts["rest"].cast("double"), F.lit(0.0))
+    held = parts["present"] == parts["held"]
+    return F.when(parts["present"] == 0, F.lit(None).cast("double")).when(held, in_units + in_wide).otherwise(parts["plain"])
+
+
+def exact_sum(value: Column, places: int = 2) -> Column:
+    """Aggregate: sum of a double; ``places`` is how many decimals most values have."""
+    return sum_of_parts(sum_parts(value, places), places)
 
 
 def rounded_sum(value: Column, places: int = 2) -> Column:

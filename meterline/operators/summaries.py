@@ -6,12 +6,13 @@ grouping sets (one scan, one shuffle of per-task partial results), which is what
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.functions.exact import rounded_mean, rounded_sum
+from meterline.functions.exact import SUM_PARTS, rounded_mean, rounded_sum, sum_of_parts, sum_parts
 
 SET_NAME = "summary_name"
 
@@ -130,6 +131,82 @@ def _grouping_id(all_keys: list[str], used: tuple[str, ...]) -> int:
     return sum(1 << position for position, key in enumerate(reversed(all_keys)) if key not in used)
 
 
+# --- states by month --------------------------------------------------------------------------------------
+
+MONTH = ("pickup_year", "pickup_month")
+# Rows of this name hold no summary. One stands for each month that was asked for, so that a month without trips
+# replaces what was stored for it as well.
+MONTH_MARK = "month"
+
+# Sums of which a state keeps the parts, with the decimals most values have.
+_SUMMED = {
+    "fare": ("fare_amount", 2),
+    "tip": ("tip_amount", 2),
+    "total": ("total_amount", 2),
+    "distance": ("trip_distance", DISTANCE_PLACES),
+    "minutes": ("trip_duration_minutes", 2),
+}
+
+
+def _state_keys() -> list[str]:
+    return list(dict.fromkeys([*MONTH, *(key for summary in SUMMARIES for key in summary.keys)]))
+
+
+def month_states(silver: DataFrame, months: Sequence[tuple[int, int]] = ()) -> DataFrame:
+    """What each month adds to each summary: counts, extremes and the parts of sums, nothing rounded or divided.
+
+    One scan of ``silver``, combined per task before the shuffle. States of different months merge to the summaries of
+    all of them (:func:`merge_states`). ``months`` are those that ``silver`` was read for; each gets a mark.
+    """
+    keys = _state_keys()
+    sets = {summary.name: (*MONTH, *(key for key in summary.keys if key not in MONTH)) for summary in SUMMARIES}
+    parts = {name: sum_parts(F.col(column), places) for name, (column, places) in _SUMMED.items()}
+    grouped = silver.groupingSets([list(columns) for columns in sets.values()], *keys).agg(
+        F.grouping_id(*keys).alias("grouping"),
+        F.count(F.lit(1)).alias("trips"),
+        F.sum("passenger_count").alias("passengers"),
+        F.max("fare_amount").alias("most_fare"),
+        F.min("fare_amount").alias("least_fare"),
+        *[F.struct(*[part.alias(key) for key, part in of_sum.items()]).alias(name) for name, of_sum in parts.items()],
+    )
+    name = F.lit(None).cast("string")
+    for summary, columns in sets.items():
+        name = F.when(F.col("grouping") == _grouping_id(keys, columns), F.lit(summary)).otherwise(name)
+    states = grouped.withColumn(SET_NAME, name).drop("grouping")
+    if not months:
+        return states
+    kinds = {field.name: field.dataType.simpleString() for field in states.schema.fields}
+    marks = silver.sparkSession.createDataFrame([tuple(month) for month in months], ", ".join(f"{key} {kinds[key]}" for key in MONTH))
+    return states.unionByName(marks.withColumn(SET_NAME, F.lit(MONTH_MARK)), allowMissingColumns=True)
+
+
+def merge_states(states: DataFrame, summary: Summary) -> DataFrame:
+    """One summary out of the states of all its months; the rows :func:`summarise` gives for their trips."""
+    merged = {
+        name: {part: F.sum(F.col(f"{name}.{part}")) for part in SUM_PARTS} for name in _SUMMED
+    }
+    sums = {name: sum_of_parts(parts, _SUMMED[name][1]) for name, parts in merged.items()}
+    totals = {name: F.round(value, 2) for name, value in sums.items()}
+    means = {name: F.round(F.try_divide(value, merged[name]["present"]), 2) for name, value in sums.items()}
+    measures = {
+        "total_trips": F.sum("trips"),
+        "total_passengers": F.sum("passengers"),
+        "avg_fare": means["fare"],
+        "total_fare": totals["fare"],
+        "avg_tip": means["tip"],
+        "total_tip": totals["tip"],
+        "avg_distance": means["distance"],
+        "total_distance": totals["distance"],
+        "avg_duration_minutes": means["minutes"],
+        "total_revenue": totals["total"],
+        "max_fare": F.round(F.max("most_fare"), 2),
+        "min_fare": F.round(F.min("least_fare"), 2),
+    }
+    own = states.where(F.col(SET_NAME) == summary.name)
+    grouped = own.groupBy(*summary.keys).agg(*[measures[name].alias(name) for name in summary.measures])
+    return grouped.withColumn("gold_processed_at", F.current_timestamp()).select(*summary.columns())
+
+
 def pick_summary(combined: DataFrame, summary: Summary) -> DataFrame:
     """One summary's rows and columns out of :func:`summarise_all`."""
     return combined.where(F.col(SET_NAME) == summary.name).select(*summary.columns())

@@ -10,9 +10,11 @@ import datetime as dt
 import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
-from functools import partial
+from functools import partial, reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.config import RUN_JOB, Layout, QualityBounds
@@ -141,6 +143,7 @@ def silver_stage(
 
 def gold_stage(spark: SparkSession, layout: Layout) -> None:
     """All four summaries from one scan of silver; only the finished summaries are stored and split."""
+    _forget_states(spark, layout)
     combined = cut_lineage(summaries.summarise_all(tables.scan_silver(spark, layout.silver)))
     for summary in summaries.SUMMARIES:
         sinks.write_gold_table(
@@ -148,6 +151,71 @@ def gold_stage(spark: SparkSession, layout: Layout) -> None:
         )
 
 
+class NoStates(RuntimeError):
+    """Months cannot be refreshed, because no run has stored what the other months add."""
+
+
+def _has_states(spark: SparkSession, layout: Layout) -> bool:
+    try:
+        spark.read.parquet(layout.gold_states)
+    except AnalysisException as error:
+        # A folder that is not there, and one that a run without states has emptied.
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return False
+    return True
+
+
+def in_months(months: Sequence[tuple[int, int]]) -> Column:
+    """Whether a row's folder is one of the months; plain comparisons, so that other folders are not opened."""
+    year, month = (F.col(name) for name in summaries.MONTH)
+    tests = [(year == wanted_year) & (month == wanted_month) for wanted_year, wanted_month in months]
+    return reduce(or_, tests, F.lit(False))
+
+
+def refresh_gold(spark: SparkSession, layout: Layout, months: Sequence[tuple[int, int]] | None = None) -> None:
+    """Gold after some months of silver have changed, been added or lost all their trips.
+
+    Only the months named are scanned. What they add to each summary replaces their stored states; tables by month are
+    replaced for these months, and tables over all months are merged from all states, which are as long as months times
+    keys. Without ``months`` everything is scanned and stored anew, which is how states begin. A refresh that failed on
+    its way is mended by doing it again.
+    """
+    silver = tables.scan_silver(spark, layout.silver)
+    if months is None:
+        fresh = summaries.month_states(silver)
+    elif not _has_states(spark, layout):
+        raise NoStates(f"{layout.gold_states}: refresh gold without naming months first")
+    else:
+        months = sorted(set(months))
+        fresh = summaries.month_states(silver.where(in_months(months)), months)
+    if months is not None and not months:
+        return
+    # The states are months times keys, so a month's rows fit one file unless adaptive execution finds them large.
+    sinks.write_table(fresh.hint("rebalance", *summaries.MONTH), layout.gold_states, summaries.MONTH, dynamic=months is not None)
+    states = spark.read.parquet(layout.gold_states)
+    replaceable = months is not None and _all_have_trips(states, months)
+    for summary in summaries.SUMMARIES:
+        by_month = bool(summary.stored_by) and replaceable
+        own = states.where(in_months(months)) if by_month else states
+        sinks.write_gold_table(
+            summaries.merge_states(own, summary), layout.gold_table(summary.name), summary.stored_by, dynamic=by_month
+        )
+
+
+def _all_have_trips(states: DataFrame, months: Sequence[tuple[int, int]]) -> bool:
+    """Whether each month has a row to replace its folder with; where not, the folder goes by writing the whole table."""
+    with_trips = states.where(in_months(months) & (F.col(summaries.SET_NAME) != summaries.MONTH_MARK))
+    return with_trips.select(*summaries.MONTH).distinct().count() == len(months)
+
+
+def _forget_states(spark: SparkSession, layout: Layout) -> None:
+    """Empties the states, which no longer describe the tables once a run without states has written them."""
+    if _has_states(spark, layout):
+        states = spark.read.parquet(layout.gold_states)
+        sinks.write_table(spark.createDataFrame([], states.schema), layout.gold_states, summaries.MONTH)
+
+
 def register_tables(spark: SparkSession, layout: Layout, database: str, location: str | None = None) -> DataFrame:
     """Names silver and gold in the catalog and lists what is registered."""
     catalog.create_database(spark, database, location)
@@ -166,7 +234,8 @@ class RunOptions:
 
     ``bucket`` names where files landed and makes bronze from the valid ones only; ``rebalance`` brings a month's silver
     rows together; ``dynamic`` replaces only the months at hand; ``replace_rejects`` writes rejects even if there are
-    none; ``database`` registers the tables after gold.
+    none; ``database`` registers the tables after gold. ``states`` has gold store what each month adds, so that
+    ``refresh_gold`` can bring in single months later.
     """
 
     bucket: str | None = None
@@ -174,13 +243,14 @@ class RunOptions:
     dynamic: bool = False
     replace_rejects: bool = False
     database: str | None = None
+    states: bool = False
 
     def stages(self) -> tuple[Callable[[SparkSession, Layout], object], ...]:
         bronze = bronze_stage if self.bucket is None else partial(validated_bronze_stage, bucket=self.bucket)
         silver = partial(
             silver_stage, rebalance=self.rebalance, dynamic=self.dynamic, always_write_rejects=self.replace_rejects
         )
-        return bronze, silver, gold_stage
+        return bronze, silver, refresh_gold if self.states else gold_stage
 
 
 def default_stages() -> tuple[Callable[[SparkSession, Layout], object], ...]:

@@ -73,14 +73,14 @@ def write_reject(
     return True
 
 
-def write_gold_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def write_gold_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), dynamic: bool = False) -> None:
     """A summary table, one file per partition.
 
     A table by month has a bounded number of months, which a fixed number of tasks writes side by side.
     Other summaries are as long as their key is; adaptive execution sizes their files.
     """
     spread = df.repartition(GOLD_WRITERS, *partition_by) if partition_by else df.hint("rebalance")
-    write_table(spread, path, partition_by)
+    write_table(spread, path, partition_by, dynamic)
 
 
 def save_query_result(spark: SparkSession, name: str, query: str | DataFrame, folder: str) -> DataFrame:
