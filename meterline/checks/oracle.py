@@ -504,6 +504,14 @@ def _control() -> dict[str, str]:
             f"{routed}, 'failure' FROM run_events WHERE {bad} UNION ALL "
             f"{routed}, 'complete' FROM run_events WHERE {done}"
         ),
+        "route_patterns": events(
+            f"SELECT event_id, 'success' AS rule FROM run_events WHERE {ok} UNION ALL "
+            f"SELECT event_id, 'failure' FROM run_events WHERE {bad} UNION ALL "
+            f"SELECT event_id, 'complete' FROM run_events WHERE {done} UNION ALL "
+            f"SELECT event_id, 'run-' || job_run_id FROM run_events WHERE {bad} "
+            "AND CAST(job_run_id AS BIGINT) BETWEEN 0 AND 999 AND (message = '' OR message LIKE 'event 1%') UNION ALL "
+            f"SELECT event_id, 'other-states' FROM run_events WHERE NOT ({ok}) AND NOT ({bad}) AND message <> ''"
+        ),
         "parse_notification": events("SELECT event_id, job_name, state, job_run_id, message, event_time FROM run_events"),
         "render_notification": events(f"SELECT event_id, {subject}, {text_body}, {html_body} FROM run_events"),
         "notification_log": events(f"SELECT {message}, TRUE AS by_day, TRUE AS has_time FROM run_events"),

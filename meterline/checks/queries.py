@@ -15,8 +15,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.config import LANDING_PREFIX, REQUIRED_COLUMNS, Layout
-from meterline.operators import alarms, audit, landed_files, lineage, notices, quality, routing, shaping, summaries
+from meterline.config import FAILURE_STATES, LANDING_PREFIX, REQUIRED_COLUMNS, Layout
+from meterline.operators import alarms, audit, landed_files, lineage, notices, patterns, quality, routing, shaping, summaries
 from meterline.plans import analytics, stages
 from meterline.sources import adapters, catalog, control, manifest, sinks, stores, tables
 from meterline.sources.adapters import table
@@ -615,6 +615,18 @@ QUERIES["route_complete"] = _routed(routing.route_complete)
 QUERIES["route_events"] = _routed(routing.route_events, "rule")
 
 
+@query("route_patterns")
+def _(spark, sf_dir):
+    """The stage rules and a thousand others, as documents: one per run for its failures or late messages."""
+    runs = {
+        f"run-{number}": {"detail": {"jobRunId": [str(number)], "state": list(FAILURE_STATES), "message": [{"prefix": "event 1"}, None]}}
+        for number in range(1000)
+    }
+    odd = {"other-states": {"detail": {"state": [{"anything-but": ["SUCCEEDED", *FAILURE_STATES]}], "message": [{"exists": True}]}}}
+    routed = patterns.route_by_patterns(run_events(spark, sf_dir), {**patterns.STAGE_PATTERNS, **runs, **odd})
+    return routed.select("event_id", "rule")
+
+
 @query("parse_notification")
 def _(spark, sf_dir):
     return notices.parse_notification(run_events(spark, sf_dir)).select("event_id", *notices.NOTICE_FIELDS)
