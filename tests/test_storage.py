@@ -150,6 +150,59 @@ def test_registration_follows_columns_and_place(spark, tmp_path):
     assert spark.table(f"`{database}`.t").count() == 7 and spark.read.parquet(first).count() == 5
 
 
+def _registered_at(spark, tmp_path, frame, folder="first"):
+    """A partitioned table under a name that carries a property, and the statements that name tables from here on."""
+    database, path = queries.new_database(spark), str(tmp_path / folder)
+    catalog.create_database(spark, database)
+    frame.write.partitionBy("y", "m").parquet(path)
+    catalog.register_table(spark, database, "t", path)
+    spark.sql(f"ALTER TABLE {database}.t SET TBLPROPERTIES ('owner.note' = 'kept')")
+    return database, path
+
+
+def _note(spark, database):
+    return [row.value for row in spark.sql(f"SHOW TBLPROPERTIES {database}.t").collect() if row.key == "owner.note"]
+
+
+def test_a_table_grows_and_moves_under_its_name(spark, tmp_path, monkeypatch):
+    months = spark.createDataFrame([(1, 2024, "a/b"), (2, 2024, None), (3, 2023, "x")], "v int, y int, m string")
+    database, path = _registered_at(spark, tmp_path, months)
+    issued, run = [], type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *more, **named: issued.append(text) or run(self, text, *more, **named))
+
+    months.selectExpr("v + 10 AS v", "v * 0.5D AS w", "y", "m").write.mode("append").partitionBy("y", "m").parquet(path)
+    catalog.register_table(spark, database, "t", path)
+    table = spark.table(f"{database}.t")
+    assert table.columns == ["v", "w", "y", "m"] and table.where("w IS NOT NULL").count() == 3 and table.count() == 6
+    assert sorted(row.v for row in table.where("m IS NULL").collect()) == [2, 12]
+
+    second = str(tmp_path / "second")
+    months.where("y = 2024").selectExpr("v + 100 AS v", "y", "m").write.partitionBy("y", "m").parquet(second)
+    catalog.register_table(spark, database, "t", second)
+    moved = sorted(tuple(row) for row in spark.table(f"{database}.t").select("v", "w", "m").collect())
+    assert moved == [(101, None, "a/b"), (102, None, None)]
+    assert not [text for text in issued if text.startswith(("DROP TABLE", "CREATE TABLE"))] and _note(spark, database) == ["kept"]
+    assert spark.read.parquet(path).count() == 6
+
+    before = len(issued)
+    catalog.register_table(spark, database, "t", second)
+    assert not [text for text in issued[before:] if "ADD COLUMNS" in text or "SET LOCATION" in text]
+
+
+def test_what_cannot_be_altered_is_named_anew(spark, tmp_path):
+    months = spark.createDataFrame([(1, 2024, "a")], "v int, y int, m string")
+    database, path = _registered_at(spark, tmp_path, months)
+    months.selectExpr("'text' AS v", "y", "m").write.mode("overwrite").partitionBy("y", "m").parquet(path)
+    catalog.register_table(spark, database, "t", path)
+    assert [tuple(row) for row in spark.table(f"{database}.t").collect()] == [("text", 2024, "a")]
+    other = str(tmp_path / "other")
+    months.selectExpr("'text' AS v", "y", "m").write.partitionBy("m").parquet(other)
+    catalog.register_table(spark, database, "t", other)
+    assert [row.y for row in spark.table(f"{database}.t").collect()] == [2024]
+    catalog.register_table(spark, database, "t", other)
+    assert spark.table(f"{database}.t").count() == 1
+
+
 def test_bronze_is_gone_through_once_without_rejects_and_twice_with_them(spark, tmp_path):
     layout = Layout.under(str(tmp_path))
     for changes, passes in ((({}, {}), 1), (({}, {"fare_amount": 0.0}), 2)):
