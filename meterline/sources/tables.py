@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +13,9 @@ from meterline.config import LANDING_PREFIX
 from meterline.sources import manifest
 from meterline.sources.workspace import cut_lineage
 
+# What Spark names the failure to bring files under one schema.
+MERGE_FAILURES = {"CANNOT_MERGE_SCHEMAS", "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE"}
+
 
 def scan(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """All Parquet under ``path``; partition folders become columns."""
@@ -19,6 +23,14 @@ def scan(spark: SparkSession, path: str, schema: T.StructType | str | None = Non
     return reader.parquet(path)
 
 
+def _conditions(thrown) -> Iterator[str]:
+    """The error conditions of a Java exception and its causes; a merge may fail in a task, below the job's failure."""
+    while thrown is not None:
+        if thrown.getClass().getName() == "org.apache.spark.SparkException":
+            yield thrown.getCondition()
+        thrown = thrown.getCause()
+
+
 def scan_raw(spark: SparkSession, path: str, each: Callable[[DataFrame], DataFrame] = manifest.as_it_is) -> DataFrame:
     """Every landed month under the declared schema: columns a month lacks are null, further ones are kept.
 
@@ -29,8 +41,8 @@ def scan_raw(spark: SparkSession, path: str, each: Callable[[DataFrame], DataFra
     """
     try:
         merged = spark.read.option("mergeSchema", True).parquet(path)
-    except Exception as error:  # noqa: BLE001 - the class of a failed merge differs between versions and modes
-        if "MERGE" not in str(error).upper():
+    except Py4JJavaError as error:
+        if not MERGE_FAILURES & set(_conditions(error.java_exception)):
             raise
         files = cut_lineage(manifest.with_footers(manifest.list_files(spark, path).where(F.col("path").endswith(".parquet"))))
         if unreadable := files.where("columns IS NULL").first():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+# Masters whose executors are threads of the driver; those of ``local-cluster`` are processes of their own.
+_ONE_PROCESS = re.compile(r"local(\[.*\])?$")
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints.
@@ -19,7 +23,7 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_SETTING, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not _ONE_PROCESS.match(spark.sparkContext.master):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="meterline-")
     spark.conf.set(CHECKPOINT_SETTING, folder)
