@@ -7,8 +7,8 @@ documents link when ``100 * intersection >= percent * union``.
 * Equal sets are one from the start. Each set is hashed into GROUPS groups of tokens; the counts of its groups are its
   point. The sum of the smaller coordinates of two points bounds their overlap from above.
 * Sets that link differ in few tokens. Dealt into more blocks than that, at least one block has the same tokens in
-  both (and ``spare`` blocks more than one), so only sets with an equal block of their size class are compared. A set
-  whose blocks are among the common ones in no more than ``spare`` cases leaves those out without losing a link.
+  both (and ``spare`` blocks more than one), so only sets with an equal block of their size class are compared. Each set
+  leaves out its ``spare`` commonest blocks, empty ones and those of passages that many texts share, without losing a link.
 * Among the sets that share a block, an R-tree over the points finds those within the bound. What it connects is a
   candidate group; a spanning forest is enough, so no bucket emits its pairs.
 * Within a candidate group the R-tree gives each set the partners within the bound, and the sets themselves decide.
@@ -38,8 +38,6 @@ LEAF_POINTS = 64
 WAVE_ROWS = 64
 # A size class ends where sets are this much larger than its smallest.
 CLASS_RATIO = 1.4
-# A block that more sets share than this is a common one.
-COMMON_BLOCK = 200
 # Buckets of more sets than this are not searched in one task: their sets are one candidate group as they are.
 MOST_IN_BUCKET = 100_000
 # Tokens of the sets that one task compares; larger candidate groups are solved in parts.
@@ -370,18 +368,16 @@ def _spread(points, sizes, percent: int, accept):
     return labels
 
 
-def _common_left_out(keys: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
-    """``node, class, key`` without common blocks of sets that can spare them."""
-    common = stored(counts.where(F.col("sharing") > COMMON_BLOCK).select("class", "key"), "common-blocks")
-    blocks = block_count(common.count())
-    maybe = mark_possible(keys, ("class", "key"), key_filter(common, ("class", "key"), blocks), blocks, "maybe")
-    sure = maybe.where(~F.col("maybe")).drop("maybe")
-    hit = maybe.where("maybe").drop("maybe").join(common.withColumn("is_common", F.lit(True)), ["class", "key"], "left")
-    hit = hit.withColumn("is_common", F.coalesce("is_common", F.lit(False)))
+def _least_common(shared: DataFrame, percent: int) -> DataFrame:
+    """Of the blocks ``node, class, key, sharing`` those that are left when each set spares its commonest ones.
+
+    Sets that link have more than ``spare`` equal blocks. Of these the least common comes after ``spare`` others in the
+    order of both sets, which is one order for all, so it stays in both. A set with no more shared blocks than it can
+    spare links with nothing.
+    """
     spares = F.array(*[F.lit(spare) for spare in _class_spares(percent)])
-    used = F.sum(F.col("is_common").cast("int")).over(Window.partitionBy("node", "class"))
-    kept = hit.withColumn("used", used).where(~F.col("is_common") | (F.col("used") > F.get(spares, F.col("class"))))
-    return sure.unionByName(kept.select(*sure.columns))
+    place = F.row_number().over(Window.partitionBy("node", "class").orderBy(F.desc("sharing"), "key"))
+    return shared.withColumn("place", place).where(F.col("place") > F.get(spares, F.col("class"))).select("node", "class", "key")
 
 
 def _bucket_edges(rows: DataFrame, percent: int) -> DataFrame:
@@ -431,25 +427,30 @@ def candidate_edges(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 
     ``keys`` has the blocks of each set, ``node, class, key``.
     """
-    counts = stored(
-        keys.groupBy("class", "key")
-        .agg(F.count(F.lit(1)).alias("sharing"), F.min("node").alias("first"), F.max("node").alias("last"))
-        .where("sharing > 1"),
-        "shared-blocks",
-    )
-    pairs = counts.where("sharing = 2").select(F.col("first").alias("a"), F.col("last").alias("b")).distinct()
-    pairs = _within_bound(pairs, sets, percent)
-    several = stored(counts.where("sharing > 2"), "buckets")
+    counts = stored(_sharing(keys), "shared-blocks")
+    by_two = counts.where("sharing = 2").select(F.explode(F.array("first", "last")).alias("node"), "class", "key", "sharing")
+    several = stored(counts.where("sharing > 2").select("class", "key", "sharing"), "buckets")
     blocks = block_count(several.count())
     maybe = mark_possible(keys, ("class", "key"), key_filter(several, ("class", "key"), blocks), blocks, "maybe")
-    shared = _common_left_out(maybe.where("maybe").drop("maybe"), several, percent)
-    shared = shared.join(several.select("class", "key", "sharing", "first"), ["class", "key"])
-    shared = stored(shared.select("class", "key", "node", "sharing", "first"), "bucket-rows")
+    by_several = maybe.where("maybe").join(several, ["class", "key"]).select(*by_two.columns)
+    kept = stored(_least_common(by_two.unionByName(by_several), percent), "kept-blocks")
+    buckets = stored(_sharing(kept), "kept-buckets")
+    pairs = buckets.where("sharing = 2").select(F.col("first").alias("a"), F.col("last").alias("b")).distinct()
+    pairs = _within_bound(pairs, sets, percent)
+    shared = kept.join(buckets.where("sharing > 2").select("class", "key", "sharing", "first"), ["class", "key"])
     searched = shared.where(F.col("sharing") <= MOST_IN_BUCKET).join(sets.select("node", "n", "points"), "node")
     as_they_are = shared.where(F.col("sharing") > MOST_IN_BUCKET).select(F.col("first").alias("a"), F.col("node").alias("b"))
     return pairs.unionByName(_bucket_edges(searched, percent)).unionByName(as_they_are.where("a <> b")).distinct()
 
 
+def _sharing(keys: DataFrame) -> DataFrame:
+    """``class, key`` that several nodes share, how many do, the first and the last of them."""
+    shared = keys.groupBy("class", "key").agg(
+        F.count(F.lit(1)).alias("sharing"), F.min("node").alias("first"), F.max("node").alias("last")
+    )
+    return shared.where("sharing > 1")
+
+
 def _sets_of(docs: DataFrame, wanted: DataFrame, width: int, text: str) -> DataFrame:
     """``node, group, n, tokens`` for the wanted sets, their texts found again by two hashes."""
 

@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from meterline.llm import near_copies as near
 
@@ -95,11 +96,23 @@ def test_groups_too_large_for_a_task(spark):
     check(spark, varied(7, 6, 60), 3, 80, group_tokens=900)
 
 
-def test_common_blocks(spark, monkeypatch):
-    monkeypatch.setattr(near, "COMMON_BLOCK", 2)
+def test_common_blocks(spark):
     check(spark, varied(8, 12, 40), 3, 85)
 
 
+def test_long_unrelated_texts_are_no_candidates(spark):
+    """Many long texts leave the same blocks empty and share a passage; only the two that are near become candidates."""
+    draw = random.Random(4)
+    passage = " ".join(f"p{number}" for number in range(60))
+    rows = [(number, passage + "".join(f" u{draw.getrandbits(40)}" for _ in range(draw.randint(1200, 1500)))) for number in range(120)]
+    rows.append((500, rows[7][1] + " one more"))
+    check(spark, rows, 5, 80)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sets = near.profiles(docs, 5, 80).withColumnRenamed("doc_id", "node").cache()
+    keys = sets.select("node", F.explode("keys").alias("part")).select("node", "part.class", "part.key")
+    assert {frozenset(row) for row in near.candidate_edges(keys, sets, 80).collect()} == {frozenset((7, 500))}
+
+
 def test_buckets_that_are_not_searched(spark, monkeypatch):
     monkeypatch.setattr(near, "MOST_IN_BUCKET", 3)
     check(spark, varied(9, 12, 30), 3, 85)
