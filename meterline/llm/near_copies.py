@@ -22,7 +22,6 @@ other columns of any name may be there; :func:`drop_near_copies` returns them un
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Window
@@ -510,8 +509,8 @@ def _solve(rows: DataFrame, by: list[str], percent: int) -> DataFrame:
 def _solve_large(rows: DataFrame, parts: DataFrame, percent: int, group_tokens: int) -> DataFrame:
     """Edges of candidate groups too large for one task: parts first, then what the parts leave apart.
 
-    Only pairs of different results can still be missing. The sets outside the largest result of their group are held
-    against the whole group, in blocks of bounded size; the number of blocks grows with what is apart.
+    Only pairs of different results can still be missing, so the sets outside the largest result of their group are held
+    against the whole group.
     """
     parted = rows.join(parts, "group").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
     inner = stored(_solve(parted, ["group", "part"], percent), "part-links")
@@ -531,50 +530,70 @@ def _solve_large(rows: DataFrame, parts: DataFrame, percent: int, group_tokens:
     second = labelled(links)
     results = second.groupBy("group", "label").agg(F.sum("n").alias("tokens"))
     largest = results.groupBy("group").agg(F.max_by("label", F.struct("tokens", "label")).alias("largest"))
-    apart = second.join(largest, "group").where("label <> largest").select("node", "n")
-    total = apart.agg(F.sum("n")).first()[0] or 0
-    blocks = math.ceil(total / min(BLOCK_TOKENS, group_tokens))
-    for block in range(blocks):
-        own = rows.join(apart.select("node").where(F.pmod(F.xxhash64("node"), F.lit(blocks)) == block), "node", "left_semi")
-        links = links.unionByName(stored(_against(rows, own, percent), "block-links"))
-    return links
+    apart = stored(second.join(largest, "group").where("label <> largest").select("group", "node", "n"), "sets-apart")
+    return links.unionByName(_held_against(rows.join(second.select("node", "label"), "node"), apart, percent, group_tokens))
 
 
-def _against(rows: DataFrame, block: DataFrame, percent: int) -> DataFrame:
-    """Links between all rows and a bounded block of rows of the same groups."""
-    import numpy as np
+def _held_against(rows: DataFrame, apart: DataFrame, percent: int, group_tokens: int) -> DataFrame:
+    """Links between the sets apart and the sets of their groups with another label.
 
-    table = block.select("group", "node", "tokens").toArrow()
-    held = table.column("group").to_numpy(), table.column("node").to_numpy(), _arrays(table.column("tokens"))
-    shared = rows.sparkSession.sparkContext.broadcast(held)
+    One shuffled job: a task has a block of the sets apart, in memory, and a slice of the whole group, which passes by.
+    Both are bounded; how many there are grows with the group and with what is apart.
+    """
+    block_tokens = min(BLOCK_TOKENS, group_tokens)
+    blocks = apart.groupBy("group").agg(F.ceil(F.sum("n") / block_tokens).alias("blocks"))
+    slices = rows.groupBy("group").agg(F.ceil(F.sum("n") / group_tokens).alias("slices"))
+    cut = rows.join(blocks.join(slices, "group"), "group")
+    columns = [F.col(name) for name in ("group", "node", "label", "tokens")]
+    block, slice_ = F.pmod(F.xxhash64("node"), "blocks"), F.pmod(F.xxhash64("node", F.lit(1)), "slices")
+    held = cut.join(apart.select("node"), "node", "left_semi").select(
+        *columns, block.alias("block"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1)).alias("slice"), F.lit(0).alias("passing")
+    )
+    passing = cut.select(
+        *columns, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"), slice_.alias("slice"), F.lit(1).alias("passing")
+    )
 
     def work(batches):
+        import numpy as np
         import pyarrow as pa
 
-        groups, nodes, sets = shared.value
-        trees = {}
-        for group in np.unique(groups):
-            own = np.flatnonzero(groups == group)
-            ends = np.cumsum([len(sets[n]) for n in own])
-            points = count_points(np.concatenate([sets[n] for n in own]), ends)
-            trees[int(group)] = own, CountTree(points, np.diff(ends, prepend=0), percent)
+        place = own = tree = None
         for batch in batches:
+            keys = np.stack([batch.column(name).to_numpy().astype(np.int64) for name in ("group", "block", "slice", "passing")], axis=1)
+            nodes, labels = batch.column("node").to_numpy(), batch.column("label").to_numpy()
+            sets = _arrays(batch.column("tokens"))
+            edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1), len(keys)]
             found = []
-            in_batch = zip(batch.column("group").to_pylist(), batch.column("node").to_pylist(), _arrays(batch.column("tokens")))
-            for group, node, tokens in in_batch:
-                if group not in trees:
+            for start, stop in zip(edges, edges[1:]):
+                here = tuple(keys[start, :3])
+                if not keys[start, 3]:
+                    if here != place:
+                        place, own, tree = here, ([], [], []), None
+                    own[0].extend(nodes[start:stop])
+                    own[1].extend(labels[start:stop])
+                    own[2].extend(tokens.copy() for tokens in sets[start:stop])
                     continue
-                own, tree = trees[group]
-                point = count_points(tokens, np.array([len(tokens)]))[0]
-                for other in own[tree.within(point, len(tokens))]:
-                    overlap = len(np.intersect1d(tokens, sets[other], assume_unique=True))
-                    if nodes[other] != node and overlap >= need(len(tokens), len(sets[other]), percent):
-                        found.append((node, int(nodes[other])))
+                if here != place:
+                    continue
+                if tree is None:
+                    sizes = np.array([len(tokens) for tokens in own[2]])
+                    tree = CountTree(count_points(np.concatenate(own[2]), np.cumsum(sizes)), sizes, percent)
+                for row in range(start, stop):
+                    size = len(sets[row])
+                    for other in tree.within(count_points(sets[row], np.array([size]))[0], size):
+                        if own[1][other] == labels[row]:
+                            continue
+                        overlap = len(np.intersect1d(sets[row], own[2][other], assume_unique=True))
+                        if overlap >= need(size, len(own[2][other]), percent):
+                            found.append((nodes[row], own[0][other]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"]
             )
 
-    return rows.select("group", "node", "tokens").mapInArrow(work, "a bigint, b bigint")
+    by = ["group", "block", "slice"]
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = held.unionByName(passing).repartition(parts, *by).sortWithinPartitions(*by, "passing")
+    return dealt.mapInArrow(work, "a bigint, b bigint")
 
 
 def near_copies(

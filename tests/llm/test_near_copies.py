@@ -146,3 +146,20 @@ def test_drop_keeps_one_row_of_each_group(spark):
     kept = near.drop_near_copies(docs)
     assert kept.columns == docs.columns
     assert sorted(row.doc_id for row in kept.collect()) == [1, 2, 4]
+
+
+def test_sets_apart_are_held_against_their_group(spark):
+    """Every link between sets of different labels is found, whatever block and slice they fall in."""
+    draw = random.Random(3)
+    rows = []
+    for node in range(90):
+        base = rows[draw.randrange(len(rows))][4] if rows and draw.random() < 0.7 else [draw.getrandbits(62) for _ in range(draw.randint(8, 30))]
+        tokens = sorted({*base[: len(base) - draw.randint(0, 1)], *(draw.getrandbits(62) for _ in range(draw.randint(0, 2)))})
+        rows.append((node, node % 2, len(tokens), node % 5, tokens))
+    expected = {
+        frozenset((a[0], b[0])) for a in rows for b in rows
+        if a[1] == b[1] and a[3] != b[3] and len({*a[4]} & {*b[4]}) >= near.need(len(a[4]), len(b[4]), 80)
+    }
+    sets = spark.createDataFrame(rows, "node bigint, group bigint, n bigint, label bigint, tokens array<bigint>")
+    found = near._held_against(sets, sets.select("group", "node", "n"), 80, 100).collect()
+    assert expected and {frozenset(row) for row in found} == expected
