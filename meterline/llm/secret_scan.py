@@ -1,7 +1,7 @@
 """Secrets in texts: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a token that looks random: a key of a known form, a value assigned to a telling name, or a long run of
-letters and digits. The forest reads its length, the kinds of its characters and how often they change, how much of it
+A candidate is what looks random: a key of a known form, a private key block, a value assigned to a telling name or said
+to be one, a password in an address, or a long run of letters and digits. The forest reads its length, the kinds of its characters and how often they change, how much of it
 is made of dictionary words, the path (here the source of the document) and the words beside it, all as columns. It is
 trained on labelled findings; its trees then vote in the JVM. Everything is built-in functions and the library's forest.
 
@@ -39,11 +39,24 @@ _TELLING_NAME = (
     r"(?=" + _IN_NAME + r"++[\"']?\s*[=:])(?=" + _IN_NAME + r"*?(?i:" + TELLING + r"))"
     r"(?!(?=[A-Za-z+/]*[0-9])[A-Za-z0-9+/]{16,}={1,2}(?:[\s\"',;)}\]<&]|$))"
 )
+# A private key from its first line to its last; a hyphen stands in its headers a few times at most.
+_KEY_BODY = r"[A-Za-z0-9+/=\s\\:,.]*+"
+PRIVATE_KEY = (
+    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----" + _KEY_BODY + "(?:-(?!-)" + _KEY_BODY + r"){0,12}+-----END [A-Z ]{0,40}PRIVATE KEY-----"
+)
+# The part of an address before the password in it, and a sentence before one.
+_ADDRESS = r"(?<![A-Za-z0-9+.-])[A-Za-z][A-Za-z0-9+.-]{1,20}+://[^\s:/@]++:"
+_SENTENCE = r"(?i:" + TELLING + r")[\"']?\s{1,4}(?i:is|was)\s{1,4}[\"']?"
+# In each alternative the value is the only group and ends the match.
 CANDIDATE = (
-    r"\b(" + "|".join(KNOWN_FORMS) + r")|(?<!" + _IN_NAME + r")(?<!://)" + _TELLING_NAME + _IN_NAME
-    + r"++[\"']?\s*[=:]=?>?\s*[\"']?([^\s\"',;]{6,})|(?<![A-Za-z0-9_@./-])(?!(?:[A-Za-z0-9+/_-]*[+/])?"
+    "(" + PRIVATE_KEY + ")|" + _ADDRESS + r"([^\s/@]{4,}+)(?=@)"
+    + r"|\b(" + "|".join(KNOWN_FORMS) + r")|(?<!" + _IN_NAME + r")(?<!://)" + _TELLING_NAME + _IN_NAME
+    + r"++[\"']?\s*[=:]=?>?\s*[\"']?([^\s\"',;]{6,})"
+    + "|" + _SENTENCE + r"((?=[^\s\"',;]{0,200}[0-9])[^\s\"',;]{5,}[^\s\"',;.!?)])"
+    + r"|(?<![A-Za-z0-9_@./-])(?!(?:[A-Za-z0-9+/_-]*[+/])?"
     + _TELLING_NAME + r")([A-Za-z0-9+/_-]{16,}={0,2})(?![A-Za-z0-9@_-])"
 )
+GROUPS = 6
 # Words that say a value is none; a host like mail.example.com beside it says nothing.
 PRETENDED = r"(?<![.@a-z0-9])(example|sample|dummy|placeholder|changeme|your[_-])|changeme|xxxx"
 
@@ -52,6 +65,8 @@ PRETENDED = r"(?<![.@a-z0-9])(example|sample|dummy|placeholder|changeme|your[_-]
 CONTEXT = 40
 # Every second part of a text is a match of at least six characters, so these hold that many.
 NEAR_PARTS = 2 * -(-CONTEXT // 6) + 1
+# Places are summed in chunks of so many candidates, so that their cost grows with the candidates of a text and no faster.
+CHUNK = 256
 
 # Labelled findings of each label that training reads at most. Scanning has no bound.
 TRAINING_FINDINGS = 5000
@@ -76,11 +91,15 @@ def findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path:
     cut = having.select(
         "doc_id", "path", F.regexp_extract_all("text", F.lit(CANDIDATE), 0).alias("whole"), F.split("text", CANDIDATE).alias("between"),
     )
-    # Each part between and each whole match in turn; the start of a match is the length of all that went before.
-    lengths = F.zip_with(F.slice("between", 1, F.size("whole")), "whole", lambda gap, hit: F.struct(F.length(gap).alias("gap"), F.length(hit).alias("hit")))
-    ends = F.aggregate(
-        lengths, F.array(F.lit(0)), lambda ends, one: F.concat(ends, F.array(F.element_at(ends, -1) + one["gap"] + one["hit"]))
+    # Each part between and each whole match in turn; a match ends after all that went before and itself.
+    sizes = F.zip_with(F.slice("between", 1, F.size("whole")), "whole", lambda gap, hit: F.length(gap) + F.length(hit))
+    cut = cut.select("*", sizes.alias("sizes"))
+    chunks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size("sizes") - 1) / CHUNK).cast("int")), lambda at: _sums(F.slice("sizes", at * CHUNK + 1, F.lit(CHUNK)))
     )
+    cut = cut.select("doc_id", "path", "whole", "between", chunks.alias("chunks"))
+    earlier = F.slice(_sums(F.transform("chunks", lambda sums: F.element_at(sums, -1))), 1, F.size("chunks"))
+    ends = F.flatten(F.zip_with("chunks", earlier, lambda sums, start: F.transform(F.slice(sums, 2, CHUNK), lambda one: one + start)))
     # All parts in their order, without what is in the middle of a long one, as only its ends are context of others.
     parts = F.flatten(F.zip_with("between", "whole", lambda gap, hit: F.array(gap, F.coalesce(hit, F.lit("")))))
     parts = F.transform(
@@ -97,14 +116,16 @@ def findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path:
                 "whole",
                 lambda hit, place: F.struct(
                     hit.alias("whole"),
-                    (F.get("ends", place + 1) - F.length(hit)).alias("at"),
+                    (F.get("ends", place) - F.length(hit)).alias("at"),
                     F.right(F.array_join(before(place), ""), F.lit(CONTEXT)).alias("text_before"),
                     F.left(F.array_join(after(place), ""), F.lit(CONTEXT)).alias("after"),
                 ),
             )
         ).alias("one"),
     )
-    value = F.coalesce(*[F.nullif(F.regexp_extract("one.whole", CANDIDATE, group), F.lit("")) for group in (1, 2, 3)])
+    # The sign after a password in an address is not part of the match.
+    patterns = [(f"^{_ADDRESS}([^\\s/@]+)$", 1), *((CANDIDATE, group) for group in range(1, GROUPS + 1))]
+    value = F.coalesce(*[F.nullif(F.regexp_extract("one.whole", pattern, group), F.lit("")) for pattern, group in patterns])
     before_value = F.length("one.whole") - F.length(value)
     # The value ends its match, so the rest of the match stands before it.
     return rows.select(
@@ -114,6 +135,11 @@ def findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path:
     )
 
 
+def _sums(numbers: Column) -> Column:
+    """0 and the sums of the first, the first two and so on of an array."""
+    return F.aggregate(numbers, F.array(F.lit(0)), lambda sums, one: F.concat(sums, F.array(F.element_at(sums, -1) + one)))
+
+
 def _count(value: Column, pattern: str) -> Column:
     return F.length(value) - F.length(F.regexp_replace(value, pattern, ""))
 
@@ -141,10 +167,10 @@ def described(found: DataFrame) -> DataFrame:
         share(F.size(F.array_distinct(F.split(value, "")))).alias("distinct"),
         share(_count(F.lower(value), COMMON_PARTS)).alias("covered"),
         value.rlike("^[0-9a-f]+$").cast("double").alias("hex_only"),
-        before.rlike(r"[=:]>?\s*[\"']?$").cast("double").alias("assigned"),
+        before.rlike(r"([=:]>?|\s(is|was))\s*[\"']?$").cast("double").alias("assigned"),
         before.rlike("[\"']$").cast("double").alias("quoted"),
-        before.rlike(f"({TELLING})").cast("double").alias("telling"),
-        value.rlike("^(" + "|".join(KNOWN_FORMS) + ")$").cast("double").alias("known_form"),
+        before.rlike(rf"({TELLING})|://[^\s:/@]+:$").cast("double").alias("telling"),
+        value.rlike("^((" + "|".join(KNOWN_FORMS) + ")$|-----BEGIN )").cast("double").alias("known_form"),
         F.concat(before, F.lower("value"), F.lower("after")).rlike(PRETENDED).cast("double").alias("example"),
         path.rlike("test|spec|mock|fixture|doc").cast("double").alias("path_test"),
         path.rlike("conf|env|deploy|prod|secret").cast("double").alias("path_config"),
