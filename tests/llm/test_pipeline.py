@@ -61,4 +61,4 @@ def test_query_gives_the_rows_of_its_sql(spark, sf_dir, name):
 
 def test_one_query_for_each_operator():
     numbers = [int(name[2:].split("_")[0]) for name in entry.queries() if name.startswith("op")]
-    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in entry.queries()
