@@ -1,11 +1,16 @@
 """Main text of web pages: structure first, then the difference to the page with the nearest URL.
 
 A page is read into blocks. What stands in menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles or
-reader comments (by element, role, whole class or id) is left out; a class or id leaves out no element that holds the article. If the page marks its article, its blocks are the text.
-What is not marked may still be part of a template, so a page with unmarked blocks is compared with a neighbour: within
-each host pages are ordered by URL path, and of the one before and the one after the one that shares the longer start of
-the path is taken (the one before on a tie). Their lines are aligned by a longest common subsequence and the shared
-unmarked ones are deleted. Marked lines stay even if shared, as two pages may carry the same article.
+reader comments (by element, role, whole class or id) is left out; a class or id leaves out no element that holds the
+article. Blocks within an element that marks the article are certain, the others are open.
+Every page is then compared with a neighbour: within each host pages are ordered by URL path, and of the one before and
+the one after the one that shares the longer start of the path is taken (the one before on a tie). Pages of one path,
+like those that differ in their query, are neighbours of each other only on a host without another path; else they take
+the neighbour of the first of them. The whole lists of blocks, those left out included, are aligned by a longest common
+subsequence, and shared open blocks are deleted as parts of the template. Certain blocks stay even if shared, as two pages may carry
+the same article. Where the shared blocks are most of the text of one of the two pages, these are near copies and
+nothing is deleted. On a page with certain blocks the open ones go, unless what several marked elements hold is less than
+the open text that the comparison leaves: then those are cards beside a story that is not marked.
 
 A block is a run of text between block elements; character references are decoded, white space becomes one space, ends
 are trimmed, and blocks are joined by an empty line. A null or empty page has an empty text. A null url has no host and
@@ -17,7 +22,8 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from hashlib import blake2b
 from html import unescape
 
 from pyspark.sql import DataFrame, Window
@@ -28,6 +34,13 @@ from meterline.llm.storage import stored
 
 BATCH_BYTES = 2_000_000
 
+# Kinds of blocks.
+LEFT, OPEN, CERTAIN = 0, 1, 2
+# Bytes of a block's digest.
+DIGEST = 12
+# Two pages are near copies if shared blocks hold so many hundredths of the text of one of them, or more.
+NEAR_COPY = 80
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe svg object canvas".split())
 # Of these, a tag that ends with a slash is the whole element.
@@ -106,13 +119,15 @@ def _named(tag: str, rest: str, in_article: bool) -> set[str]:
     return found
 
 
-def page_lines(html: str | None) -> list[tuple[str, bool]]:
-    """Blocks of a page in order, and whether each stands in the marked article."""
+def page_blocks(html: str | None) -> tuple[list[tuple[str, int]], int]:
+    """Blocks of a page in order with their kind, LEFT, OPEN or CERTAIN, and how many outermost elements mark an article."""
     if not html:
-        return []
-    # Each line is its parts of source, each with the named elements it stands in, and whether the line is marked.
-    lines: list[tuple[list[tuple[str, tuple[int, ...]]], bool]] = []
-    pending: list[tuple[str, tuple[int, ...]]] = []
+        return [], 0
+    # Each line is its parts of source, each with the named elements it stands in (none if it is left out), and whether
+    # the line is marked.
+    lines: list[tuple[list[tuple[str, tuple[int, ...] | None]], bool]] = []
+    pending: list[tuple[str, tuple[int, ...] | None]] = []
+    marks = 0
     open_tags: list[str] = []
     # Depths at which unwanted and article elements were opened.
     unwanted: list[int] = []
@@ -143,8 +158,8 @@ def page_lines(html: str | None) -> list[tuple[str, bool]]:
 
     at = 0
     while match := _TOKEN.search(html, at):
-        if match.start() > at and not unwanted:
-            pending.append((html[at : match.start()], within))
+        if match.start() > at:
+            pending.append((html[at : match.start()], None if unwanted else within))
         at = match.end()
         if raw := match["raw"]:
             if raw.lower() in RAW_EMPTY and match[0].endswith("/>"):
@@ -157,8 +172,8 @@ def page_lines(html: str | None) -> list[tuple[str, bool]]:
             continue
         if tag in BLOCKS:
             flush()
-        elif tag in ("br", "td", "th") and not unwanted:
-            pending.append((" ", within))
+        elif tag in ("br", "td", "th"):
+            pending.append((" ", None if unwanted else within))
         if match["end"]:
             if tag in open_tags:
                 close(len(open_tags) - 1 - open_tags[::-1].index(tag))
@@ -185,26 +200,41 @@ def page_lines(html: str | None) -> list[tuple[str, bool]]:
             names.append(words)
             held.append(set())
         if tag in ARTICLE:
+            marks += not article
             article.append(depth)
             for number in within:
                 # An article that is itself a comment is the article of what holds comments at most.
                 if not words or names[number] & OTHER_ARTICLES:
                     held[number].add(tag)
-    if at < len(html) and not unwanted:
-        pending.append((html[at:], within))
+    if at < len(html):
+        pending.append((html[at:], None if unwanted else within))
     flush()
     # A name leaves out no element that holds the article. Comments and teasers are the article only if there is no other.
     kept = {number for number, tags in enumerate(held) if "main" in tags or tags and not names[number] & OTHER_ARTICLES}
-    if not any(marked and kept.issuperset(inside) and part.strip() for parts, marked in lines for part, inside in parts):
+
+    def wanted(inside: tuple[int, ...] | None) -> bool:
+        return inside is not None and kept.issuperset(inside)
+
+    if not any(marked and wanted(inside) and part.strip() for parts, marked in lines for part, inside in parts):
         kept.update(number for number, tags in enumerate(held) if tags)
-    texts = [
-        (" ".join(unescape("".join(part for part, inside in parts if kept.issuperset(inside))).split()), marked)
-        for parts, marked in lines
-    ]
-    texts = [line for line in texts if line[0]]
-    if any(marked for _, marked in texts):
-        texts = [line for line in texts if line[1]]
-    return texts
+    blocks = []
+    for parts, marked in lines:
+        if text := _plain(part for part, inside in parts if wanted(inside)):
+            blocks.append((text, CERTAIN if marked else OPEN))
+        elif text := _plain(part for part, _ in parts):
+            blocks.append((text, LEFT))
+    return blocks, marks
+
+
+def _plain(parts: Iterable[str]) -> str:
+    return " ".join(unescape("".join(parts)).split())
+
+
+def page_lines(html: str | None) -> list[tuple[str, bool]]:
+    """Blocks of a page that structure alone takes for the text, and whether each stands in the marked article."""
+    blocks, _ = page_blocks(html)
+    top = max((kind for _, kind in blocks), default=LEFT)
+    return [(text, kind == CERTAIN) for text, kind in blocks if kind == top != LEFT]
 
 
 def shared_lines(left: list[str], right: list[str]) -> set[int]:
@@ -253,7 +283,10 @@ def _runs(values) -> Iterator[tuple[int, int]]:
 
 
 def _read_pages(pages: DataFrame) -> DataFrame:
-    """Adds to ``page_id, url, html`` the article text, or for pages with unmarked blocks their lines."""
+    """The blocks of ``page_id, url, html``: texts of those not left out, and digests, sizes and kinds of all of them.
+
+    Digests are of 96 bits each, one behind the other; ``size`` is how many characters the texts have.
+    """
 
     def work(batches):
         import pyarrow as pa
@@ -261,18 +294,43 @@ def _read_pages(pages: DataFrame) -> DataFrame:
         for batch in batches:
             for start, stop in _runs(batch.column(2)):
                 rows = batch.slice(start, stop - start)
-                texts, unmarked = [], []
+                texts, digests, sizes, kinds, marks, size = [], [], [], [], [], []
                 for value in rows.column(2):
-                    lines = page_lines(value.as_py())
-                    texts.append([text for text, _ in lines])
-                    unmarked.append(bool(lines) and not lines[0][1])
+                    blocks, marked = page_blocks(value.as_py())
+                    texts.append([text for text, kind in blocks if kind != LEFT])
+                    digests.append(b"".join(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=DIGEST).digest() for text, _ in blocks))
+                    sizes.append([len(text) for text, _ in blocks])
+                    kinds.append([kind for _, kind in blocks])
+                    marks.append(marked)
+                    size.append(sum(map(len, texts[-1])))
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), rows.column(1), pa.array(texts, pa.list_(pa.string())), pa.array(unmarked, pa.bool_())],
-                    names=["page_id", "url", "lines", "unmarked"],
+                    [
+                        rows.column(0), rows.column(1), pa.array(texts, pa.list_(pa.string())), pa.array(digests, pa.binary()),
+                        pa.array(sizes, pa.list_(pa.int32())), pa.array(kinds, pa.list_(pa.int8())), pa.array(marks, pa.int32()),
+                        pa.array(size, pa.int64()),
+                    ],
+                    names=["page_id", "url", "lines", "digests", "sizes", "kinds", "marks", "size"],
                 )
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return pages.mapInArrow(work, f"page_id {kind}, url string, lines array<string>, unmarked boolean")
+    return pages.mapInArrow(
+        work,
+        f"page_id {kind}, url string, lines array<string>, digests binary, sizes array<int>, kinds array<tinyint>, marks int, size bigint",
+    )
+
+
+def kept_blocks(kinds: list[int], sizes: list[int], marks: int, shared: set[int], other_size: int) -> list[bool]:
+    """For each block not left out whether it is text, given which ones a neighbour with ``other_size`` characters shares."""
+    places = [place for place, kind in enumerate(kinds) if kind != LEFT]
+    common = sum(sizes[place] for place in places if place in shared)
+    own_size = sum(sizes[place] for place in places)
+    if 100 * common >= NEAR_COPY * min(own_size, other_size):
+        shared = set()
+    differing = {place for place in places if kinds[place] == OPEN and place not in shared}
+    certain = {place for place in places if kinds[place] == CERTAIN}
+    story = marks > 1 and sum(sizes[place] for place in differing) > sum(sizes[place] for place in certain)
+    kept = differing if story or not certain else certain
+    return [place in kept for place in places]
 
 
 def nearest_pages(pages: DataFrame) -> DataFrame:
@@ -316,6 +374,19 @@ def nearest_pages(pages: DataFrame) -> DataFrame:
     return measured.select("row", other.alias("other"))
 
 
+def _path_neighbours(places: DataFrame) -> DataFrame:
+    """``row, other``: the neighbour of every row of ``row, page_id, host, path``, of another path wherever the host has one."""
+    first = F.min(F.struct("page_id", "row"))
+    paths = places.where("host IS NOT NULL").groupBy("host", "path").agg(first.alias("first")).select("host", "path", "first.*")
+    of_paths = nearest_pages(paths).where("other IS NOT NULL").withColumnRenamed("row", "first_row")
+    firsts = paths.select("host", "path", F.col("row").alias("first_row"))
+    found = places.join(firsts, ["host", "path"]).join(of_paths, "first_row", "left").select(*places.columns, "other")
+    found = stored(found, "page-neighbours")
+    # Hosts with one path.
+    alone = nearest_pages(found.where("other IS NULL").drop("other")).where("other IS NOT NULL")
+    return found.where("other IS NOT NULL").select("row", "other").unionByName(alone)
+
+
 def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """``page_id, url, text, n_chars`` of every page."""
     chosen = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
@@ -325,31 +396,34 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
         "row", "page_id", F.lower(F.nullif(rest, F.lit(""))).alias("host"),
         F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)([^?#]*)", 2).alias("path"),
     )
-    # Only pages with unmarked blocks have lines to lose, and only those they are compared with are sent to them.
-    pairs = stored(
-        read.where("unmarked").select("row").join(nearest_pages(places).where("other IS NOT NULL"), "row"), "page-pairs"
-    )
-    others = read.select(F.col("row").alias("other"), F.col("lines").alias("other_lines"))
-    blocks = block_count(pairs.count())
-    others = mark_possible(others, ("other",), key_filter(pairs, ("other",), blocks), blocks, "maybe").where("maybe").drop("maybe")
-    compared = read.where("unmarked").select("row", "lines").join(pairs, "row").join(others, "other")
+    # Blocks are compared by their digests, so that no texts are sent to neighbours.
+    own = read.select("row", "digests", "sizes", "kinds", "marks")
+    others = read.select(F.col("row").alias("other"), F.col("digests").alias("other_digests"), F.col("size").alias("other_size"))
+    compared = own.join(_path_neighbours(places), "row", "left").join(others, "other", "left")
 
     def work(batches):
         import pyarrow as pa
 
+        def parts(digests):
+            return [digests[at : at + DIGEST] for at in range(0, len(digests), DIGEST)]
+
         for batch in batches:
             kept = []
-            for lines, others in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                shared = shared_lines(lines, others)
-                # Two copies of one page share everything; then nothing tells template and text apart.
-                kept.append(lines if len(shared) == len(lines) else [line for place, line in enumerate(lines) if place not in shared])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.list_(pa.string()))], names=["row", "kept"])
-
-    differing = compared.select("row", "lines", "other_lines").mapInArrow(work, "row bigint, kept array<string>")
-    text = F.array_join("kept", "\n\n")
-    marked = read.where("NOT unmarked").select("page_id", "url", F.col("lines").alias("kept"))
-    unmarked = (
-        read.where("unmarked").join(differing, "row", "left")
-        .select("page_id", "url", F.coalesce("kept", "lines").alias("kept"))
+            for digests, sizes, kinds, marks, other_digests, other_size in zip(*(column.to_pylist() for column in batch.columns[1:])):
+                shared = shared_lines(parts(digests), parts(other_digests or b""))
+                kept.append(kept_blocks(kinds, sizes, marks, shared, other_size or 0))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.list_(pa.bool_()))], names=["row", "kept"])
+
+    judged = compared.select("row", "digests", "sizes", "kinds", "marks", "other_digests", "other_size").mapInArrow(
+        work, "row bigint, kept array<boolean>"
     )
-    return marked.unionByName(unmarked).select("page_id", "url", text.alias("text"), F.length(text).cast("bigint").alias("n_chars"))
+    # Only the texts of pages that lose a block are moved to what is known about them.
+    losing = stored(judged.where(F.exists("kept", lambda one: ~one)), "page-losses")
+    blocks = block_count(losing.count())
+    texts = read.select("row", "page_id", "url", "lines")
+    texts = mark_possible(texts, ("row",), key_filter(losing, ("row",), blocks), blocks, "maybe")
+    left = F.when(F.col("kept").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda line, place: F.get("kept", place)))
+    cut = texts.where("maybe").join(losing, "row", "left").select("page_id", "url", left.alias("lines"))
+    found = texts.where("NOT maybe").select("page_id", "url", "lines").unionByName(cut)
+    text = F.array_join("lines", "\n\n")
+    return found.select("page_id", "url", text.alias("text"), F.length(text).cast("bigint").alias("n_chars"))

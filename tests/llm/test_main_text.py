@@ -152,3 +152,33 @@ def test_pages(spark, sf_dir):
         blocks = (" ".join(unescape(re.sub("<[^>]*>", " ", part)).split()) for part in re.split("</?(?:p|h1)>", article))
         assert row.text == "\n\n".join(filter(None, blocks))
         assert row.n_chars == len(row.text)
+
+
+def test_every_page_is_compared_with_its_neighbour(spark):
+    story = [f"the story goes on in line {n} of it" for n in range(9)]
+    cards = "".join(f"<article><p>card {n}</p></article>" for n in range(2))
+    rows = [
+        (1, "http://a.org/a/1", plain(["Menu", "another story altogether", "Foot"])),
+        # Near copies under one path, which leave nothing to tell menu and story apart by.
+        (2, "http://a.org/a/2", plain(["Menu", *story, "Foot"])),
+        (3, "http://a.org/a/2?page=2", plain(["Menu", *story, "extra", "Foot"])),
+        # A story beside marked cards; its template is told by a page that marks its article.
+        (4, "http://b.org/1", f"<body><p>Menu</p>{cards}<p>{story[0]}</p><p>Foot</p></body>"),
+        (5, "http://b.org/2", "<body><p>Menu</p><article><p>marked</p></article><p>Foot</p></body>"),
+        # Near copies under paths of their own.
+        (6, "http://c.org/1", plain(["Menu", *story])),
+        (7, "http://c.org/1/print", plain(["Menu", *story, "printed"])),
+        (8, "http://d.org/1", plain(["Menu", "one"])),
+        (9, "http://d.org/1?x", plain(["Menu", "two"])),
+    ]
+    whole = "\n\n".join(story)
+    assert run(spark, rows)[0] == {
+        1: "another story altogether", 2: whole, 3: f"{whole}\n\nextra", 4: story[0], 5: "marked",
+        6: f"Menu\n\n{whole}", 7: f"Menu\n\n{whole}\n\nprinted", 8: "one", 9: "two",
+    }
+
+
+def test_blocks_left_out_are_compared_as_well():
+    assert main.page_blocks('<nav><p>Menu</p></nav><article><p>a<button>b</button></p></article><p>c</p>') == (
+        [("Menu", main.LEFT), ("a", main.CERTAIN), ("c", main.OPEN)], 1,
+    )
