@@ -3,6 +3,9 @@
 Words are taken in lower case and without the signs around them. A word is the sum of the embeddings that the hashes of the word, its first four and six and its last four characters
 select. Filters over one, two and three words run along the whole text, the largest response of each is pooled, and a
 dense layer gives a logit, which a scale and shift fitted on rows kept out of training turn into a score from 0 to 1.
+Every labelled row outside the held-out fold is learnt from or calibrates. What one task can hold is trained there; more
+rows are dealt into shards of that size, which train in tasks of their own, pass by pass, and after each pass a weight is
+moved by the mean over the shards that moved it. Scale, shift and thresholds then come from counts over all calibrating rows.
 For rejecting documents the threshold on the score is calibrated by language; the score itself sees the text only.
 
 A null or empty text has no word and gets the score of an empty text. Where no labelled row of both kinds exists, the
@@ -18,15 +21,21 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import chain
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.storage import hashed_sample, made_in_one_task
+from meterline.llm.exact_copies import block_count, key_filter, mark_possible
+from meterline.llm.storage import made_in_one_task, stored
 
-# Training reads at most so many labelled rows, in the order of a hash of their id, and of those whole texts of all
-# lengths until they hold so many bytes. Scoring has no such bound.
+# One task trains on so many rows with so many bytes of text; more are spread over shards of that size.
 TRAINING_ROWS = 8_000
 TRAINING_BYTES = 32_000_000
+# Passes over all rows where they are spread, and parts that the weights are merged in.
+SPREAD_PASSES = 2
+WEIGHT_PARTS = 256
+# Decimals of a score at which spread calibrating rows are counted, overall and by language.
+CUT_PLACES, LANGUAGE_PLACES = 5, 4
 # Of the training rows, one in this many calibrates the score and the thresholds instead.
 CALIBRATION_SHARE = 6
 
@@ -151,29 +160,75 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.scale * self.logits(texts, vocabulary) + self.shift, -40, 40)))
 
 
+@dataclass
+class _Weights:
+    """What training changes: values, and the sums of their squared gradients."""
+
+    embeddings: object
+    embedding_squares: object
+    rest: list
+    squares: list
+
+    @classmethod
+    def start(cls, random) -> _Weights:
+        import numpy as np
+
+        # Words that were never seen stay next to zero and say little; the bias keeps every filter open at first.
+        embeddings = random.normal(0, 0.01, (BUCKETS, DIMENSIONS)).astype(np.float32)
+        embeddings[0] = 0
+        filters = [random.normal(0, 0.3, (width, DIMENSIONS, FILTERS)).astype(np.float32) for width in WIDTHS]
+        filter_bias = [np.full(FILTERS, 0.1, dtype=np.float32) for _ in WIDTHS]
+        dense = [random.normal(0, 0.3, FILTERS).astype(np.float32) for _ in WIDTHS]
+        rest = [*filters, *filter_bias, *dense, np.zeros(1, dtype=np.float32)]
+        return cls(embeddings, np.full(BUCKETS, 1e-3, dtype=np.float32), rest, [np.full_like(one, 1e-3) for one in rest])
+
+    def model(self) -> Model:
+        widths = len(WIDTHS)
+        filters, filter_bias, dense = (self.rest[at : at + widths] for at in range(0, 3 * widths, widths))
+        return Model(self.embeddings, filters, filter_bias, dense, float(self.rest[-1][0]))
+
+    def table(self):
+        """All of it as rows of one length: an embedding and its sum each, then the rest filled up with zeros."""
+        import numpy as np
+
+        flat = np.concatenate([one.ravel() for one in (*self.rest, *self.squares)])
+        flat = np.pad(flat, (0, -len(flat) % (DIMENSIONS + 1))).reshape(-1, DIMENSIONS + 1)
+        return np.concatenate([np.column_stack([self.embeddings, self.embedding_squares]), flat])
+
+    def set(self, table) -> None:
+        """Takes over what :meth:`table` gave."""
+        self.embeddings[:], self.embedding_squares[:] = table[:BUCKETS, :-1], table[:BUCKETS, -1]
+        flat, at = table[BUCKETS:].ravel(), 0
+        for one in (*self.rest, *self.squares):
+            one[...] = flat[at : at + one.size].reshape(one.shape)
+            at += one.size
+
+
 def _train_network(texts, labels) -> Model:
-    """Adagrad on the logistic loss; positives weigh as much as negatives together do."""
+    """Trains until UPDATES steps are done."""
     import numpy as np
 
     random = np.random.default_rng(SEED)
-    # Words that were never seen stay next to zero and say little; the bias keeps every filter open at first.
-    embeddings = random.normal(0, 0.01, (BUCKETS, DIMENSIONS)).astype(np.float32)
-    embeddings[0] = 0
-    filters = [random.normal(0, 0.3, (width, DIMENSIONS, FILTERS)).astype(np.float32) for width in WIDTHS]
-    filter_bias = [np.full(FILTERS, 0.1, dtype=np.float32) for _ in WIDTHS]
-    dense = [random.normal(0, 0.3, FILTERS).astype(np.float32) for _ in WIDTHS]
-    bias = np.zeros(1, dtype=np.float32)
-    rest = [*filters, *filter_bias, *dense, bias]
-    squares = [np.full_like(one, 1e-3) for one in rest]
-    embedding_squares = np.full(BUCKETS, 1e-3, dtype=np.float32)
+    weights = _Weights.start(random)
+    batches = -(-len(texts) // BATCH_DOCUMENTS)
+    _learn(weights, random, texts, labels, labels.mean(), min(MOST_EPOCHS, -(-UPDATES // batches)))
+    return weights.model()
+
+
+def _learn(weights: _Weights, random, texts, labels, positive, epochs: int) -> None:
+    """Adagrad on the logistic loss; positives weigh as much as negatives together do, ``positive`` being their share."""
+    import numpy as np
 
+    embeddings, embedding_squares, rest, squares = weights.embeddings, weights.embedding_squares, weights.rest, weights.squares
+    widths = len(WIDTHS)
+    filters, filter_bias, dense = (rest[at : at + widths] for at in range(0, 3 * widths, widths))
+    bias = rest[-1]
     words, codes, starts, counts = word_codes(texts)
     hashes = np.fromiter(chain.from_iterable(map(word_hashes, words)), dtype=np.int32, count=4 * len(words)).reshape(-1, 4)
     del words
-    weight = np.where(labels == 1, 0.5 / max(labels.mean(), 1e-6), 0.5 / max(1 - labels.mean(), 1e-6))
+    weight = np.where(labels == 1, 0.5 / max(positive, 1e-6), 0.5 / max(1 - positive, 1e-6))
     order = np.arange(len(texts))
-    batches = -(-len(order) // BATCH_DOCUMENTS)
-    for _ in range(min(MOST_EPOCHS, -(-UPDATES // batches))):
+    for _ in range(epochs):
         random.shuffle(order)
         for at in range(0, len(order), BATCH_DOCUMENTS):
             chosen = order[at : at + BATCH_DOCUMENTS]
@@ -215,7 +270,6 @@ def _train_network(texts, labels) -> Model:
             np.add.at(embedding_squares, touched_rows, (steps_down * steps_down).mean(axis=1))
             np.add.at(embeddings, touched_rows, -STEP * steps_down / np.sqrt(embedding_squares[touched_rows])[:, None])
             embeddings[0] = 0
-    return Model(embeddings, filters, filter_bias, dense, float(bias[0]))
 
 
 def _best_threshold(scores, labels) -> float:
@@ -223,9 +277,15 @@ def _best_threshold(scores, labels) -> float:
     import numpy as np
 
     order = np.argsort(scores, kind="stable")
-    scores, labels = scores[order], labels[order]
+    return _best_cut(scores[order], labels[order], 1 - labels[order])
+
+
+def _best_cut(scores, positives, negatives) -> float:
+    """The same for rising scores and how many rows of each kind have them."""
+    import numpy as np
+
     # Right if everything from a place on is called positive.
-    right = labels[::-1].cumsum()[::-1] + np.concatenate([[0], (1 - labels).cumsum()[:-1]])
+    right = positives[::-1].cumsum()[::-1] + np.concatenate([[0], negatives.cumsum()[:-1]])
     below = np.concatenate([[0.0], scores[:-1]])
     best = np.flatnonzero(right >= right.max())
     place = best[(scores - below)[best].argmax()]
@@ -294,19 +354,147 @@ def _fit_batches(batches: Iterator) -> Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
-    """Trains, in one task, on labelled documents outside the held-out fold: TRAINING_ROWS of them, by a hash of their id."""
+    """Trains on all labelled documents outside the held-out fold: in one task if they fit it, else in shards."""
     usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    usable = usable.select(F.col("doc_id").alias("labelled_id"), F.col("toxic").cast("int").alias("label"))
-    wanted = hashed_sample(usable, F.xxhash64("labelled_id", "label"), TRAINING_ROWS)
+    kind = docs.schema[doc_id].dataType
+    usable = usable.select(F.col("doc_id").cast(kind).alias("id"), F.col("toxic").cast("int").alias("label")).distinct()
     language = F.col(lang) if lang in docs.columns else F.lit(None).cast("string")
     texts = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), language.alias("lang"))
+    # Only labelled texts are moved.
+    blocks = block_count(usable.count())
+    texts = mark_possible(texts, ("id",), key_filter(usable, ("id",), blocks), blocks, "maybe").where("maybe").drop("maybe")
+    sizes = texts.select("id", F.octet_length("text").cast("bigint").alias("bytes")).join(usable, "id").groupBy("id", "label").agg(F.max("bytes").alias("bytes"))
+    total = sizes.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    shards = max(1, -(-total.rows // TRAINING_ROWS), -(-total.bytes // TRAINING_BYTES))
     rows = (
-        texts.join(F.broadcast(wanted), F.col("id") == F.col("labelled_id"))
+        texts.repartition(shards, "id").join(usable.repartition(shards, "id").hint("merge"), "id")
         .groupBy("id", "label")
         .agg(F.min(F.struct("text", "lang")).alias("row"))
         .select("row.text", "row.lang", "label", "id")
     )
-    return made_in_one_task(rows, [F.xxhash64("id"), F.col("id"), F.col("label")], _fit_batches)
+    order = [F.xxhash64("id"), F.col("id"), F.col("label")]
+    if shards == 1:
+        return made_in_one_task(rows, order, _fit_batches)
+    rows = rows.withColumn("checks", F.pmod(F.xxhash64("id"), F.lit(CALIBRATION_SHARE)) == 0)
+    rows = rows.sortWithinPartitions(*order).persist(StorageLevel.DISK_ONLY)
+    try:
+        return _fit_spread(rows)
+    finally:
+        rows.unpersist()
+
+
+def _fit_spread(rows: DataFrame) -> Model:
+    """Trains on ``text, lang, label, id, checks``, whose partitions are the shards; ``checks`` tells which rows calibrate."""
+    import numpy as np
+
+    found = rows.groupBy("checks").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("label") == 1).alias("positives")).collect()
+    total, positives = sum(row.rows for row in found), sum(row.positives for row in found)
+    if positives in (0, total):
+        return Model(constant=positives / total if total else 0.0)
+    apart = len(found) == 2 and all(0 < row.positives < row.rows for row in found)
+    learnt, checked = (rows.where("NOT checks"), rows.where("checks")) if apart else (rows, rows)
+    rows_learnt, positives_learnt = next((row.rows, row.positives) for row in found if not row.checks) if apart else (total, positives)
+    weights = _Weights.start(np.random.default_rng(SEED))
+    share = np.float32(positives_learnt / (rows_learnt + rows_learnt // ROWS_PER_EMPTY))
+    for number in range(SPREAD_PASSES):
+        table = weights.table()
+        moves = learnt.select("text", "label").mapInArrow(_shard_pass(table, share, number), "part int, move binary")
+        # Each part of the weights is merged by a task; the driver gets one set of them.
+        for row in moves.groupBy("part").applyInArrow(_merged_moves, "part int, move binary").collect():
+            part = np.array_split(table, WEIGHT_PARTS)[row.part]
+            part += np.frombuffer(row.move, dtype=np.float32).reshape(part.shape)
+        weights.set(table)
+    return _calibrated(weights.model(), checked)
+
+
+def _shard_pass(table, share, number: int):
+    """One pass over a shard from the same weights; gives the moves of the weights by part."""
+
+    def work(batches):
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        texts, labels = [], []
+        for batch in batches:
+            texts.append(batch.column(0))
+            labels += batch.column(1).to_pylist()
+        if not labels:
+            return
+        empty = 1 + len(labels) // ROWS_PER_EMPTY
+        texts = pa.concat_arrays([*texts, pa.array([""] * empty, texts[0].type)])
+        random = np.random.default_rng([SEED, number, TaskContext.get().partitionId()])
+        weights = _Weights.start(random)
+        weights.set(table)
+        _learn(weights, random, texts, np.array([*(label == 1 for label in labels), *[0] * empty], dtype=np.float32), share, 1)
+        moves = np.array_split(weights.table() - table, WEIGHT_PARTS)
+        parts = [part for part, move in enumerate(moves) if move.any()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(parts, pa.int32()), pa.array([moves[part].tobytes() for part in parts], pa.binary())], names=["part", "move"]
+        )
+
+    return work
+
+
+def _merged_moves(moves):
+    """The mean move of each row of weights over the shards that moved it, so that a word of few shards counts in full."""
+    import numpy as np
+    import pyarrow as pa
+
+    total = count = 0
+    # In one order, as sums of floats depend on it.
+    for move in sorted(moves.column("move").to_pylist()):
+        rows = np.frombuffer(move, dtype=np.float32).reshape(-1, DIMENSIONS + 1)
+        total, count = total + rows.astype(np.float64), count + rows.any(axis=1)
+    mean = (total / np.maximum(count, 1)[:, None]).astype(np.float32)
+    return pa.table({"part": pa.array([moves.column("part")[0].as_py()], pa.int32()), "move": pa.array([mean.tobytes()], pa.binary())})
+
+
+def _calibrated(model: Model, checked: DataFrame) -> Model:
+    """Sets scale, shift and thresholds from all rows of ``checked``, counted by score."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    logits = stored(checked.select("lang", (F.col("label") == 1).alias("toxic"), _logit(model)("text").alias("logit")), "toxicity-logits")
+
+    def cut_points(rows: DataFrame, score: Column, places: int, *keys: str) -> DataFrame:
+        counted = rows.groupBy(*keys, F.round(score, places).alias("score"))
+        return counted.agg(F.count_if("toxic").alias("positives"), F.count_if(~F.col("toxic")).alias("negatives"))
+
+    def best(points) -> float:
+        points = points.sort_by("score")
+        return _best_cut(*(points.column(name).to_numpy() for name in ("score", "positives", "negatives")))
+
+    # Few digits, which do not depend on the order of adding up.
+    spread = float(f"{logits.agg(F.avg(F.abs('logit'))).first()[0]:.6g}") or 1.0
+    cut = np.clip(best(cut_points(logits, 1 / (1 + F.exp(-F.col("logit") / F.lit(spread))), CUT_PLACES).toArrow()), 1e-4, 1 - 1e-4)
+    model.scale = 4 / spread
+    model.shift = -4 * float(np.log(cut / (1 - cut)))
+    exponent = F.greatest(F.lit(-40.0), F.least(F.lit(40.0), F.lit(model.scale) * F.col("logit") + F.lit(model.shift)))
+    many = logits.groupBy("lang").agg(F.count_if("toxic").alias("positives"), F.count(F.lit(1)).alias("rows"))
+    many = many.where((F.col("lang") != "") & (F.col("positives") >= LEAST_POSITIVES) & (F.col("positives") < F.col("rows"))).select("lang")
+    points = cut_points(logits.join(many, "lang"), 1 / (1 + F.exp(-exponent)), LANGUAGE_PLACES, "lang").toArrow()
+    for language in sorted(points.column("lang").unique().to_pylist()):
+        own = points.filter(pc.equal(points.column("lang"), language))
+        model.thresholds[language] = float(np.clip(best(own), 0.2, 0.8))
+    return model
+
+
+def _logit(model: Model):
+    """Column function: the logit of a text."""
+    vocabulary: list[Vocabulary] = []
+
+    @F.arrow_udf("double")
+    def logit(texts):
+        import numpy as np
+        import pyarrow as pa
+
+        if not vocabulary:
+            vocabulary.append(Vocabulary())
+        parts = [model.logits(texts.slice(start, stop - start), vocabulary[0]) for start, stop in _runs(texts)]
+        return pa.array(np.concatenate([np.zeros(0), *parts]))
+
+    return logit
 
 
 def scorer(model: Model):

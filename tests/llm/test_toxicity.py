@@ -98,3 +98,24 @@ def test_training_reads_long_texts_and_stops_at_its_bound(monkeypatch):
     monkeypatch.setattr(toxicity, "TRAINING_BYTES", 1000)
     toxicity._fit_batches(iter([batch, batch]))
     assert 1 <= len(read[1][0]) < 20
+
+
+def test_all_labelled_rows_are_learnt_from(spark, monkeypatch):
+    # Each of many words marks a few rows only, so a model that saw a part of the rows misses most of the others.
+    marks = [f"{a}{b}{c}xq" for a in "bdfg" for b in "aeio" for c in "klmn"]
+    rows = [(n, text + (f" {marks[n % 64]} {marks[n % 64]}" if label else ""), lang, label)
+            for n, (text, label, lang) in enumerate(sentences(3, 4000, ["mild"]))]
+    docs = spark.createDataFrame([row[:3] for row in rows], "doc_id bigint, text string, lang string").repartition(4)
+    labels = spark.createDataFrame([(n, label) for n, _, _, label in rows], "doc_id bigint, toxic int")
+    whole = toxicity.train(docs, labels)
+    monkeypatch.setattr(toxicity, "TRAINING_ROWS", 800)
+    monkeypatch.setattr(toxicity, "SPREAD_PASSES", 8)
+    spread = toxicity.train(docs, labels)
+    assert spread.constant is None and set(spread.thresholds) == set(whole.thresholds) == {"en", "de"}
+    held = [(text, label) for n, text, _, label in rows if zlib.crc32(str(n).encode()) % 5 == 0]
+    found = scores(spread, [text for text, _ in held])
+    assert sum((score >= 0.5) == bool(label) for score, (_, label) in zip(found, held)) >= 0.97 * len(held)
+    read = []
+    monkeypatch.setattr(toxicity, "_fit_spread", lambda rows: read.append(rows.select("id", "label").collect()))
+    toxicity.train(docs, labels)
+    assert sorted(read[0]) == [(n, label) for n, _, _, label in rows if zlib.crc32(str(n).encode()) % 5]
