@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,26 @@ SILVER_PARTITIONS = ("pickup_year", "pickup_month")
 NULL_MARK = "\\N"
 REJECT_SALTS = 8
 GOLD_WRITERS = 16
+# Files of different folders that a task writes side by side. Rows are clustered by month or reason, so few are open.
+OPEN_FILES = 32
+_OPEN_FILES_SETTING = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextmanager
+def without_sort(spark: SparkSession) -> Iterator[None]:
+    """Tables written within by folders are not sorted by folder first, which held or spilled all rows of a task.
+
+    A task whose rows go to more than OPEN_FILES folders sorts those that are left.
+    """
+    before = spark.conf.get(_OPEN_FILES_SETTING, None)
+    spark.conf.set(_OPEN_FILES_SETTING, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_OPEN_FILES_SETTING)
+        else:
+            spark.conf.set(_OPEN_FILES_SETTING, before)
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), dynamic: bool = False) -> None:
@@ -20,7 +41,8 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), dyna
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    with without_sort(df.sparkSession):
+        writer.parquet(path)
 
 
 def write_bronze(df: DataFrame, path: str) -> None:
