@@ -69,7 +69,8 @@ def landed(spark: SparkSession, sf_dir: str) -> Layout:
 
 def land(trips: DataFrame, root: str, mode: str = "overwrite") -> None:
     writer = trips.hint("rebalance", "year", "month").write.mode(mode).partitionBy("year", "month")
-    writer.parquet(f"{root}/raw/yellow_tripdata")
+    with sinks.without_sort(trips.sparkSession):
+        writer.parquet(f"{root}/raw/yellow_tripdata")
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
