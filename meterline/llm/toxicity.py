@@ -32,7 +32,7 @@ from meterline.llm.storage import made_in_one_task, stored
 TRAINING_ROWS = 8_000
 TRAINING_BYTES = 32_000_000
 # Passes over all rows where they are spread, and parts that the weights are merged in.
-SPREAD_PASSES = 2
+SPREAD_PASSES = 4
 WEIGHT_PARTS = 256
 # Decimals of a score at which spread calibrating rows are counted, overall and by language.
 CUT_PLACES, LANGUAGE_PLACES = 5, 4
