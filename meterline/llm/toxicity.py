@@ -4,7 +4,7 @@ Words are taken in lower case and without the signs around them. A word is the s
 select. Filters over one, two and three words run along the whole text, the largest response of each is pooled, and a
 dense layer gives a logit, which a scale and shift fitted on rows kept out of training turn into a score from 0 to 1.
 Every labelled row outside the held-out fold is learnt from or calibrates. What one task can hold is trained there; more
-rows are dealt into shards of that size, which train in tasks of their own, pass by pass, and after each pass a weight is
+rows are dealt into shards of that size, which train apart, pass by pass, and after each pass a weight is
 moved by the mean over the shards that moved it. Scale, shift and thresholds then come from counts over all calibrating rows.
 For rejecting documents the threshold on the score is calibrated by language; the score itself sees the text only.
 
@@ -19,7 +19,6 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -34,6 +33,10 @@ TRAINING_BYTES = 32_000_000
 # Passes over all rows where they are spread, and parts that the weights are merged in.
 SPREAD_PASSES = 4
 WEIGHT_PARTS = 256
+# More shards than LANES share lanes, up to LANE_SHARDS each: a task trains those of a lane in turn and adds their moves
+# up, which bounds what is shuffled. There are more partitions than lanes, so that few lanes meet in one.
+LANES, LANE_SHARDS = 16, 4
+PARTITIONS_PER_LANE = 4
 # Decimals of a score at which spread calibrating rows are counted, overall and by language.
 CUT_PLACES, LANGUAGE_PLACES = 5, 4
 # Of the training rows, one in this many calibrates the score and the thresholds instead.
@@ -57,7 +60,10 @@ DEFAULT_THRESHOLD = 0.5
 
 BATCH_BYTES = 1_000_000
 KNOWN_WORDS = 200_000
+# Words of more bytes are hashed one at a time.
+LONG_WORD = 64
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
+_ASCII_SIGNS = "".join(chr(code) for code in range(128) if not chr(code).isalnum())
 PAD = "\0"
 
 
@@ -70,29 +76,81 @@ def word_hashes(word: str) -> tuple[int, int, int, int]:
     return tuple(1 + zlib.crc32(part.encode("utf-8")) % (BUCKETS - 1) for part in parts)
 
 
+def _crc_table():
+    """What each byte does to a state, which is a CRC-32 before its last inversion."""
+    import numpy as np
+
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = (table >> np.uint32(1)) ^ np.where(table & 1, np.uint32(0xEDB88320), np.uint32(0))
+    return table
+
+
+def _crc32s(strings, before: bytes = b"", after: bytes = b""):
+    """CRC-32 of ``before``, each string of an Arrow array and ``after``: byte by byte for all strings at once."""
+    import numpy as np
+    import pyarrow as pa
+
+    strings = strings.cast(pa.large_binary())
+    _, ends_buffer, data_buffer = strings.buffers()
+    bounds = np.frombuffer(ends_buffer, dtype=np.int64, count=strings.offset + len(strings) + 1)[strings.offset :]
+    data = np.frombuffer(data_buffer or b"", dtype=np.uint8)
+    sizes = np.diff(bounds)
+    table = _crc_table()
+    order = np.argsort(-sizes, kind="stable")
+    long = int((sizes > LONG_WORD).sum())
+    out = np.empty(len(strings), dtype=np.uint32)
+    for row in order[:long]:
+        out[row] = zlib.crc32(before + data[bounds[row] : bounds[row + 1]].tobytes() + after)
+    order = order[long:]
+    starts, state = bounds[order], np.full(len(order), zlib.crc32(before) ^ 0xFFFFFFFF, dtype=np.uint32)
+    # The longest come first, so those that have a byte at a place are the first ones.
+    longer = len(order) - np.searchsorted(sizes[order][::-1], np.arange(LONG_WORD), side="right")
+    for place, rows in enumerate(longer.tolist()):
+        if not rows:
+            break
+        state[:rows] = table[(state[:rows] ^ data[starts[:rows] + place]) & 0xFF] ^ (state[:rows] >> np.uint32(8))
+    for byte in after:
+        state = table[(state ^ np.uint32(byte)) & 0xFF] ^ (state >> np.uint32(8))
+    out[order] = ~state
+    return out
+
+
 class Vocabulary:
-    """Numbers words and keeps their hashes."""
+    """Hashes of words; it remembers words of other than ASCII letters without the signs around them."""
 
     def __init__(self):
-        self.numbers: dict[str, int] = {}
-        self.blocks: list = []
+        self.bare: dict[str, str] = {}
 
-    def rows(self, words: list[str]):
-        """The hashes of each word, an array of four columns."""
+    def rows(self, words):
+        """What :func:`word_hashes` gives for each word of an Arrow array, an array of four columns."""
         import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        words = words.cast(pa.large_string())
+        bare = pc.ascii_trim(pc.ascii_lower(words), characters=_ASCII_SIGNS)
+        ascii_only = pc.string_is_ascii(words)
+        others = words.filter(pc.invert(ascii_only)).to_pylist()
+        if others:
+            bare = pc.replace_with_mask(bare, pc.invert(ascii_only), pa.array(self._bare(others), pa.large_string()))
+        hashes = [
+            _crc32s(bare),
+            _crc32s(pc.utf8_slice_codeunits(bare, 0, 4), b"^"),
+            _crc32s(pc.utf8_slice_codeunits(bare, 0, 6), b"^^"),
+            _crc32s(pc.utf8_slice_codeunits(bare, -4), after=b"$"),
+        ]
+        out = (1 + np.stack(hashes, axis=1) % np.uint32(BUCKETS - 1)).astype(np.int32)
+        out[pc.equal(words, PAD).to_numpy(zero_copy_only=False)] = 0
+        return out
 
-        missing = [word for word in words if word not in self.numbers]
-        if len(self.numbers) + len(missing) > KNOWN_WORDS:
-            self.numbers.clear()
-            self.blocks = []
-            missing = words
-        if missing:
-            self.blocks.append(np.array([word_hashes(word) for word in missing], dtype=np.int32))
-            first = len(self.numbers)
-            self.numbers.update(zip(missing, range(first, first + len(missing))))
-        if len(self.blocks) > 1:
-            self.blocks = [np.concatenate(self.blocks)]
-        return self.blocks[0][np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words))]
+    def _bare(self, words: list[str]) -> list[str]:
+        if len(self.bare) + len(words) > KNOWN_WORDS:
+            self.bare.clear()
+        for word in words:
+            if word not in self.bare:
+                self.bare[word] = _EDGES.sub("", word.lower())
+        return [self.bare[word] for word in words]
 
 
 def word_codes(texts):
@@ -107,7 +165,7 @@ def word_codes(texts):
 
     lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
     coded = lists.flatten().dictionary_encode()
-    words = [PAD, *coded.dictionary.to_pylist()]
+    words = pa.concat_arrays([pa.array([PAD], coded.dictionary.type), coded.dictionary])
     counts = pc.list_value_length(lists).to_numpy()
     pads = WIDTHS[-1] - 1
     starts = np.cumsum(counts + pads) - (counts + pads)
@@ -224,7 +282,7 @@ def _learn(weights: _Weights, random, texts, labels, positive, epochs: int) -> N
     filters, filter_bias, dense = (rest[at : at + widths] for at in range(0, 3 * widths, widths))
     bias = rest[-1]
     words, codes, starts, counts = word_codes(texts)
-    hashes = np.fromiter(chain.from_iterable(map(word_hashes, words)), dtype=np.int32, count=4 * len(words)).reshape(-1, 4)
+    hashes = Vocabulary().rows(words)
     del words
     weight = np.where(labels == 1, 0.5 / max(positive, 1e-6), 0.5 / max(1 - positive, 1e-6))
     order = np.arange(len(texts))
@@ -366,17 +424,23 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     sizes = texts.select("id", F.octet_length("text").cast("bigint").alias("bytes")).join(usable, "id").groupBy("id", "label").agg(F.max("bytes").alias("bytes"))
     total = sizes.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
     shards = max(1, -(-total.rows // TRAINING_ROWS), -(-total.bytes // TRAINING_BYTES))
+    # Texts and labels meet in one shuffle by lane. A join would deal both anew, by id and into another number of partitions.
+    lanes = max(min(shards, LANES), -(-shards // LANE_SHARDS))
+    shard = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(shards))
+    both = texts.where(F.col("id").isNotNull()).select("id", F.struct("text", "lang").alias("row")).unionByName(usable, allowMissingColumns=True)
     rows = (
-        texts.repartition(shards, "id").join(usable.repartition(shards, "id").hint("merge"), "id")
-        .groupBy("id", "label")
-        .agg(F.min(F.struct("text", "lang")).alias("row"))
-        .select("row.text", "row.lang", "label", "id")
+        both.withColumn("lane", F.pmod(shard, F.lit(lanes)))
+        .repartition(PARTITIONS_PER_LANE * lanes, "lane")
+        .groupBy("lane", "id")
+        .agg(F.min("row").alias("row"), F.collect_set("label").alias("labels"))
+        .where(F.col("row").isNotNull())
+        .select("row.text", "row.lang", F.explode("labels").alias("label"), "id", "lane")
     )
     order = [F.xxhash64("id"), F.col("id"), F.col("label")]
     if shards == 1:
-        return made_in_one_task(rows, order, _fit_batches)
-    rows = rows.withColumn("checks", F.pmod(F.xxhash64("id"), F.lit(CALIBRATION_SHARE)) == 0)
-    rows = rows.sortWithinPartitions(*order).persist(StorageLevel.DISK_ONLY)
+        return made_in_one_task(rows.drop("lane"), order, _fit_batches)
+    rows = rows.withColumn("shard", shard).withColumn("checks", F.pmod(F.xxhash64("id"), F.lit(CALIBRATION_SHARE)) == 0)
+    rows = rows.sortWithinPartitions("lane", "shard", *order).persist(StorageLevel.DISK_ONLY)
     try:
         return _fit_spread(rows)
     finally:
@@ -384,7 +448,10 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
 
 def _fit_spread(rows: DataFrame) -> Model:
-    """Trains on ``text, lang, label, id, checks``, whose partitions are the shards; ``checks`` tells which rows calibrate."""
+    """Trains on ``text, lang, label, id, lane, shard, checks``; ``checks`` tells which rows calibrate.
+
+    A lane is in one partition, sorted by shard.
+    """
     import numpy as np
 
     found = rows.groupBy("checks").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("label") == 1).alias("positives")).collect()
@@ -398,7 +465,7 @@ def _fit_spread(rows: DataFrame) -> Model:
     share = np.float32(positives_learnt / (rows_learnt + rows_learnt // ROWS_PER_EMPTY))
     for number in range(SPREAD_PASSES):
         table = weights.table()
-        moves = learnt.select("text", "label").mapInArrow(_shard_pass(table, share, number), "part int, move binary")
+        moves = learnt.select("text", "label", "lane", "shard").mapInArrow(_lane_pass(table, share, number), "part int, move binary")
         # Each part of the weights is merged by a task; the driver gets one set of them.
         for row in moves.groupBy("part").applyInArrow(_merged_moves, "part int, move binary").collect():
             part = np.array_split(table, WEIGHT_PARTS)[row.part]
@@ -407,32 +474,64 @@ def _fit_spread(rows: DataFrame) -> Model:
     return _calibrated(weights.model(), checked)
 
 
-def _shard_pass(table, share, number: int):
-    """One pass over a shard from the same weights; gives the moves of the weights by part."""
+def _shards(batches):
+    """``lane, shard, texts, labels`` of one shard after the other."""
+    import numpy as np
 
-    def work(batches):
+    at, texts, labels = None, [], []
+    for batch in batches:
+        lanes, shards = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+        cuts = np.flatnonzero((lanes[1:] != lanes[:-1]) | (shards[1:] != shards[:-1])) + 1
+        edges = [0, *cuts.tolist(), len(lanes)] if len(lanes) else []
+        for start, stop in zip(edges, edges[1:]):
+            if at not in (None, (lanes[start], shards[start])):
+                yield *at, texts, labels
+                texts, labels = [], []
+            at = lanes[start], shards[start]
+            texts.append(batch.column(0).slice(start, stop - start))
+            labels += batch.column(1).slice(start, stop - start).to_pylist()
+    if at is not None:
+        yield *at, texts, labels
+
+
+def _lane_pass(table, share, number: int):
+    """One pass over the shards of a lane, each from the same weights; gives the summed moves of the weights by part.
+
+    The last column counts the shards that moved a row of weights.
+    """
+
+    def given(total):
         import numpy as np
         import pyarrow as pa
-        from pyspark import TaskContext
-
-        texts, labels = [], []
-        for batch in batches:
-            texts.append(batch.column(0))
-            labels += batch.column(1).to_pylist()
-        if not labels:
-            return
-        empty = 1 + len(labels) // ROWS_PER_EMPTY
-        texts = pa.concat_arrays([*texts, pa.array([""] * empty, texts[0].type)])
-        random = np.random.default_rng([SEED, number, TaskContext.get().partitionId()])
-        weights = _Weights.start(random)
-        weights.set(table)
-        _learn(weights, random, texts, np.array([*(label == 1 for label in labels), *[0] * empty], dtype=np.float32), share, 1)
-        moves = np.array_split(weights.table() - table, WEIGHT_PARTS)
+
+        moves = np.array_split(total, WEIGHT_PARTS)
         parts = [part for part, move in enumerate(moves) if move.any()]
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [pa.array(parts, pa.int32()), pa.array([moves[part].tobytes() for part in parts], pa.binary())], names=["part", "move"]
         )
 
+    def work(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        at = total = None
+        for lane, shard, texts, labels in _shards(batches):
+            if at not in (None, lane):
+                yield given(total)
+                total = None
+            at = lane
+            empty = 1 + len(labels) // ROWS_PER_EMPTY
+            texts = pa.concat_arrays([*texts, pa.array([""] * empty, texts[0].type)])
+            random = np.random.default_rng([SEED, number, int(shard)])
+            weights = _Weights.start(random)
+            weights.set(table)
+            _learn(weights, random, texts, np.array([*(label == 1 for label in labels), *[0] * empty], dtype=np.float32), share, 1)
+            move = weights.table() - table
+            move = np.column_stack([move, move.any(axis=1)])
+            total = move if total is None else total + move
+        if total is not None:
+            yield given(total)
+
     return work
 
 
@@ -444,8 +543,8 @@ def _merged_moves(moves):
     total = count = 0
     # In one order, as sums of floats depend on it.
     for move in sorted(moves.column("move").to_pylist()):
-        rows = np.frombuffer(move, dtype=np.float32).reshape(-1, DIMENSIONS + 1)
-        total, count = total + rows.astype(np.float64), count + rows.any(axis=1)
+        rows = np.frombuffer(move, dtype=np.float32).reshape(-1, DIMENSIONS + 2)
+        total, count = total + rows[:, :-1].astype(np.float64), count + rows[:, -1]
     mean = (total / np.maximum(count, 1)[:, None]).astype(np.float32)
     return pa.table({"part": pa.array([moves.column("part")[0].as_py()], pa.int32()), "move": pa.array([mean.tobytes()], pa.binary())})
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 import random
 import zlib
 
+import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from meterline.llm import toxicity
 
@@ -119,3 +121,41 @@ def test_all_labelled_rows_are_learnt_from(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "_fit_spread", lambda rows: read.append(rows.select("id", "label").collect()))
     toxicity.train(docs, labels)
     assert sorted(read[0]) == [(n, label) for n, _, _, label in rows if zlib.crc32(str(n).encode()) % 5]
+
+
+def test_spread_rows_are_in_shards_of_the_stated_size(spark, monkeypatch):
+    rows = [(n, f"text {n}", n % 2) for n in range(1000)]
+    docs = spark.createDataFrame([row[:2] for row in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(n, label) for n, _, label in rows], "doc_id bigint, toxic int")
+    read = []
+    monkeypatch.setattr(toxicity, "TRAINING_ROWS", 20)
+    monkeypatch.setattr(toxicity, "_fit_spread", lambda rows: read.extend(rows.withColumn("at", F.spark_partition_id()).collect()))
+    toxicity.train(docs, labels)
+    shards = -(-len(read) // 20)
+    assert len({row.shard for row in read}) == shards > len({row.lane for row in read}) == toxicity.LANES
+    assert len({(row.lane, row.at) for row in read}) == len({row.lane for row in read})
+
+
+def test_a_lane_gives_one_move_that_counts_its_shards():
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(["calm day", "vile day", "calm night", "vile night", "calm"]), pa.array([0, 1, 0, 1, 0]),
+         pa.array([0, 0, 0, 0, 1]), pa.array([0, 0, 4, 4, 1])], names=["text", "label", "lane", "shard"],
+    )
+    table = toxicity._Weights.start(np.random.default_rng(1)).table()
+    parts = np.array_split(table, toxicity.WEIGHT_PARTS)
+    together = list(toxicity._lane_pass(table, np.float32(0.4), 0)(iter([batch.slice(0, 1), batch.slice(1)])))
+    assert len(together) == 2
+    apart = [list(toxicity._lane_pass(table, np.float32(0.4), 0)(iter([batch.slice(at, 2)])))[0] for at in (0, 2)]
+    for part in (0, toxicity.WEIGHT_PARTS - 1):
+        moves = [move for one in apart for number, move in zip(*one.to_pydict().values()) if number == part]
+        whole = [move for number, move in zip(*together[0].to_pydict().values()) if number == part]
+        one, two = (toxicity._merged_moves(pa.table({"part": [part] * len(some), "move": some})).column("move")[0].as_py() for some in (moves, whole))
+        assert np.frombuffer(one, np.float32) == pytest.approx(np.frombuffer(two, np.float32), abs=1e-6)
+        assert len(one) == parts[part].nbytes
+
+
+def test_words_are_hashed_together_as_they_are_alone():
+    words = ["\0", "", "a", "--a--", "__x_", "Ä", "ÄÖÜß!", "İstanbul", "ΣΑΣ", "x" * 64, "y" * 65, "Z" * 9999, "日本語テキスト", "«mot»", "\0a\0", "...", "é" * 70, "²³"]
+    found = toxicity.Vocabulary().rows(pa.array(words)).tolist()
+    assert found == [list(toxicity.word_hashes(word)) for word in words]
+    assert toxicity.Vocabulary().rows(pa.array([], pa.string())).shape == (0, 4)
