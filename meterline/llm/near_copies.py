@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from meterline.llm.exact_copies import block_count, key_filter, mark_possible
 from meterline.llm.grouping import components, join_groups
-from meterline.llm.storage import stored
+from meterline.llm.storage import small_batches, stored
 
 GROUPS = 128
 LEAF_POINTS = 64
@@ -601,7 +601,8 @@ def near_copies(
     group_tokens: int = GROUP_TOKENS,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every document, and ``set_key``, the digest of its set."""
-    rows = stored(profiles(docs, width, percent, doc_id, text).withColumn("node", F.monotonically_increasing_id()), "profiles")
+    with small_batches(docs.sparkSession):
+        rows = stored(profiles(docs, width, percent, doc_id, text).withColumn("node", F.monotonically_increasing_id()), "profiles")
     # Rows of the same set agree in everything but the id and the text; one of them stands for the set.
     sets = stored(
         rows.where("n > 0")
@@ -620,7 +621,8 @@ def near_copies(
     wanted = stored(
         sets.select("node", "n", "text.text_1", "text.text_2").join(groups, "node"), "candidate-sets"
     )
-    found = stored(_sets_of(docs, wanted, width, text), "candidate-tokens")
+    with small_batches(docs.sparkSession):
+        found = stored(_sets_of(docs, wanted, width, text), "candidate-tokens")
     tokens = found.groupBy("group").agg(F.sum("n").alias("tokens"))
     large = stored(
         tokens.where(F.col("tokens") > group_tokens).select("group", F.ceil(F.col("tokens") * 2 / group_tokens).alias("parts")),

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.sources.workspace import fresh_folder
@@ -18,6 +19,28 @@ def stored(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFram
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+# Rows of whole texts that go to a Python worker at a time, where what is made of them is stored at once.
+BATCH_ROWS = 1_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What is stored within gets its texts in batches of BATCH_ROWS at most.
+
+    Executor and Python worker both hold a whole batch, and with ten thousand texts it is much of a small executor.
+    """
+    before = spark.conf.get(_BATCH_SETTING)
+    if 0 < int(before) <= BATCH_ROWS:
+        yield
+        return
+    spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_SETTING, before)
+
+
 def hashed_sample(rows: DataFrame, place: Column, most: int) -> DataFrame:
     """Rows with the smallest ``place``, a 64-bit hash, one for each value of it and at most ``most`` of them.
 

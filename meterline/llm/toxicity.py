@@ -59,7 +59,6 @@ LEAST_POSITIVES = 15
 DEFAULT_THRESHOLD = 0.5
 
 BATCH_BYTES = 1_000_000
-KNOWN_WORDS = 200_000
 # Words of more bytes are hashed one at a time.
 LONG_WORD = 64
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
@@ -117,10 +116,7 @@ def _crc32s(strings, before: bytes = b"", after: bytes = b""):
 
 
 class Vocabulary:
-    """Hashes of words; it remembers words of other than ASCII letters without the signs around them."""
-
-    def __init__(self):
-        self.bare: dict[str, str] = {}
+    """Hashes of words. It keeps none of them, as idle Python workers would go on holding that memory."""
 
     def rows(self, words):
         """What :func:`word_hashes` gives for each word of an Arrow array, an array of four columns."""
@@ -133,7 +129,8 @@ class Vocabulary:
         ascii_only = pc.string_is_ascii(words)
         others = words.filter(pc.invert(ascii_only)).to_pylist()
         if others:
-            bare = pc.replace_with_mask(bare, pc.invert(ascii_only), pa.array(self._bare(others), pa.large_string()))
+            others = pa.array([_EDGES.sub("", word.lower()) for word in others], pa.large_string())
+            bare = pc.replace_with_mask(bare, pc.invert(ascii_only), others)
         hashes = [
             _crc32s(bare),
             _crc32s(pc.utf8_slice_codeunits(bare, 0, 4), b"^"),
@@ -144,14 +141,6 @@ class Vocabulary:
         out[pc.equal(words, PAD).to_numpy(zero_copy_only=False)] = 0
         return out
 
-    def _bare(self, words: list[str]) -> list[str]:
-        if len(self.bare) + len(words) > KNOWN_WORDS:
-            self.bare.clear()
-        for word in words:
-            if word not in self.bare:
-                self.bare[word] = _EDGES.sub("", word.lower())
-        return [self.bare[word] for word in words]
-
 
 def word_codes(texts):
     """Splits an Arrow array of texts at white space.
@@ -581,16 +570,12 @@ def _calibrated(model: Model, checked: DataFrame) -> Model:
 
 def _logit(model: Model):
     """Column function: the logit of a text."""
-    vocabulary: list[Vocabulary] = []
-
     @F.arrow_udf("double")
     def logit(texts):
         import numpy as np
         import pyarrow as pa
 
-        if not vocabulary:
-            vocabulary.append(Vocabulary())
-        parts = [model.logits(texts.slice(start, stop - start), vocabulary[0]) for start, stop in _runs(texts)]
+        parts = [model.logits(texts.slice(start, stop - start), Vocabulary()) for start, stop in _runs(texts)]
         return pa.array(np.concatenate([np.zeros(0), *parts]))
 
     return logit
@@ -598,16 +583,12 @@ def _logit(model: Model):
 
 def scorer(model: Model):
     """Column function: the score of a text."""
-    vocabulary: list[Vocabulary] = []
-
     @F.arrow_udf("double")
     def score(texts):
         import numpy as np
         import pyarrow as pa
 
-        if not vocabulary:
-            vocabulary.append(Vocabulary())
-        parts = [model.scores(texts.slice(start, stop - start), vocabulary[0]) for start, stop in _runs(texts)]
+        parts = [model.scores(texts.slice(start, stop - start), Vocabulary()) for start, stop in _runs(texts)]
         return pa.array(np.concatenate([np.zeros(0), *parts]))
 
     return score

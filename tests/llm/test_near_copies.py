@@ -163,3 +163,17 @@ def test_sets_apart_are_held_against_their_group(spark):
     sets = spark.createDataFrame(rows, "node bigint, group bigint, n bigint, label bigint, tokens array<bigint>")
     found = near._held_against(sets, sets.select("group", "node", "n"), 80, 100).collect()
     assert expected and {frozenset(row) for row in found} == expected
+
+
+def test_whole_texts_go_to_python_in_small_batches(spark, monkeypatch):
+    setting, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", {}
+    before, store = spark.conf.get(setting), near.stored
+
+    def watched(df, purpose, *more):
+        seen[purpose] = int(spark.conf.get(setting))
+        return store(df, purpose, *more)
+
+    monkeypatch.setattr(near, "stored", watched)
+    docs = spark.createDataFrame([(n, "a b c d e f g h i j k l m n o p q r s t " + "uv"[n % 2]) for n in range(4)], "doc_id bigint, text string")
+    assert {row.component_id for row in near.near_copies(docs).collect()} == {0}
+    assert seen["profiles"] <= 1000 and seen["candidate-tokens"] <= 1000 < int(before) == int(spark.conf.get(setting))
