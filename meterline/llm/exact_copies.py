@@ -21,8 +21,9 @@ from meterline.llm.storage import stored
 
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 
-# Bits of one bitmap, fixed by Spark's bitmap functions.
+# Bits of one bitmap, fixed by Spark's bitmap functions, and of the words it is looked up by.
 BLOCK_BITS = 32768
+WORD_BITS = 64
 # Filter bits per row, and the most bits a filter may have: 128 MB, which is what is broadcast at most.
 BITS_PER_ROW = 16
 MOST_BITS = 1 << 30
@@ -41,10 +42,14 @@ def fingerprint(text: Column) -> Column:
     return F.sha2(normalised(text), 256)
 
 
+def _bit(keys: tuple[str, ...], probe: int) -> Column:
+    """A key's bit in its block."""
+    return F.pmod(F.xxhash64(*[F.col(key) for key in keys], F.lit(probe)), F.lit(BLOCK_BITS))
+
+
 def _position(keys: tuple[str, ...], blocks: int, probe: int) -> Column:
     """Place of a key's bit in the filter: one block for both probes."""
-    columns = [F.col(key) for key in keys]
-    return _block(keys, blocks) * BLOCK_BITS + F.pmod(F.xxhash64(*columns, F.lit(probe)), F.lit(BLOCK_BITS))
+    return _block(keys, blocks) * BLOCK_BITS + _bit(keys, probe)
 
 
 def _block(keys: tuple[str, ...], blocks: int) -> Column:
@@ -81,21 +86,29 @@ def repeat_filter(rows: DataFrame, keys: tuple[str, ...], blocks: int) -> DataFr
     return _bitmaps(_positions(rows, keys, blocks).groupBy("position").count().where("count > 1"))
 
 
-def _is_set(bits: Column, bit: Column) -> Column:
-    byte = F.conv(F.hex(F.substr(bits, F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.getbit(byte, F.pmod(bit, F.lit(8)).cast("int")) == 1
+def _words(bits: Column) -> Column:
+    """A bitmap as 64-bit words, the first byte of each uppermost. A row that looks a word up copies no bitmap, as it would bytes."""
+    half = lambda at: F.conv(F.hex(F.substr(bits, at, F.lit(4))), 16, 10).cast("bigint")
+    places = F.sequence(F.lit(1), F.lit(BLOCK_BITS // 8), F.lit(WORD_BITS // 8))
+    return F.transform(places, lambda place: F.shiftleft(half(place), 32).bitwiseOR(half(place + 4)))
+
+
+def _is_set(words: Column, bit: Column) -> Column:
+    word = F.get(words, F.floor(bit / WORD_BITS).cast("int"))
+    # Bytes of a word come uppermost first, bits of a byte lowest first.
+    return F.getbit(word, F.pmod(bit, F.lit(WORD_BITS)).cast("int").bitwiseXOR(F.lit(WORD_BITS - 8))) == 1
 
 
 def mark_possible(rows: DataFrame, keys: tuple[str, ...], bitmaps: DataFrame, blocks: int, flag: str) -> DataFrame:
     """Adds ``flag``: false where the filter proves that it does not have this key."""
-    looked_up = F.broadcast(bitmaps.select(F.col("block").alias("_block"), F.col("bits").alias("_bits")))
+    looked_up = F.broadcast(bitmaps.select(F.col("block").alias("_block"), _words(F.col("bits")).alias("_words")))
     hit = F.lit(True)
     for probe in (1, 2):
-        hit = hit & _is_set(F.col("_bits"), F.pmod(_position(keys, blocks, probe), F.lit(BLOCK_BITS)))
+        hit = hit & _is_set(F.col("_words"), _bit(keys, probe))
     return (
         rows.join(looked_up, _block(keys, blocks) + 1 == F.col("_block"), "left")
         .withColumn(flag, F.coalesce(hit, F.lit(False)))
-        .drop("_block", "_bits")
+        .drop("_block", "_words")
     )
 
 

@@ -7,6 +7,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from meterline.llm import exact_copies as exact
 
@@ -69,3 +70,16 @@ def test_unique_rows_are_not_shuffled(spark):
     twice = rows.unionAll(rows.where("doc_id % 50 = 0"))
     marked = exact.mark_possible(twice, ("key",), exact.repeat_filter(twice, ("key",), blocks), blocks, "maybe")
     assert marked.where("maybe AND doc_id % 50 = 0").count() == 200
+
+
+def test_lookups_copy_no_bitmap(spark):
+    """Words hold the bits of the bitmap, and above the join nothing reads bytes or makes text of them."""
+    rows = spark.range(3000).selectExpr("id AS key")
+    bitmaps = exact.key_filter(rows.where("key % 3 = 0"), ("key",), 4)
+    for row in bitmaps.select("bits", exact._words(F.col("bits")).alias("words")).collect():
+        assert b"".join((word % 2**64).to_bytes(8, "big") for word in row.words) == bytes(row.bits)
+    marked = exact.mark_possible(rows, ("key",), bitmaps, 4, "maybe")
+    assert not marked.where("key % 3 = 0 AND NOT maybe").count() and marked.where("NOT maybe").count() > 1900
+    plan = marked._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Join ")]
+    assert "getbit" in above and "hex(" not in above and "substr" not in above
