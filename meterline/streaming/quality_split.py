@@ -24,12 +24,16 @@ OBSERVED = "dq"
 def counted(bronze: DataFrame, bounds: QualityBounds = QualityBounds()) -> DataFrame:
     """Names the counts of accepted and rejected rows that come with every micro-batch, from the tasks that read it.
 
-    Columns and rows stay as they are.
+    Columns and rows stay as they are. A row's reason is found once, in a column of its own: observed expressions run
+    outside generated code and share nothing, so each count would go through all rules again.
     """
     rules = quality.trip_rules(bounds)
-    reason = quality.reject_reason(rules)
-    counts = [F.count_if(reason == rule.reason).alias(rule.reason) for rule in rules]
-    return bronze.observe(OBSERVED, F.count(F.lit(1)).alias("rows"), *counts)
+    reason = "counted_reason"
+    while reason in bronze.columns:
+        reason += "_"
+    counts = [F.count_if(F.col(reason) == rule.reason).alias(rule.reason) for rule in rules]
+    tagged = bronze.withColumn(reason, quality.reject_reason(rules))
+    return tagged.observe(OBSERVED, F.count(F.lit(1)).alias("rows"), *counts).drop(reason)
 
 
 class SplitCounts(StreamingQueryListener):

@@ -14,7 +14,7 @@ from meterline.sources import adapters, control
 from meterline.streaming.alarms import closed_alarms, fired_alarms, stream_alarms, stream_window_sums
 from meterline.streaming.audit import stream_audit
 from meterline.streaming.landing import run_available, stream_landing, to_table
-from meterline.streaming.quality_split import quality_split, watch_counts
+from meterline.streaming.quality_split import counted, quality_split, watch_counts
 
 METRICS = "ts timestamp, namespace string, metric string, dimension string, value double"
 
@@ -176,3 +176,13 @@ def test_routing_and_notices_work_on_a_stream(spark, sf_dir, tmp_path):
     outbox = notices.notification_outbox(notices.render_notification(notices.parse_notification(stream)), "a@x", "b@x")
     run_available(to_table(outbox, str(tmp_path / "outbox"), str(tmp_path / "p2")))
     assert spark.read.parquet(str(tmp_path / "outbox")).where("deliver").count() == events.count()
+
+
+def test_counts_go_through_the_rules_once_a_row(spark, sf_dir):
+    """The observed expressions compare a column; the chain of rules stands below them, once."""
+    trips = queries.raw_trips(spark, sf_dir).limit(50).withColumn("counted_reason", F.lit("mine"))
+    found = counted(trips)
+    assert found.columns == trips.columns and {row.counted_reason for row in found.collect()} == {"mine"}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    observed = next(line for line in plan.splitlines() if "CollectMetrics" in line)
+    assert "CASE WHEN" not in observed and plan.count("CASE WHEN") == 1
